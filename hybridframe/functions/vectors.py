@@ -16,6 +16,10 @@ from hybridframe.schema import METRICS
 # lambda over the array. Longer ones would outgrow the JIT limit for a method.
 UNROLL = 128
 
+# Distances keep nine decimals: the noise of summing in another order is cut off, so that equal
+# records tie and go by id whichever way they were measured.
+DIGITS = 9
+
 
 def metric_or_default(metric: str | None) -> str:
     if metric == "ip":
@@ -65,8 +69,8 @@ def cosine_distance(vector: str, query: list[float] | str) -> Column:
 
 def distance(metric: str | None, vector: str, query: list[float] | str) -> Column:
     """Distance of a vector column to ``query``, a Python list or the name of another vector column."""
-    metric = metric_or_default(metric)
-    return {"l2": l2_distance, "cosine": cosine_distance, "inner_product": inner_product}[metric](vector, query)
+    measure = {"l2": l2_distance, "cosine": cosine_distance, "inner_product": inner_product}[metric_or_default(metric)]
+    return F.round(measure(vector, query), DIGITS)
 
 
 def closest_first(metric: str | None, distance_column: str = "distance") -> Column:

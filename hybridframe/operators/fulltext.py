@@ -35,7 +35,7 @@ def _weight(idf: Column, tf: Column, length: Column, average: Column) -> Column:
 
 def _steady(score: Column) -> Column:
     """Cut the noise of summing in another order, so that equal documents tie and go by id."""
-    return F.round(score, 9)
+    return F.round(score, 6)
 
 
 def postings(df: DataFrame, document: str = DOCUMENT, keep: tuple[str, ...] = ()) -> DataFrame:

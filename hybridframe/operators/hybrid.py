@@ -24,20 +24,23 @@ HITS = f"{QUERY_ID} int, {ID} string, score double, text_rank int, knn_rank int,
 def reciprocal_rank(legs: Mapping[str, DataFrame], k: int, window: int = RANK_WINDOW, constant: int = RANK_CONSTANT) -> DataFrame:
     """Fuse ranked lists (``query_id, _id, rank``): a document scores the sum of 1 / (constant + rank).
 
-    Every leg gives at most ``window`` rows per query, so what is fused stays small.
+    Every leg gives at most ``window`` rows per query, so what is fused stays small. A ``distance``
+    that a leg brings is kept.
     """
     names = list(legs)
+    none = F.lit(None)
     labelled = [
         leg.filter(F.col("rank") <= window).select(
             QUERY_ID,
             ID,
             (F.lit(1.0) / (F.lit(constant) + F.col("rank"))).alias("share"),
-            *[(F.col("rank") if other == name else F.lit(None).cast("int")).alias(f"{other}_rank") for other in names],
+            *[(F.col("rank") if other == name else none).cast("int").alias(f"{other}_rank") for other in names],
+            (F.col("distance") if "distance" in leg.columns else none).cast("double").alias("distance"),
         )
         for name, leg in legs.items()
     ]
-    ranks = [F.max(f"{name}_rank").alias(f"{name}_rank") for name in names]
-    fused = reduce(DataFrame.unionByName, labelled).groupBy(QUERY_ID, ID).agg(F.round(F.sum("share"), 9).alias("score"), *ranks)
+    kept = [F.max(name).alias(name) for name in (*[f"{name}_rank" for name in names], "distance")]
+    fused = reduce(DataFrame.unionByName, labelled).groupBy(QUERY_ID, ID).agg(F.round(F.sum("share"), 9).alias("score"), *kept)
     return top_per_group(fused, QUERY_ID, [F.col("score").desc(), F.col(ID)], k)
 
 
@@ -137,8 +140,7 @@ def hybrid_search(
         elif text is not None and (n_queries > 1 or isinstance(vectors, DataFrame)):
             text = _per_query(text, near_queries(df, vectors))
     if text is not None and near is not None:
-        fused = reciprocal_rank({"text": text, "knn": near}, n_results, window, constant)
-        hits = fused.join(near.select(QUERY_ID, ID, "distance"), [QUERY_ID, ID], "left")
+        hits = reciprocal_rank({"text": text, "knn": near}, n_results, window, constant)
     elif text is not None:
         hits = text.filter(F.col("rank") <= n_results).withColumn("text_rank", F.col("rank"))
     elif near is not None:

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from hybridframe.functions.vectors import closest_first, distance, metric_or_default
+from hybridframe.functions.vectors import DIGITS, closest_first, distance, metric_or_default
 from hybridframe.operators.joins import join_small, top_per_group
 from hybridframe.operators.retrieve import project, select_records
 from hybridframe.schema import EMBEDDING, ID
@@ -79,15 +79,15 @@ def query_blocks(queries: DataFrame, size: int = QUERY_BLOCK) -> Iterator[QueryB
 
 
 def _measure(metric: str, x: np.ndarray, own: np.ndarray, block: QueryBlock, q: int) -> np.ndarray:
-    """Distances of some rows to query ``q``, each summed in the same order whatever its batch."""
+    """Distances of some rows to query ``q``."""
     query = block.matrix[q]
     if metric == "l2":
-        return np.sqrt(((x - query) ** 2).sum(axis=1))
+        return np.round(np.sqrt(((x - query) ** 2).sum(axis=1)), DIGITS)
     dots = (x * query).sum(axis=1)
     if metric == "inner_product":
-        return dots
+        return np.round(dots, DIGITS)
     with np.errstate(divide="ignore", invalid="ignore"):
-        return np.maximum(1.0 - dots / (own * block.norms[q]), 0.0)
+        return np.round(np.maximum(1.0 - dots / (own * block.norms[q]), 0.0), DIGITS)
 
 
 def _rough(metric: str, x: np.ndarray, own: np.ndarray, block: QueryBlock) -> tuple[np.ndarray, np.ndarray]:
