@@ -11,15 +11,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hybridframe import results
 from hybridframe.operators import mutate, retrieve
+from hybridframe.operators.approximate import CellIndex, build_cells, train_cells, write_cells
 from hybridframe.operators.embed import HashingEmbedder, dimension_of, embed_missing
-from hybridframe.operators.hybrid import as_vectors, hybrid_search
-from hybridframe.operators.nearest import DEFAULT_K, nearest, nearest_batch, query_frame
+from hybridframe.operators.fulltext import TextIndex, read_index, write_index
+from hybridframe.operators.hybrid import as_vectors, hybrid_search, vector_leg
+from hybridframe.operators.nearest import DEFAULT_K, attach, nearest, nearest_batch, query_frame
 from hybridframe.plans.session import ship
-from hybridframe.schema import DEFAULT_DIMENSION, FIELDS, ID, METRICS, RECORD, conform, fault
+from hybridframe.schema import DEFAULT_DIMENSION, EMBEDDING, FIELDS, ID, METRICS, RECORD, conform, fault, included
 from hybridframe.sources.files import Files
 from hybridframe.sources.store import BUCKETS, VARIANT, Store, Version, physical_name, typed_column
 
 DEFAULT_DATABASE = "default"
+# So many found records are fetched by their ids; more are joined with a scan.
+PICK_ROWS = 10_000
 _UNSET = object()
 
 
@@ -53,6 +57,16 @@ def resolve_configuration(configuration, embedding_function) -> VectorConfigurat
     return configuration
 
 
+def _questions(knn) -> int:
+    """How many queries a vector leg holds; a text leg alone counts as one."""
+    asked = (knn or {}).get("query_embeddings")
+    if asked is None or not len(asked):
+        asked = (knn or {}).get("query_texts")
+    if asked is None or isinstance(asked, str) or not hasattr(asked[0], "__len__"):
+        return 1
+    return len(asked)
+
+
 def _listed(value, one: type | tuple) -> list | None:
     return None if value is None else [value] if isinstance(value, one) else list(value)
 
@@ -180,35 +194,112 @@ class Collection:
             raise ValueError("query_texts needs an embedding function")
         return as_vectors(self._embedding_function(_listed(query_texts, str)))
 
-    def _nearest(self, vectors, n_results, where, where_document, include) -> DataFrame:
+    def _nearest(self, vectors, n_results, where, where_document, include, probes) -> DataFrame:
+        """Search first, reading neither texts nor metadata it does not need, then fetch the few records found."""
         scan, options = self._scan(), self._options()
-        if not isinstance(vectors, DataFrame):
-            if len(vectors) == 1:
-                return nearest(scan, vectors[0], n_results, self.distance, where, where_document, include, **options)
-            vectors = query_frame(self._store.spark, vectors)
-        return nearest_batch(scan, vectors, n_results, self.distance, where, where_document, include, **options)
-
-    def query_frame(self, query_embeddings=None, query_texts=None, n_results=DEFAULT_K, where=None, where_document=None, include=None) -> DataFrame:
-        """``query_id, rank, _id, distance`` and the included columns. Vectors win over texts."""
+        rows = n_results * (vectors.count() if isinstance(vectors, DataFrame) else len(vectors))
+        if probes:
+            if where_document:
+                raise ValueError("an approximate search takes no where_document")
+            knn = {"where": where, "n_results": n_results}
+            hits = vector_leg(scan, vectors, knn, self.distance, self._cells(probes), **options)
+        elif not isinstance(vectors, DataFrame) and len(vectors) == 1:
+            hits = nearest(scan, vectors[0], n_results, self.distance, where, where_document, (), **options)
+        else:
+            queries = vectors if isinstance(vectors, DataFrame) else query_frame(self._store.spark, vectors)
+            hits = nearest_batch(scan, queries, n_results, self.distance, where, where_document, (), **options)
+        return self._fetch(hits, include, rows)
+
+    def _fetch(self, hits: DataFrame, include, rows: int) -> DataFrame:
+        """Add the included columns to at most ``rows`` hits."""
+        if not included(include) or rows > PICK_ROWS:
+            return attach(hits, self._scan(), include, rows)
+        found = hits.collect()
+        known = self._store.spark.createDataFrame(found, hits.schema)
+        picked = self._store.pick(self._version(), sorted({row[ID] for row in found}))
+        return attach(known, picked, include, rows)
+
+    def query_frame(
+        self, query_embeddings=None, query_texts=None, n_results=DEFAULT_K, where=None, where_document=None, include=None, probes: int = 0
+    ) -> DataFrame:
+        """``query_id, rank, _id, distance`` and the included columns. Vectors win over texts.
+
+        Exact unless ``probes`` is given: then that many cells of the index are searched.
+        """
         vectors = self._query_vectors(query_embeddings, query_texts)
-        return self._nearest(vectors, n_results, where, where_document, include)
+        return self._nearest(vectors, n_results, where, where_document, include, probes)
 
-    def query(self, query_embeddings=None, query_texts=None, n_results=DEFAULT_K, where=None, where_document=None, include=None) -> dict:
+    def query(
+        self, query_embeddings=None, query_texts=None, n_results=DEFAULT_K, where=None, where_document=None, include=None, probes: int = 0
+    ) -> dict:
         vectors = self._query_vectors(query_embeddings, query_texts)
-        return results.nested_dict(self._nearest(vectors, n_results, where, where_document, include), len(vectors), include)
-
-    def hybrid_frame(self, query=None, knn=None, rank=None, n_results=DEFAULT_K, include=None) -> DataFrame:
-        return hybrid_search(
-            self._scan(), query, knn, rank, n_results, include, self.distance, self._embedding_function, **self._options()
+        hits = self._nearest(vectors, n_results, where, where_document, include, probes)
+        return results.nested_dict(hits, len(vectors), include)
+
+    def hybrid_frame(self, query=None, knn=None, rank=None, n_results=DEFAULT_K, include=None, probes: int = 0) -> DataFrame:
+        """Fused records of both legs. The text leg uses the index where it is up to date."""
+        hits = hybrid_search(
+            self._scan(),
+            query,
+            knn,
+            rank,
+            n_results,
+            (),
+            self.distance,
+            self._embedding_function,
+            self._text_index(),
+            self._cells(probes) if probes else None,
+            **self._options(),
         )
+        vectors = (knn or {}).get("query_embeddings")
+        many = vectors.count() if isinstance(vectors, DataFrame) else _questions(knn)
+        return self._fetch(hits, include, n_results * many)
 
-    def hybrid_search(self, query=None, knn=None, rank=None, n_results=DEFAULT_K, include=None) -> dict:
+    def hybrid_search(self, query=None, knn=None, rank=None, n_results=DEFAULT_K, include=None, probes: int = 0) -> dict:
         """Fused results; ``distances`` holds the fused score, or the distance of a vector leg alone."""
-        hits = self.hybrid_frame(query, knn, rank, n_results, include)
-        asked = (knn or {}).get("query_embeddings") or (knn or {}).get("query_texts") or []
-        several = isinstance(asked, (list, tuple)) and asked and not isinstance(asked[0], (int, float))
+        hits = self.hybrid_frame(query, knn, rank, n_results, include, probes)
         measured = hits.withColumn("measure", F.coalesce("score", "distance"))
-        return results.nested_dict(measured, len(asked) if several else 1, include, "measure")
+        return results.nested_dict(measured, _questions(knn), include, "measure")
+
+    # --- indexes ---
+
+    def build_index(self, cells: int = 0, fraction: float = 1.0, seed: int = 7) -> None:
+        """Index the current version: its texts, and its vectors in ``cells`` cells.
+
+        An index belongs to its version. After a change searches scan again until it is rebuilt.
+        """
+        version = self._version()
+        folder = self._index_folder(version)
+        if self._store.files.exists(f"{folder}/done.json"):
+            return
+        self._store.files.delete(folder)
+        scan = self._store.read(version)
+        write_index(scan, f"{folder}/text")
+        if cells:
+            centroids = train_cells(scan, cells, self.dimension, self.distance, fraction, seed)
+            centroids.write.parquet(f"{folder}/centroids")
+            keep = [ID, EMBEDDING, VARIANT, *[typed_column(key) for key in version.typed]]
+            write_cells(build_cells(scan.select(*keep), centroids, self.dimension, self.distance), f"{folder}/cells")
+        self._store.files.write_new(f"{folder}/done.json", json.dumps({"cells": cells}))
+
+    def _index_folder(self, version: Version) -> str:
+        return f"{self._store.folder}/index/{version.number:012d}"
+
+    def _index(self) -> tuple[str, dict] | None:
+        folder = self._index_folder(self._version())
+        done = f"{folder}/done.json"
+        return (folder, json.loads(self._store.files.read(done))) if self._store.files.exists(done) else None
+
+    def _text_index(self) -> TextIndex | None:
+        found = self._index()
+        return None if found is None else read_index(self._store.spark, f"{found[0]}/text")
+
+    def _cells(self, probes: int) -> CellIndex:
+        found = self._index()
+        if found is None or not found[1]["cells"]:
+            raise ValueError("an approximate search needs build_index(cells=...) after the last change")
+        read = self._store.spark.read
+        return CellIndex(read.parquet(f"{found[0]}/cells"), read.parquet(f"{found[0]}/centroids"), probes)
 
     # --- changing ---
 

@@ -226,6 +226,16 @@ def contained_terms(where) -> list[str]:
     return list(dict.fromkeys(found))
 
 
+def only_contains(where) -> bool:
+    """Whether terms alone decide a text filter."""
+    if isinstance(where, str):
+        return True
+    return all(
+        key == "$contains" or (key in ("$and", "$or") and all(only_contains(sub) for sub in _parts(spec, key)))
+        for key, spec in where.items()
+    )
+
+
 # --- together ---------------------------------------------------------------------------------
 
 

@@ -10,6 +10,7 @@ no more than any other rows; kept in a partition column, cells that no query pro
 from __future__ import annotations
 
 from collections.abc import Iterable
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -27,6 +28,14 @@ from hybridframe.schema import EMBEDDING, ID
 MAX_CENTROIDS = 65_536
 
 
+class CellIndex(NamedTuple):
+    """Records with their ``cell``, the centroids, and how many cells a query looks into."""
+
+    records: DataFrame
+    centroids: DataFrame
+    probes: int
+
+
 def _unit(x: np.ndarray, metric: str) -> np.ndarray:
     """Cells and buckets are Euclidean; for cosine all vectors are first brought to length 1."""
     if metric != "cosine":
@@ -81,6 +90,11 @@ def build_cells(df: DataFrame, centroids: DataFrame, dimension: int, metric: str
     return closest_cells(with_vectors(df, dimension), EMBEDDING, centroids, 1, metric).withColumn("cell", F.get("keys", F.lit(0)))
 
 
+def write_cells(indexed: DataFrame, path: str) -> None:
+    """Keep records by cell. A cell is cut into files of similar size, however many records it holds."""
+    indexed.drop("keys").hint("rebalance", "cell").sortWithinPartitions("cell").write.partitionBy("cell").parquet(path)
+
+
 def nearest_in_cells(
     indexed: DataFrame,
     centroids: DataFrame,

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from functools import reduce
 from operator import add
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hybridframe.functions.columns import let
 from hybridframe.functions.predicates import contained_terms, selection, where_document as document_predicate
@@ -24,6 +25,9 @@ from hybridframe.schema import DOCUMENT, ID
 K1 = 1.2
 B = 0.75
 
+# Folders of a stored index.
+PARTS = 64
+
 
 def _idf(n: Column, df: Column) -> Column:
     return F.log(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))
@@ -67,25 +71,73 @@ def corpus(df: DataFrame, document: str = DOCUMENT) -> DataFrame:
     )
 
 
-def write_index(df: DataFrame, path: str, parts: int = 64) -> None:
+def _part(term: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
+
+
+def write_index(df: DataFrame, path: str, parts: int = PARTS) -> None:
     """Keep the postings for many searches, laid out so that a search reads the parts of its terms.
 
     A part is cut into files of similar size, so a term held by most documents is no single task.
     """
-    placed = postings(df).withColumn("part", F.pmod(F.xxhash64("term"), F.lit(parts)).cast("int"))
+    placed = postings(df).withColumn("part", _part(F.col("term"), parts))
     placed.hint("rebalance", "part").sortWithinPartitions("part", "term").write.partitionBy("part").parquet(f"{path}/postings")
-    corpus(df).write.parquet(f"{path}/corpus")
+    corpus(df).withColumn("parts", F.lit(parts)).write.parquet(f"{path}/corpus")
     stored = df.sparkSession.read.parquet(f"{path}/postings")
     document_frequencies(stored).write.parquet(f"{path}/frequencies")
 
 
-def read_index(spark, path: str, parts: int = 64, terms: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Postings and corpus row of a stored index; with ``terms``, only their parts are read."""
-    posted = spark.read.parquet(f"{path}/postings")
-    if terms is not None:
-        wanted = [F.pmod(F.xxhash64(F.lit(term)), F.lit(parts)).cast("int") for term in terms]
-        posted = posted.filter(F.col("part").isin(wanted) & F.col("term").isin(terms))
-    return posted.drop("part"), spark.read.parquet(f"{path}/corpus")
+class TextIndex(NamedTuple):
+    """Postings, document frequencies and the corpus row; ``parts`` is set for a stored index."""
+
+    postings: DataFrame
+    frequencies: DataFrame
+    corpus: DataFrame
+    parts: int | None = None
+
+
+def build_index(df: DataFrame, keep: tuple[str, ...] = ()) -> TextIndex:
+    """The index of a frame, computed when it is used."""
+    posted = postings(df, keep=keep)
+    return TextIndex(posted, document_frequencies(posted), corpus(df))
+
+
+def read_index(spark: SparkSession, path: str) -> TextIndex:
+    posted, frequencies, row = (spark.read.parquet(f"{path}/{name}") for name in ("postings", "frequencies", "corpus"))
+    return TextIndex(posted, frequencies, row, row.first()["parts"])
+
+
+def postings_of(index: TextIndex, terms: list[str]) -> DataFrame:
+    """Postings of some terms. Of a stored index only the parts of these terms are read."""
+    posted = index.postings.filter(F.col("term").isin(terms))
+    if index.parts is not None and terms:
+        # The parts fold to constants, which prunes the partitions.
+        posted = posted.filter(F.col("part").isin([_part(F.lit(term), index.parts) for term in terms]))
+    return posted
+
+
+def search_index(index: TextIndex, where_document, k: int = 10, passing: DataFrame | None = None) -> DataFrame:
+    """``search_text`` from an index: ``_id, score, rank``, the texts are not read.
+
+    ``passing`` holds the ids that a metadata filter admits. Only ``$contains`` can be answered.
+    """
+    terms = contained_terms(where_document)
+    stats = index.corpus.select(F.struct("n", "average").alias("stats"))
+    weighted = (
+        index.frequencies.filter(F.col("term").isin(terms))
+        .withColumn("stats", stats.scalar())
+        .select("term", _idf(F.col("stats.n"), F.col("df")).alias("idf"), F.col("stats.average").alias("average"))
+    )
+    # One row per query term, so this side is as small as the query.
+    matched = join_small(postings_of(index, terms), weighted, "term", bound=len(terms))
+    weight = _weight(F.col("idf"), F.col("tf"), F.col("length"), F.col("average"))
+    scored = matched.groupBy(ID).agg(_steady(F.sum(weight)).alias("score"), F.collect_set("term").alias("_terms"))
+    scored = scored.filter(document_predicate(where_document, F.lit(None).cast("string"), "terms", F.col("_terms")))
+    if passing is not None:
+        scored = scored.join(passing.select(ID), ID, "left_semi")
+    order = [F.col("score").desc(), F.col(ID)]
+    best = scored.select(ID, "score").orderBy(*order).limit(k)
+    return top_per_group(best.withColumn(QUERY_ID, F.lit(0)), QUERY_ID, order, k)
 
 
 def search_text(
@@ -144,22 +196,25 @@ def query_terms(queries: DataFrame, text: str = "text") -> DataFrame:
     return queries.select(QUERY_ID, F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
 
 
-def search_postings(posted: DataFrame, corpus_row: DataFrame, wanted: DataFrame, k: int = 10) -> DataFrame:
+def search_postings(index: TextIndex, wanted: DataFrame, k: int = 10) -> DataFrame:
     """``query_id, rank, _id, score`` for many queries given as ``query_id, term``.
 
-    Only postings of wanted terms go on. They meet the queries by a broadcast if those are few, by
-    salted terms otherwise; scores are summed per (query, document), a key that does not clump.
-    Where the postings have a column ``passes``, only documents that pass are listed.
+    The wanted terms meet the postings by a broadcast if they are few, by salted terms otherwise;
+    scores are summed per (query, document), a key that does not clump. Where the postings have a
+    column ``passes``, only documents that pass are listed.
     """
     terms = wanted.select("term").distinct()
-    kept = join_small(posted, terms, "term", "left_semi", salt_by=F.col(ID))
-    stats = corpus_row.select(F.struct("n", "average").alias("stats"))
-    weighted = wanted.join(document_frequencies(kept), "term").withColumn("stats", stats.scalar())
+    posted, frequencies = index.postings, index.frequencies
+    if index.parts is None:
+        # Without a stored index, count only terms that are asked for.
+        frequencies = document_frequencies(join_small(posted, terms, "term", "left_semi", salt_by=F.col(ID)))
+    stats = index.corpus.select(F.struct("n", "average").alias("stats"))
+    weighted = join_small(frequencies, wanted, "term").withColumn("stats", stats.scalar())
     weighted = weighted.select(
         QUERY_ID, "term", _idf(F.col("stats.n"), F.col("df")).alias("idf"), F.col("stats.average").alias("average")
     )
     listed = posted.filter("passes") if "passes" in posted.columns else posted
-    hits = join_small(listed, weighted, "term", salt_by=F.col(ID))
+    hits = join_small(listed, weighted, "term", salt_by=F.col(ID), bound=wanted.count())
     weight = _weight(F.col("idf"), F.col("tf"), F.col("length"), F.col("average"))
     scores = hits.groupBy(QUERY_ID, ID).agg(_steady(F.sum(weight)).alias("score"))
     return top_per_group(scores, QUERY_ID, [F.col("score").desc(), F.col(ID)], k)
@@ -169,8 +224,8 @@ def search_text_batch(df: DataFrame, queries: DataFrame, k: int = 10, where=None
     """BM25 for every row of ``queries`` (``query_id, text``), over any of its terms."""
     if where:
         passes = F.coalesce(selection(where, **options), F.lit(False))
-        posted = postings(df.withColumn("passes", passes), keep=("passes",))
+        index = build_index(df.withColumn("passes", passes), ("passes",))
     else:
-        posted = postings(df)
-    hits = search_postings(posted, corpus(df), query_terms(queries), k)
+        index = build_index(df)
+    hits = search_postings(index, query_terms(queries), k)
     return attach(hits, df, include, bound=k * queries.count())

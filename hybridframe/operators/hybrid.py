@@ -7,8 +7,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from hybridframe.functions.predicates import only_contains
 from hybridframe.functions.vectors import metric_or_default
-from hybridframe.operators.fulltext import search_text, search_text_batch
+from hybridframe.operators.approximate import CellIndex, nearest_in_cells
+from hybridframe.operators.fulltext import TextIndex, search_index, search_text, search_text_batch
 from hybridframe.operators.joins import top_per_group
 from hybridframe.operators.nearest import DEFAULT_K, QUERY_ID, attach, nearest, nearest_ids, query_frame
 from hybridframe.operators.retrieve import select_records
@@ -44,15 +46,19 @@ def reciprocal_rank(legs: Mapping[str, DataFrame], k: int, window: int = RANK_WI
     return top_per_group(fused, QUERY_ID, [F.col("score").desc(), F.col(ID)], k)
 
 
-def text_leg(df: DataFrame, query: Mapping, window: int, **options) -> DataFrame | None:
+def text_leg(df: DataFrame, query: Mapping, window: int, index: TextIndex | None = None, **options) -> DataFrame | None:
     """Ranked ids for ``query``: scored text, or a bare metadata filter in id order with score 1.
 
-    ``query_texts`` may be a DataFrame ``query_id, text`` with one text per query.
+    ``query_texts`` may be a DataFrame ``query_id, text`` with one text per query. With an index of
+    the same records, a filter of ``$contains`` alone is answered without reading the texts.
     """
     limit = query.get("n_results") or window
     if query.get("query_texts") is not None:
         return search_text_batch(df, query["query_texts"], limit, query.get("where"), (), **options)
     if query.get("where_document"):
+        if index is not None and only_contains(query["where_document"]) and options.get("mode", "terms") == "terms":
+            passing = select_records(df, None, query["where"], **options) if query.get("where") else None
+            return search_index(index, query["where_document"], limit, passing)
         return search_text(df, query["where_document"], limit, query.get("where"), (), **options)
     if query.get("where"):
         chosen = select_records(df, None, query["where"], **options).select(ID).orderBy(ID).limit(limit)
@@ -86,9 +92,12 @@ def knn_vectors(knn: Mapping, embed: Callable[[list[str]], list] | None) -> list
         raise ValueError(f"cannot embed knn.query_texts: {problem}") from problem
 
 
-def vector_leg(df: DataFrame, vectors, knn: Mapping, metric: str, **options) -> DataFrame:
+def vector_leg(df: DataFrame, vectors, knn: Mapping, metric: str, cells: CellIndex | None = None, **options) -> DataFrame:
     """Ranked ids and distances for one vector, several, or a DataFrame ``query_id, vector``."""
     k, where = int(knn.get("n_results", DEFAULT_K)), knn.get("where")
+    if cells is not None:
+        queries = vectors if isinstance(vectors, DataFrame) else query_frame(df.sparkSession, vectors)
+        return nearest_in_cells(cells.records, cells.centroids, queries, cells.probes, k, metric, where, (), **options)
     if not isinstance(vectors, DataFrame):
         if len(vectors) == 1:
             return nearest(df, vectors[0], k, metric, where, include=(), **options)
@@ -118,12 +127,15 @@ def hybrid_search(
     include=None,
     metric: str | None = "cosine",
     embed: Callable[[list[str]], list] | None = None,
+    index: TextIndex | None = None,
+    cells: CellIndex | None = None,
     **options,
 ) -> DataFrame:
     """Best records over both legs: ``query_id, rank, _id, score, text_rank, knn_rank, distance``.
 
     One leg alone keeps its own order. With several query vectors the text leg is fused with each.
-    Neither leg gives no rows.
+    Neither leg gives no rows. ``index`` and ``cells`` are indexes of the same records, if there are
+    any; with ``cells`` the vector leg is approximate.
     """
     window, constant = _rrf_options(rank)
     n_results = n_results or window
@@ -132,9 +144,9 @@ def hybrid_search(
     if knn:
         vectors = knn_vectors(knn, embed)
         n_queries = vectors.count() if isinstance(vectors, DataFrame) else len(vectors)
-        near = vector_leg(df, vectors, knn, metric, **options)
+        near = vector_leg(df, vectors, knn, metric, cells, **options)
     if query:
-        text = text_leg(df, query, window if knn else n_results, **options)
+        text = text_leg(df, query, window if knn else n_results, index, **options)
         if query.get("query_texts") is not None:
             n_queries = max(n_queries, query["query_texts"].count())
         elif text is not None and (n_queries > 1 or isinstance(vectors, DataFrame)):

@@ -93,43 +93,59 @@ def _measure(metric: str, x: np.ndarray, own: np.ndarray, block: QueryBlock, q:
 def _rough(metric: str, x: np.ndarray, own: np.ndarray, block: QueryBlock) -> tuple[np.ndarray, np.ndarray]:
     """Cost of every (row, query) from one matrix product, and a bound on its rounding error."""
     dots = x @ block.matrix.T
-    scale = 1e-9 * (own[:, None] + block.norms[None, :] + 1.0) ** 2
+    scale = 2e-9 * (own[:, None] + block.norms[None, :] + 1.0) ** 2
     if metric == "l2":
         return own[:, None] ** 2 + block.norms[None, :] ** 2 - 2.0 * dots, scale
     if metric == "inner_product":
         return -dots, scale
     with np.errstate(divide="ignore", invalid="ignore"):
-        return 1.0 - dots / (own[:, None] * block.norms[None, :]), np.full_like(dots, 1e-9)
-
-
-def _best_of_batch(batch: pa.RecordBatch, metric: str, block: QueryBlock, k: int, found: dict) -> None:
-    """Fold one Arrow batch into ``found``: query position -> (cost, id, distance) arrays, at most k."""
-    ids = batch.column(0)
-    dimension = block.matrix.shape[1]
-    x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension).astype(np.float64)
-    own = np.sqrt((x**2).sum(axis=1))
-    keys = None
-    if block.keys is not None:
-        keys = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-    cost, slack = _rough(metric, x, own, block)
-    for q in range(len(block.ids)):
-        usable = ~np.isnan(cost[:, q])
-        if keys is not None:
-            usable &= np.isin(keys, block.keys[q]).any(axis=1)
-        rows = np.flatnonzero(usable)
-        if len(rows) > k:
-            near = np.argpartition(cost[rows, q], k - 1)[:k]
-            limit = (cost[rows[near], q] + slack[rows[near], q]).max()
-            rows = rows[cost[rows, q] - slack[rows, q] <= limit]
-        if not len(rows):
-            continue
-        exact = _measure(metric, x[rows], own[rows], block, q)
-        order = -exact if metric == "inner_product" else exact
+        return 1.0 - dots / (own[:, None] * block.norms[None, :]), np.full_like(dots, 2e-9)
+
+
+class Best:
+    """The k closest records so far of every query of a block."""
+
+    def __init__(self, metric: str, block: QueryBlock, k: int):
+        self.metric, self.block, self.k = metric, block, k
+        self.found: dict[int, tuple] = {}
+        # No record that costs more than this can still enter a query's list.
+        self.limits = np.full(len(block.ids), np.inf)
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        """Take in one Arrow batch ``_id, embedding[, keys]``."""
+        ids, vectors = batch.column(0), batch.column(1)
+        dimension = self.block.matrix.shape[1]
+        x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension).astype(np.float64)
+        own = np.sqrt((x**2).sum(axis=1))
+        keys = None
+        if self.block.keys is not None:
+            keys = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+        cost, slack = _rough(self.metric, x, own, self.block)
+        # A vector without a number or a length costs NaN and is never below a limit.
+        possible = cost - slack <= self.limits
+        for q in np.flatnonzero(possible.any(axis=0)):
+            usable = possible[:, q]
+            if keys is not None:
+                usable = usable & np.isin(keys, self.block.keys[q]).any(axis=1)
+            rows = np.flatnonzero(usable)
+            if len(rows) > self.k:
+                near = np.argpartition(cost[rows, q], self.k - 1)[: self.k]
+                limit = (cost[rows[near], q] + slack[rows[near], q]).max()
+                rows = rows[cost[rows, q] - slack[rows, q] <= limit]
+            if len(rows):
+                self._merge(q, ids, rows, _measure(self.metric, x[rows], own[rows], self.block, q))
+
+    def _merge(self, q: int, ids: pa.Array, rows: np.ndarray, distances: np.ndarray) -> None:
         names = np.asarray(ids.take(pa.array(rows)).to_pylist(), dtype=object)
-        if q in found:
-            order, names, exact = (np.concatenate(pair) for pair in zip(found[q], (order, names, exact)))
-        keep = sorted(range(len(order)), key=lambda i: (order[i], names[i]))[:k]
-        found[q] = (order[keep], names[keep], exact[keep])
+        if q in self.found:
+            names = np.concatenate([self.found[q][0], names])
+            distances = np.concatenate([self.found[q][1], distances])
+        order = -distances if self.metric == "inner_product" else distances
+        keep = sorted(range(len(order)), key=lambda i: (order[i], names[i]))[: self.k]
+        self.found[q] = names[keep], distances[keep]
+        if len(keep) == self.k:
+            worst = order[keep[-1]]
+            self.limits[q] = worst**2 if self.metric == "l2" else worst
 
 
 def _search_block(candidates: DataFrame, block: QueryBlock, metric: str, k: int, id_type: T.DataType) -> DataFrame:
@@ -140,11 +156,11 @@ def _search_block(candidates: DataFrame, block: QueryBlock, metric: str, k: int,
     arrow_id = {"string": pa.string(), "int": pa.int32()}.get(id_type.simpleString(), pa.int64())
 
     def search(batches):
-        found: dict = {}
+        best = Best(metric, shared.value, k)
         for batch in batches:
             if batch.num_rows:
-                _best_of_batch(batch, metric, shared.value, k, found)
-        for q, (_, names, distances) in found.items():
+                best.add(batch)
+        for q, (names, distances) in best.found.items():
             yield pa.record_batch(
                 [pa.array([shared.value.ids[q]] * len(names), arrow_id), pa.array(names, pa.string()), pa.array(distances)],
                 names=schema.fieldNames(),

@@ -139,7 +139,19 @@ def rag_display(spark, sf):
     return answers.display(_answers(spark, sf, K)).drop("file_name")
 
 
-@query("rag_hybrid", None)
+def _hybrid_answers_sql() -> str:
+    from hybridframe.plans.registry import SQL
+
+    return f"""WITH t AS ({SQL['bm25_batch']}), g AS ({SQL['knn_text']}),
+    u AS (SELECT query_id, _id, rank AS text_rank, NULL AS knn_rank FROM t WHERE rank <= 10
+      UNION ALL SELECT query_id, _id, NULL, rank FROM g WHERE rank <= 10),
+    f AS (SELECT query_id, _id, round(sum(1.0 / (60 + coalesce(text_rank, knn_rank))), 9) AS score,
+      max(text_rank) AS text_rank, max(knn_rank) AS knn_rank FROM u GROUP BY query_id, _id),
+    n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, _id) AS rank FROM f)
+    SELECT query_id, rank, _id, score, text_rank, knn_rank FROM n WHERE rank <= 5"""
+
+
+@query("rag_hybrid", _hybrid_answers_sql())
 def rag_hybrid(spark, sf):
     hits = _answers(spark, sf, 5, hybrid=True)
     return hits.select("query_id", "rank", "_id", "score", "text_rank", "knn_rank")

@@ -10,6 +10,7 @@ from hybridframe.operators import approximate, fulltext
 from hybridframe.operators.embed import HashingEmbedder, embed
 from hybridframe.operators.hybrid import hybrid_search
 from hybridframe.operators.nearest import nearest, nearest_batch
+from hybridframe.operators.retrieve import select_records
 from hybridframe.plans.registry import RECORDS, VECTORS, has_any, query, terms_of
 from hybridframe.plans.session import shared_folder
 from hybridframe.plans.standard import records, table, vector_records
@@ -201,6 +202,14 @@ def knn_ivf_all_cells(spark, sf):
     return _listed(_in_cells(spark, sf, 10), "query_id")
 
 
+@query("knn_ivf_stored", cells_sql(2))
+def knn_ivf_stored(spark, sf):
+    folder, cells = shared_folder(spark), class_cells(spark, sf)
+    approximate.write_cells(approximate.build_cells(vector_records(spark, sf), cells, 64), folder)
+    hits = approximate.nearest_in_cells(spark.read.parquet(folder), cells, vector_queries(spark, sf), 2, K, include=())
+    return _listed(hits, "query_id")
+
+
 @query("knn_ivf_trained")
 def knn_ivf_trained(spark, sf):
     searched = vector_records(spark, sf)
@@ -321,8 +330,24 @@ def bm25_batch_filtered(spark, sf):
 def bm25_indexed(spark, sf):
     folder = shared_folder(spark)
     fulltext.write_index(records(spark, sf), folder)
-    posted, corpus = fulltext.read_index(spark, folder)
-    return _scored(fulltext.search_postings(posted, corpus, fulltext.query_terms(text_queries(spark, sf)), K))
+    index = fulltext.read_index(spark, folder)
+    return _scored(fulltext.search_postings(index, fulltext.query_terms(text_queries(spark, sf)), K))
+
+
+@query("bm25_index_all", BM25["bm25_all"][2])
+def bm25_index_all(spark, sf):
+    folder = shared_folder(spark)
+    fulltext.write_index(records(spark, sf), folder)
+    return fulltext.search_index(fulltext.read_index(spark, folder), BM25["bm25_all"][0], K).select("rank", "_id", "score")
+
+
+@query("bm25_index_filtered", BM25["bm25_filtered"][2])
+def bm25_index_filtered(spark, sf):
+    folder = shared_folder(spark)
+    fulltext.write_index(records(spark, sf), folder)
+    text, where, _ = BM25["bm25_filtered"]
+    passing = select_records(records(spark, sf), where=where)
+    return fulltext.search_index(fulltext.read_index(spark, folder), text, K, passing).select("rank", "_id", "score")
 
 
 # --- hybrid search ---

@@ -87,6 +87,9 @@ class Store:
         used = {v for n in numbers[-keep:] for folders in self.version(n).folders.values() for v in folders}
         for number in numbers[:-keep]:
             self.files.delete(self._log(number))
+        for name in self.files.names(f"{self.folder}/index"):
+            if int(name) not in numbers[-keep:]:
+                self.files.delete(f"{self.folder}/index/{name}")
         for name in self.files.names(f"{self.folder}/data"):
             if name.removeprefix("v=") not in used:
                 self.files.delete(f"{self.folder}/data/{name}")
@@ -116,10 +119,12 @@ class Store:
         return F.pmod(F.xxhash64(ident), F.lit(version.buckets)).cast("int")
 
     def pick(self, version: Version, ids: list[str]) -> DataFrame:
-        """Records of a list of ids. The buckets fold to constants, so other buckets are not read."""
-        buckets = [self.bucket_of(F.lit(i), version) for i in ids]
-        frame = self.read(version)
-        return frame.filter(F.col("bucket").isin(buckets) & F.col(ID).isin(ids)) if ids else frame.limit(0)
+        """Records of a short list of ids. Only their buckets are read, and there only the row groups
+        whose id range fits, since files are sorted by id."""
+        if not ids:
+            return self.read(version, [])
+        wanted = self.spark.createDataFrame([(i,) for i in ids], f"{ID} string")
+        return self.read(version, self.touched(wanted, version)).filter(F.col(ID).isin(ids))
 
     # --- changing ---
 
