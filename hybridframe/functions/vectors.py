@@ -58,13 +58,12 @@ def norm(vector: str) -> Column:
 
 
 def cosine_distance(vector: str, query: list[float] | str) -> Column:
-    """``1 - cosine``; NULL where a vector has no length. Never below zero."""
+    """``1 - cosine``; NULL where a vector has no length."""
     if isinstance(query, list):
         norms = F.sqrt(_total(vector, query, "{a} * {a}")) * F.lit(sum(float(x) ** 2 for x in query) ** 0.5)
     else:
         norms = norm(vector) * norm(query)
-    similarity = F.try_divide(inner_product(vector, query), norms)
-    return F.when(similarity.isNotNull(), F.greatest(F.lit(1.0) - similarity, F.lit(0.0)))
+    return F.lit(1.0) - F.try_divide(inner_product(vector, query), norms)
 
 
 def distance(metric: str | None, vector: str, query: list[float] | str) -> Column:
@@ -75,7 +74,7 @@ def distance(metric: str | None, vector: str, query: list[float] | str) -> Colum
 
 def closest_first(metric: str | None, distance_column: str = "distance") -> Column:
     column = F.col(distance_column)
-    return column.desc() if metric_or_default(metric) == "inner_product" else column.asc()
+    return column.desc_nulls_last() if metric_or_default(metric) == "inner_product" else column.asc_nulls_last()
 
 
 def similarity(distance_column: Column) -> Column:

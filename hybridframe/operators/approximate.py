@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hybridframe.functions.columns import let
 from hybridframe.functions.vectors import norm
-from hybridframe.operators.nearest import DEFAULT_K, QUERY_ID, attach, nearest_ids, with_vectors
+from hybridframe.operators.nearest import DEFAULT_K, QUERY_ID, attach, nearest_to_blocks, query_blocks, with_vectors
 from hybridframe.operators.retrieve import select_records
 from hybridframe.schema import EMBEDDING, ID
 
@@ -107,11 +107,13 @@ def nearest_in_cells(
     **options,
 ) -> DataFrame:
     """The k closest records within the probed cells. Probing every cell gives the exact answer."""
-    routed = closest_cells(queries.filter("vector is not null"), "vector", centroids, probes, metric)
-    probed = [row["cell"] for row in routed.select(F.explode("keys").alias("cell")).distinct().collect()]
+    routed = closest_cells(queries.filter("vector is not null").select(QUERY_ID, "vector"), "vector", centroids, probes, metric)
+    blocks = list(query_blocks(routed))
+    probed = sorted({int(cell) for block in blocks for keys in block.keys for cell in keys})
     candidates = select_records(indexed.filter(F.col("cell").isin(probed)), None, where, None, **options)
-    hits = nearest_ids(candidates.withColumn("keys", F.array("cell")), routed, k, metric)
-    return attach(hits, indexed, include, bound=k * queries.count())
+    id_type = queries.schema[QUERY_ID].dataType
+    hits = nearest_to_blocks(candidates.withColumn("keys", F.array("cell")), blocks, id_type, k, metric)
+    return attach(hits, indexed, include, bound=k * sum(len(block.ids) for block in blocks))
 
 
 def train_projections(df: DataFrame, dimension: int, metric: str = "cosine", bucket_length: float = 0.5, tables: int = 8, seed: int = 7):
@@ -145,8 +147,9 @@ def nearest_in_buckets(
 ) -> DataFrame:
     """The k closest among the records that share a bucket with the query in any hash table."""
     candidates = bucket_keys(with_vectors(df, dimension), model, EMBEDDING, metric)
-    hits = nearest_ids(candidates, bucket_keys(queries.filter("vector is not null"), model, "vector", metric), k, metric)
-    return attach(hits, df, include, bound=k * queries.count())
+    blocks = list(query_blocks(bucket_keys(queries.filter("vector is not null"), model, "vector", metric)))
+    hits = nearest_to_blocks(candidates, blocks, queries.schema[QUERY_ID].dataType, k, metric)
+    return attach(hits, df, include, bound=k * sum(len(block.ids) for block in blocks))
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

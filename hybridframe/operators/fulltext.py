@@ -1,23 +1,27 @@
 """Ranked full-text search (BM25).
 
 One text is scored row by row: the term frequencies of a document are an expression over that row,
-so nothing is shuffled but the k best. Many texts go through postings, which are also what a stored
-index holds.
+so nothing is shuffled but the k best. Many texts meet the terms of each document as it is read. A
+stored index holds postings, of which a search reads those of its terms.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from operator import add
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from hybridframe.functions.columns import let
 from hybridframe.functions.predicates import contained_terms, selection, where_document as document_predicate
 from hybridframe.functions.text import term_counts, term_frequency, tokens
 from hybridframe.operators.joins import join_small, top_per_group
-from hybridframe.operators.nearest import QUERY_ID, attach
+from hybridframe.operators.nearest import QUERY_ID, TopLists, arrow_type, attach, merged, split_queries
 from hybridframe.operators.retrieve import project, select_records
 from hybridframe.schema import DOCUMENT, ID
 
@@ -25,9 +29,16 @@ from hybridframe.schema import DOCUMENT, ID
 K1 = 1.2
 B = 0.75
 
+# Decimals of a score.
+DIGITS = 6
+
 # Folders of a stored index.
 PARTS = 64
 
+# Queries that are scored together, and (document, term, query) triples that are held at a time.
+QUERY_BLOCK = 256
+MAX_TRIPLES = 4_000_000
+
 
 def _idf(n: Column, df: Column) -> Column:
     return F.log(F.lit(1.0) + (n - df + 0.5) / (df + 0.5))
@@ -39,7 +50,7 @@ def _weight(idf: Column, tf: Column, length: Column, average: Column) -> Column:
 
 def _steady(score: Column) -> Column:
     """Cut the noise of summing in another order, so that equal documents tie and go by id."""
-    return F.round(score, 6)
+    return F.round(score, DIGITS)
 
 
 def postings(df: DataFrame, document: str = DOCUMENT, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -220,12 +231,124 @@ def search_postings(index: TextIndex, wanted: DataFrame, k: int = 10) -> DataFra
     return top_per_group(scores, QUERY_ID, [F.col("score").desc(), F.col(ID)], k)
 
 
+class TermBlock:
+    """Some queries as, for every term number, the positions of the queries that ask for it."""
+
+    def __init__(self, rows: list):
+        self.ids = list(dict.fromkeys(row[QUERY_ID] for row in rows))
+        position = {ident: i for i, ident in enumerate(self.ids)}
+        self.terms = sorted({row["term"] for row in rows})
+        number = {term: i for i, term in enumerate(self.terms)}
+        pairs = sorted((number[row["term"]], position[row[QUERY_ID]]) for row in rows)
+        self.askers = np.asarray([q for _, q in pairs], dtype=np.int64)
+        self.starts = np.searchsorted([t for t, _ in pairs], np.arange(len(self.terms) + 1))
+
+
+class ScoreLists(TopLists):
+    """The best documents of Arrow batches ``_id, number, weight``, the rows of a document together."""
+
+    def __init__(self, block: TermBlock, k: int):
+        super().__init__(len(block.ids), k)
+        self.block = block
+
+    def add(self, table: pa.Table) -> None:
+        """Take in whole documents, a few million (document, term, query) triples at a time."""
+        ids = table.column(0).combine_chunks()
+        numbers, weights = table.column(1).to_numpy(), table.column(2).to_numpy()
+        begins = np.concatenate([[0], np.flatnonzero(_changes(ids)) + 1])
+        asked = self.block.starts[numbers + 1] - self.block.starts[numbers]
+        triples = np.add.reduceat(asked, begins).cumsum()
+        cuts = np.searchsorted(triples, np.arange(MAX_TRIPLES, triples[-1], MAX_TRIPLES))
+        for documents in np.split(np.arange(len(begins)), np.unique(cuts)):
+            if len(documents):
+                first = begins[documents[0]]
+                last = begins[documents[-1] + 1] if documents[-1] + 1 < len(begins) else len(numbers)
+                self._score(ids, begins[documents], numbers[first:last], weights[first:last], asked[first:last], first)
+
+    def _score(self, ids, begins, numbers, weights, asked, first) -> None:
+        queries = len(self.block.ids)
+        document = np.zeros(len(numbers), dtype=np.int64)
+        document[begins[1:] - first] = 1
+        document = document.cumsum()
+        offset = np.arange(asked.sum()) - np.repeat(asked.cumsum() - asked, asked)
+        asker = self.block.askers[np.repeat(self.block.starts[numbers], asked) + offset]
+        cell = np.repeat(document, asked) * queries + asker
+        scores = np.bincount(cell, np.repeat(weights, asked), len(begins) * queries).reshape(-1, queries).round(DIGITS)
+        possible = (scores > 0) & (-scores <= self.limits)
+        for q in np.flatnonzero(possible.any(axis=0)):
+            rows = np.flatnonzero(possible[:, q])
+            if len(rows) > self.k:
+                worst = np.partition(scores[rows, q], -self.k)[-self.k]
+                rows = rows[scores[rows, q] >= worst]
+            names = np.asarray(ids.take(pa.array(begins[rows])).to_pylist(), dtype=object)
+            self.offer(q, names, -scores[rows, q])
+
+
+def _changes(ids: pa.Array) -> np.ndarray:
+    """Where the next id is another one."""
+    return pc.not_equal(ids.slice(1), ids.slice(0, len(ids) - 1)).to_numpy(zero_copy_only=False)
+
+
+def _whole_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The same rows, cut only between documents."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.table(batch)
+        changes = np.flatnonzero(_changes(batch.column(0)))
+        if held and held[-1].column(0)[-1] != table.column(0)[0]:
+            yield pa.concat_tables(held)
+            held = []
+        if len(changes):
+            cut = int(changes[-1]) + 1
+            yield pa.concat_tables([*held, table.slice(0, cut)])
+            held, table = [], table.slice(cut)
+        held.append(table)
+    if held:
+        yield pa.concat_tables(held)
+
+
+def _search_terms(posted: DataFrame, corpus_row: DataFrame, block: TermBlock, k: int, id_type: T.DataType) -> DataFrame:
+    """Best documents per task for one block of queries.
+
+    The terms of the block are broadcast to the postings, which come out of each document side by
+    side; a task adds up the scores of a document as it passes. No (document, query) pair is
+    shuffled, only the k best per task and query.
+    """
+    spark = posted.sparkSession
+    terms = spark.createDataFrame([(term, i) for i, term in enumerate(block.terms)], "term string, number int")
+    frequencies = posted.join(F.broadcast(terms), "term").groupBy("term", "number").agg(F.count(F.lit(1)).alias("df"))
+    stats = corpus_row.select(F.struct("n", "average").alias("stats"))
+    weighted = frequencies.withColumn("stats", stats.scalar()).select(
+        "term", "number", _idf(F.col("stats.n"), F.col("df")).alias("idf"), F.col("stats.average").alias("average")
+    )
+    listed = posted.filter("passes") if "passes" in posted.columns else posted
+    weight = _weight(F.col("idf"), F.col("tf"), F.col("length"), F.col("average"))
+    rows = listed.join(F.broadcast(weighted), "term").select(ID, "number", weight.alias("weight"))
+    shared, arrow_id = spark.sparkContext.broadcast(block), arrow_type(id_type)
+    schema = T.StructType([T.StructField(QUERY_ID, id_type)]).add(ID, "string").add("score", "double")
+
+    def search(batches):
+        lists = ScoreLists(shared.value, k)
+        for table in _whole_documents(batches):
+            lists.add(table)
+        yield from lists.batches(shared.value.ids, arrow_id, schema.fieldNames(), -1.0)
+
+    return rows.mapInArrow(search, schema)
+
+
 def search_text_batch(df: DataFrame, queries: DataFrame, k: int = 10, where=None, include=None, **options) -> DataFrame:
     """BM25 for every row of ``queries`` (``query_id, text``), over any of its terms."""
     if where:
         passes = F.coalesce(selection(where, **options), F.lit(False))
-        index = build_index(df.withColumn("passes", passes), ("passes",))
+        posted = postings(df.withColumn("passes", passes), keep=("passes",))
     else:
-        index = build_index(df)
-    hits = search_postings(index, query_terms(queries), k)
+        posted = postings(df)
+    id_type, parts = queries.schema[QUERY_ID].dataType, []
+    for some in split_queries(queries, QUERY_BLOCK):
+        rows = query_terms(some).collect()
+        if rows:
+            parts.append(_search_terms(posted, corpus(df), TermBlock(rows), k, id_type))
+    hits = merged(parts, df.sparkSession, id_type, "score", [F.col("score").desc(), F.col(ID)], k)
     return attach(hits, df, include, bound=k * queries.count())

@@ -12,7 +12,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from hybridframe.functions.vectors import DIGITS, closest_first, distance, metric_or_default
 from hybridframe.operators.joins import join_small, top_per_group
@@ -45,8 +45,10 @@ def nearest(
     Filters come first, so k results are found whenever k records pass them.
     """
     candidates = with_vectors(select_records(df, None, where, where_document, **options), len(query))
-    measured = candidates.withColumn("distance", distance(metric, EMBEDDING, [float(x) for x in query])).filter("distance is not null")
+    measured = candidates.withColumn("distance", distance(metric, EMBEDDING, [float(x) for x in query]))
     best = project(measured, include, ("distance",)).orderBy(closest_first(metric), ID).limit(k)
+    # Dropping the distances that are NULL before the top k would measure every record twice.
+    best = best.filter("distance is not null")
     return top_per_group(best.withColumn(QUERY_ID, F.lit(0)), QUERY_ID, [closest_first(metric), F.col(ID)], k)
 
 
@@ -65,14 +67,19 @@ class QueryBlock:
         self.keys = None if keys is None else [np.asarray(k, dtype=np.int64) for k in keys]
 
 
-def query_blocks(queries: DataFrame, size: int = QUERY_BLOCK) -> Iterator[QueryBlock]:
-    """Split queries by a hash of their id into blocks of about ``size``, read one at a time."""
+def split_queries(queries: DataFrame, size: int) -> Iterator[DataFrame]:
+    """Queries in parts of about ``size``, by a hash of their id."""
     total = queries.count()
-    blocks = -(-total // size) if total else 0
+    parts = -(-total // size)
+    for part in range(parts):
+        yield queries if parts == 1 else queries.filter(F.pmod(F.xxhash64(QUERY_ID), F.lit(parts)) == part)
+
+
+def query_blocks(queries: DataFrame, size: int = QUERY_BLOCK) -> Iterator[QueryBlock]:
+    """Blocks of about ``size`` queries, read one at a time."""
     with_keys = "keys" in queries.columns
-    for block in range(blocks):
-        part = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64(QUERY_ID), F.lit(blocks)) == block)
-        rows = part.filter("vector is not null").collect()
+    for part in split_queries(queries.filter("vector is not null"), size):
+        rows = part.collect()
         if rows:
             keys = [row["keys"] for row in rows] if with_keys else None
             yield QueryBlock([row[QUERY_ID] for row in rows], [row["vector"] for row in rows], keys)
@@ -102,17 +109,39 @@ def _rough(metric: str, x: np.ndarray, own: np.ndarray, block: QueryBlock) -> tu
         return 1.0 - dots / (own[:, None] * block.norms[None, :]), np.full_like(dots, 2e-9)
 
 
-class Best:
-    """The k closest records so far of every query of a block."""
+class TopLists:
+    """The k first records so far of every query of a block, by an order in which less is better."""
 
-    def __init__(self, metric: str, block: QueryBlock, k: int):
-        self.metric, self.block, self.k = metric, block, k
+    def __init__(self, queries: int, k: int):
+        self.k = k
         self.found: dict[int, tuple] = {}
-        # No record that costs more than this can still enter a query's list.
-        self.limits = np.full(len(block.ids), np.inf)
+        # No record that lies above this can still enter a query's list.
+        self.limits = np.full(queries, np.inf)
+
+    def offer(self, q: int, names: np.ndarray, order: np.ndarray) -> None:
+        if q in self.found:
+            names = np.concatenate([self.found[q][0], names])
+            order = np.concatenate([self.found[q][1], order])
+        keep = sorted(range(len(order)), key=lambda i: (order[i], names[i]))[: self.k]
+        self.found[q] = names[keep], order[keep]
+        if len(keep) == self.k:
+            self.limits[q] = order[keep[-1]]
+
+    def batches(self, ids: list, id_type: pa.DataType, columns: list[str], sign: float = 1.0):
+        """``query_id, _id, value`` as Arrow batches, one per query."""
+        for q, (names, order) in self.found.items():
+            arrays = [pa.array([ids[q]] * len(names), id_type), pa.array(names, pa.string()), pa.array(order * sign)]
+            yield pa.record_batch(arrays, names=columns)
+
+
+class NearestLists(TopLists):
+    """The closest records of Arrow batches ``_id, embedding[, keys]``."""
+
+    def __init__(self, metric: str, block: QueryBlock, k: int):
+        super().__init__(len(block.ids), k)
+        self.metric, self.block = metric, block
 
     def add(self, batch: pa.RecordBatch) -> None:
-        """Take in one Arrow batch ``_id, embedding[, keys]``."""
         ids, vectors = batch.column(0), batch.column(1)
         dimension = self.block.matrix.shape[1]
         x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension).astype(np.float64)
@@ -121,8 +150,9 @@ class Best:
         if self.block.keys is not None:
             keys = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
         cost, slack = _rough(self.metric, x, own, self.block)
+        limits = self.limits**2 if self.metric == "l2" else self.limits
         # A vector without a number or a length costs NaN and is never below a limit.
-        possible = cost - slack <= self.limits
+        possible = cost - slack <= limits
         for q in np.flatnonzero(possible.any(axis=0)):
             usable = possible[:, q]
             if keys is not None:
@@ -133,19 +163,14 @@ class Best:
                 limit = (cost[rows[near], q] + slack[rows[near], q]).max()
                 rows = rows[cost[rows, q] - slack[rows, q] <= limit]
             if len(rows):
-                self._merge(q, ids, rows, _measure(self.metric, x[rows], own[rows], self.block, q))
+                exact = _measure(self.metric, x[rows], own[rows], self.block, q)
+                names = np.asarray(ids.take(pa.array(rows)).to_pylist(), dtype=object)
+                self.offer(q, names, -exact if self.metric == "inner_product" else exact)
 
-    def _merge(self, q: int, ids: pa.Array, rows: np.ndarray, distances: np.ndarray) -> None:
-        names = np.asarray(ids.take(pa.array(rows)).to_pylist(), dtype=object)
-        if q in self.found:
-            names = np.concatenate([self.found[q][0], names])
-            distances = np.concatenate([self.found[q][1], distances])
-        order = -distances if self.metric == "inner_product" else distances
-        keep = sorted(range(len(order)), key=lambda i: (order[i], names[i]))[: self.k]
-        self.found[q] = names[keep], distances[keep]
-        if len(keep) == self.k:
-            worst = order[keep[-1]]
-            self.limits[q] = worst**2 if self.metric == "l2" else worst
+
+def arrow_type(id_type: T.DataType) -> pa.DataType:
+    """Arrow type of a query id: a string, an int or a long."""
+    return {"string": pa.string(), "int": pa.int32()}.get(id_type.simpleString(), pa.int64())
 
 
 def _search_block(candidates: DataFrame, block: QueryBlock, metric: str, k: int, id_type: T.DataType) -> DataFrame:
@@ -153,40 +178,45 @@ def _search_block(candidates: DataFrame, block: QueryBlock, metric: str, k: int,
     schema = T.StructType(
         [T.StructField(QUERY_ID, id_type), T.StructField(ID, T.StringType()), T.StructField("distance", T.DoubleType())]
     )
-    arrow_id = {"string": pa.string(), "int": pa.int32()}.get(id_type.simpleString(), pa.int64())
+    arrow_id, sign = arrow_type(id_type), -1.0 if metric == "inner_product" else 1.0
 
     def search(batches):
-        best = Best(metric, shared.value, k)
+        lists = NearestLists(metric, shared.value, k)
         for batch in batches:
             if batch.num_rows:
-                best.add(batch)
-        for q, (names, distances) in best.found.items():
-            yield pa.record_batch(
-                [pa.array([shared.value.ids[q]] * len(names), arrow_id), pa.array(names, pa.string()), pa.array(distances)],
-                names=schema.fieldNames(),
-            )
+                lists.add(batch)
+        yield from lists.batches(shared.value.ids, arrow_id, schema.fieldNames(), sign)
 
     return candidates.mapInArrow(search, schema)
 
 
 def nearest_ids(candidates: DataFrame, queries: DataFrame, k: int, metric: str | None) -> DataFrame:
-    """``query_id, rank, _id, distance`` of the k closest candidates of every query.
+    """``query_id, rank, _id, distance`` of the k closest candidates of every query (``query_id, vector``)."""
+    return nearest_to_blocks(candidates, list(query_blocks(queries)), queries.schema[QUERY_ID].dataType, k, metric)
+
+
+def nearest_to_blocks(
+    candidates: DataFrame, blocks: list[QueryBlock], id_type: T.DataType, k: int, metric: str | None
+) -> DataFrame:
+    """``nearest_ids`` for queries read already.
 
-    ``candidates`` has ``_id, embedding`` and, when the queries carry ``keys``, a fixed-size
-    ``keys`` array of its own; only records sharing a key with a query are compared to it.
+    ``candidates`` has ``_id, embedding`` and, when the blocks carry keys, a fixed-size ``keys``
+    array of its own; only records sharing a key with a query are compared to it.
     """
     metric = metric_or_default(metric)
-    id_type = queries.schema[QUERY_ID].dataType
-    columns = [F.col(ID), F.col(EMBEDDING)] + ([F.col("keys")] if "keys" in queries.columns else [])
-    parts = [
-        _search_block(with_vectors(candidates, block.matrix.shape[1]).select(*columns), block, metric, k, id_type)
-        for block in query_blocks(queries)
-    ]
+    parts = []
+    for block in blocks:
+        columns = [F.col(ID), F.col(EMBEDDING)] + ([] if block.keys is None else [F.col("keys")])
+        searched = with_vectors(candidates, block.matrix.shape[1]).select(*columns)
+        parts.append(_search_block(searched, block, metric, k, id_type))
+    return merged(parts, candidates.sparkSession, id_type, "distance", [closest_first(metric), F.col(ID)], k)
+
+
+def merged(parts: list[DataFrame], spark: SparkSession, id_type: T.DataType, value: str, order: list[Column], k: int) -> DataFrame:
+    """The lists of all tasks and blocks, cut to k per query."""
     if not parts:
-        empty = T.StructType([T.StructField(QUERY_ID, id_type)]).add(ID, "string").add("distance", "double")
-        parts = [candidates.sparkSession.createDataFrame([], empty)]
-    found = reduce(DataFrame.unionByName, parts)
-    return top_per_group(found, QUERY_ID, [closest_first(metric), F.col(ID)], k)
+        parts = [spark.createDataFrame([], T.StructType([T.StructField(QUERY_ID, id_type)]).add(ID, "string").add(value, "double"))]
+    return top_per_group(reduce(DataFrame.unionByName, parts), QUERY_ID, order, k)
 
 
 def attach(hits: DataFrame, df: DataFrame, include=None, bound: int | None = None) -> DataFrame:
