@@ -9,9 +9,9 @@ BROADCAST_ROWS = 200_000
 SALTS = 64
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows. Reads no more than it needs to know."""
-    return df.limit(rows + 1).count() <= rows
+def is_small(df: DataFrame) -> bool:
+    """Whether ``df`` may be broadcast. Reads no more rows than it needs to know."""
+    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
 
 def join_small(
