@@ -89,7 +89,7 @@ def dimension_of(function: Callable) -> int:
     if declared is not None:
         return int(declared)
     try:
-        return len(function("dimension")[0])
+        return len(function(["dimension"])[0])
     except Exception as problem:
         raise ValueError(f"cannot tell the dimension of the embedding function: {problem}") from problem
 
