@@ -13,8 +13,8 @@ from pyspark.sql import Column, functions as F
 from hybridframe.schema import METRICS
 
 # A query of at most this many components becomes one generated sum, several times faster than a
-# lambda over the array. Longer ones would outgrow the JIT limit for a method.
-UNROLL = 128
+# lambda over the array. Longer ones outgrow what the JIT compiles as one method.
+UNROLL = 32
 
 # Distances keep nine decimals: the noise of summing in another order is cut off, so that equal
 # records tie and go by id whichever way they were measured.

@@ -19,37 +19,47 @@ from hybridframe.schema import DEFAULT_DIMENSION, DOCUMENT, EMBEDDING
 
 BATCH_SIZE = 32
 
+# Fixed value: the seed of Spark's xxhash64.
+SPARK_SEED = 42
+
 
 class HashingEmbedder:
     """Signed feature hashing of the terms of a text, brought to length 1.
 
-    The first eight hex digits of a term's MD5 choose its component, the ninth its sign, so that
-    any SQL engine can compute the same vector.
+    A term's hash chooses its component and its sign. The hash is Spark's ``xxhash64``; a
+    ``portable`` embedder takes digits of the MD5 instead (eight for the component, the ninth for
+    the sign), slower, but any SQL engine can compute the same vector.
     """
 
-    def __init__(self, dimension: int = DEFAULT_DIMENSION):
+    def __init__(self, dimension: int = DEFAULT_DIMENSION, portable: bool = False):
         if dimension <= 0:
             raise ValueError("dimension must be positive")
         self.dimension = dimension
+        self.portable = portable
 
     def __call__(self, texts: str | list[str]) -> list[list[float]]:
         texts = [texts] if isinstance(texts, str) else list(texts)
-        return [self._one(text).tolist() for text in texts]
+        codes = pd.Series([[self._code(term) for term in split_terms(text)] for text in texts], dtype=object)
+        return [[float(x) for x in vector] for vector in _add_up(codes, self.dimension)]
+
+    def _code(self, term: str) -> int:
+        if not self.portable:
+            import xxhash
 
-    def _one(self, text: str) -> np.ndarray:
-        total = np.zeros(self.dimension)
-        for term in split_terms(text):
-            digits = hashlib.md5(term.encode()).hexdigest()
-            total[int(digits[:8], 16) % self.dimension] += 1.0 if digits[8] in "02468ace" else -1.0
-        return _unit_rows(total[None, :])[0]
+            signed = xxhash.xxh64_intdigest(term.encode(), seed=SPARK_SEED)
+            return (signed - 2**64 if signed >= 2**63 else signed) % (2 * self.dimension)
+        digits = hashlib.md5(term.encode()).hexdigest()
+        return int(digits[:8], 16) % self.dimension * 2 + int(digits[8], 16) % 2
 
     def codes(self, text: Column) -> Column:
         """``array<int>``: two times the component of every term, plus one for a negative sign."""
-        def code(digits: Column) -> Column:
+        def portable(digits: Column) -> Column:
             slot = F.conv(F.substring(digits, 1, 8), 16, 10).cast("long") % self.dimension
             return (slot * 2 + F.conv(F.substring(digits, 9, 1), 16, 10).cast("long") % 2).cast("int")
 
-        return F.transform(F.transform(tokens(text), F.md5), code)
+        if self.portable:
+            return F.transform(F.transform(tokens(text), F.md5), portable)
+        return F.transform(tokens(text), lambda term: F.pmod(F.xxhash64(term), F.lit(2 * self.dimension)).cast("int"))
 
     def column(self, text: Column) -> Column:
         dimension = self.dimension

@@ -171,11 +171,15 @@ def search_text(
     passing = select_records(df, None, where, None, **options)
     if terms:
         stats = _text_statistics(df, terms) if statistics is None else statistics
-        counted = passing.withColumn("_terms", tokens(F.col(DOCUMENT))).withColumn("_stats", stats.scalar())
-        matches = document_predicate(where_document, F.col(DOCUMENT), mode, F.col("_terms"))
-        # No filter before the top k: it would cut every text into terms a second time.
-        score = F.when(matches, _steady(_score(F.col("_terms"), F.col("_stats"), terms)))
-        scored = counted.withColumn("score", score)
+        # Each step is a projection that is read several times, which keeps Spark from computing it
+        # several times. No filter comes before the top k: it would cut every text a second time.
+        counted = passing.withColumn("_terms", tokens(F.col(DOCUMENT))).withColumn("_length", F.size("_terms"))
+        counted = counted.withColumn("_tf", F.array(*[term_frequency(F.col("_terms"), term) for term in terms]))
+        counted = counted.withColumn("_stats", stats.scalar())
+        mentioned = F.filter(F.array(*[F.lit(term) for term in terms]), lambda _, i: F.get("_tf", i) > 0)
+        matches = document_predicate(where_document, F.col(DOCUMENT), mode, mentioned)
+        score = _steady(_score(F.col("_tf"), F.col("_length"), F.col("_stats"), len(terms)))
+        scored = counted.withColumn("score", F.when(matches, score))
     else:
         scored = passing.filter(document_predicate(where_document, F.col(DOCUMENT), mode)).withColumn("score", F.lit(1.0))
     order = [F.col("score").desc_nulls_last(), F.col(ID)]
@@ -183,11 +187,9 @@ def search_text(
     return top_per_group(best.withColumn(QUERY_ID, F.lit(0)), QUERY_ID, order, k)
 
 
-def _score(terms_column: Column, stats: Column, terms: list[str]) -> Column:
-    length = F.size(terms_column)
+def _score(tf: Column, length: Column, stats: Column, terms: int) -> Column:
     weights = [
-        _weight(_idf(stats["n"], F.get(stats["df"], F.lit(i))), term_frequency(terms_column, term), length, stats["average"])
-        for i, term in enumerate(terms)
+        _weight(_idf(stats["n"], F.get(stats["df"], F.lit(i))), F.get(tf, F.lit(i)), length, stats["average"]) for i in range(terms)
     ]
     return reduce(add, weights)
 
@@ -309,7 +311,7 @@ def _whole_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.concat_tables(held)
 
 
-def _search_terms(posted: DataFrame, corpus_row: DataFrame, block: TermBlock, k: int, id_type: T.DataType) -> DataFrame:
+def _search_terms(df: DataFrame, posted: DataFrame, block: TermBlock, k: int, id_type: T.DataType) -> DataFrame:
     """Best documents per task for one block of queries.
 
     The terms of the block are broadcast to the postings, which come out of each document side by
@@ -318,8 +320,10 @@ def _search_terms(posted: DataFrame, corpus_row: DataFrame, block: TermBlock, k:
     """
     spark = posted.sparkSession
     terms = spark.createDataFrame([(term, i) for i, term in enumerate(block.terms)], "term string, number int")
-    frequencies = posted.join(F.broadcast(terms), "term").groupBy("term", "number").agg(F.count(F.lit(1)).alias("df"))
-    stats = corpus_row.select(F.struct("n", "average").alias("stats"))
+    # To count documents, their distinct terms are enough, which are cheaper than their postings.
+    distinct = df.select(F.explode(F.array_distinct(tokens(F.col(DOCUMENT)))).alias("term"))
+    frequencies = distinct.join(F.broadcast(terms), "term").groupBy("term", "number").agg(F.count(F.lit(1)).alias("df"))
+    stats = corpus(df).select(F.struct("n", "average").alias("stats"))
     weighted = frequencies.withColumn("stats", stats.scalar()).select(
         "term", "number", _idf(F.col("stats.n"), F.col("df")).alias("idf"), F.col("stats.average").alias("average")
     )
@@ -349,6 +353,6 @@ def search_text_batch(df: DataFrame, queries: DataFrame, k: int = 10, where=None
     for some in split_queries(queries, QUERY_BLOCK):
         rows = query_terms(some).collect()
         if rows:
-            parts.append(_search_terms(posted, corpus(df), TermBlock(rows), k, id_type))
+            parts.append(_search_terms(df, posted, TermBlock(rows), k, id_type))
     hits = merged(parts, df.sparkSession, id_type, "score", [F.col("score").desc(), F.col(ID)], k)
     return attach(hits, df, include, bound=k * queries.count())

@@ -1,8 +1,8 @@
 """Exact nearest neighbours for one query or many.
 
-One query is a generated expression and a top-k that never shuffles the records. Many queries are
-packed into a matrix that every task holds; a task multiplies each Arrow batch of records by it
-and keeps the best k per query, so only ``partitions * queries * k`` rows are shuffled.
+One short query is a generated expression and a top-k that never shuffles the records. Long or many
+queries are packed into a matrix that every task holds; a task multiplies each Arrow batch of
+records by it and keeps the best k per query, so only ``partitions * queries * k`` rows are shuffled.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from hybridframe.functions.vectors import DIGITS, closest_first, distance, metric_or_default
+from hybridframe.functions.vectors import DIGITS, UNROLL, closest_first, distance, metric_or_default
 from hybridframe.operators.joins import join_small, top_per_group
 from hybridframe.operators.retrieve import project, select_records
 from hybridframe.schema import EMBEDDING, ID
@@ -44,8 +44,12 @@ def nearest(
 
     Filters come first, so k results are found whenever k records pass them.
     """
-    candidates = with_vectors(select_records(df, None, where, where_document, **options), len(query))
-    measured = candidates.withColumn("distance", distance(metric, EMBEDDING, [float(x) for x in query]))
+    candidates = select_records(df, None, where, where_document, **options)
+    query = [float(x) for x in query]
+    if len(query) > UNROLL:
+        hits = nearest_to_blocks(candidates, [QueryBlock([0], [query])], T.IntegerType(), k, metric)
+        return attach(hits, df, include, bound=k)
+    measured = with_vectors(candidates, len(query)).withColumn("distance", distance(metric, EMBEDDING, query))
     best = project(measured, include, ("distance",)).orderBy(closest_first(metric), ID).limit(k)
     # Dropping the distances that are NULL before the top k would measure every record twice.
     best = best.filter("distance is not null")

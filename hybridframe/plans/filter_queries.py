@@ -55,7 +55,7 @@ def metadata_parse(spark, sf):
 def vector_codec(spark, sf):
     df = table(spark, sf, "embeddings").withColumn("back", codecs.vector_from_text(codecs.vector_to_text(F.col("embedding"))))
     total = F.aggregate("back", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
-    return df.select(F.col("vec_id").cast("string").alias("_id"), F.size("back").alias("n"), F.round(total, 6).alias("total"))
+    return df.select(F.col("vec_id").cast("string").alias("_id"), F.size("back").cast("long").alias("n"), F.round(total, 6).alias("total"))
 
 
 @query("id_decode", "SELECT doc_id, text AS readable, md5(text) || 'ff' AS unreadable FROM documents")

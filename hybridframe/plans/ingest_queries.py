@@ -9,7 +9,7 @@ from hybridframe.operators.embed import HashingEmbedder, embed, embed_missing, w
 from hybridframe.plans import answers
 from hybridframe.plans.change_queries import FOLDED, event_batch
 from hybridframe.plans.registry import RECORDS, query
-from hybridframe.plans.search_queries import HASH_DIMENSION, K, text_queries
+from hybridframe.plans.search_queries import HASH_DIMENSION, K, _whole, text_queries
 from hybridframe.plans.session import shared_folder
 from hybridframe.plans.standard import records, spread, table
 from hybridframe.sources.markdown import chunk_records, chunks
@@ -106,7 +106,7 @@ def nearest_documents_sql(k: int) -> str:
 
 
 def _answers(spark, sf, n, hybrid=False):
-    embedder = HashingEmbedder(HASH_DIMENSION)
+    embedder = HashingEmbedder(HASH_DIMENSION, portable=True)
     searched = embed(records(spark, sf).select("_id", "document", "metadata"), embedder)
     return answers.retrieve_for(searched, text_queries(spark, sf), embedder, n, hybrid)
 
@@ -136,7 +136,7 @@ def rag_prompt(spark, sf):
     CASE WHEN length(document) > 200 THEN substr(document, 1, 200) || '...' ELSE document END AS preview FROM a""",
 )
 def rag_display(spark, sf):
-    return answers.display(_answers(spark, sf, K)).drop("file_name")
+    return answers.display(_answers(spark, sf, K)).drop("file_name").withColumn("rank", _whole("rank"))
 
 
 def _hybrid_answers_sql() -> str:
@@ -154,7 +154,7 @@ def _hybrid_answers_sql() -> str:
 @query("rag_hybrid", _hybrid_answers_sql())
 def rag_hybrid(spark, sf):
     hits = _answers(spark, sf, 5, hybrid=True)
-    return hits.select("query_id", "rank", "_id", "score", "text_rank", "knn_rank")
+    return hits.select("query_id", _whole("rank"), "_id", "score", _whole("text_rank"), _whole("knn_rank"))
 
 
 # --- streams ---

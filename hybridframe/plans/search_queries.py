@@ -32,8 +32,13 @@ def text_queries(spark, sf):
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
+def _whole(name: str):
+    """A rank as SQL numbers rows."""
+    return F.col(name).cast("long").alias(name)
+
+
 def _listed(hits, *more):
-    return hits.select("rank", "_id", "distance", *more)
+    return hits.select(_whole("rank"), "_id", "distance", *more)
 
 
 # --- exact nearest neighbours ---
@@ -115,7 +120,7 @@ def knn_batch_documents(spark, sf):
 def knn_nested(spark, sf):
     hits = nearest_batch(vector_records(spark, sf), vector_queries(spark, sf), K, "l2", include=())
     ids = F.array_join(F.transform("hits", lambda hit: hit["_id"]), ",")
-    return results.nested(hits).select("query_id", F.size("hits").alias("n"), ids.alias("ids"))
+    return results.nested(hits).select("query_id", F.size("hits").cast("long").alias("n"), ids.alias("ids"))
 
 
 # --- text to vector ---
@@ -136,7 +141,7 @@ def hashed_sql(name: str, source: str, ident: str, text: str) -> str:
 
 @query("embed_hash", f"WITH {hashed_sql('h', 'documents', 'doc_id', 'text')} SELECT id AS doc_id, CAST(slot AS BIGINT) AS slot, round(x, 6) AS x FROM h")
 def embed_hash(spark, sf):
-    made = embed(records(spark, sf).select("_id", "document"), HashingEmbedder(HASH_DIMENSION))
+    made = embed(records(spark, sf).select("_id", "document"), HashingEmbedder(HASH_DIMENSION, portable=True))
     each = made.select(F.col("_id").cast("long").alias("doc_id"), F.posexplode("embedding").alias("slot", "x"))
     return each.filter("x <> 0").select("doc_id", F.col("slot").cast("long").alias("slot"), F.round(F.col("x").cast("double"), 6).alias("x"))
 
@@ -152,7 +157,7 @@ def embed_hash(spark, sf):
     SELECT query_id, rank, _id, c AS distance FROM n WHERE rank <= {K}""",
 )
 def knn_text(spark, sf):
-    embedder = HashingEmbedder(HASH_DIMENSION)
+    embedder = HashingEmbedder(HASH_DIMENSION, portable=True)
     searched = embed(records(spark, sf).select("_id", "document", "metadata"), embedder)
     queries = embed(text_queries(spark, sf), embedder, "text", "vector")
     return _listed(nearest_batch(searched, queries, K, "cosine", include=()), "query_id")
@@ -257,7 +262,7 @@ def tokenize(spark, sf):
 
 @query("postings", f"WITH {POSTINGS} SELECT term, _id, tf, length FROM post")
 def postings(spark, sf):
-    return fulltext.postings(records(spark, sf))
+    return fulltext.postings(records(spark, sf)).select("term", "_id", _whole("tf"), _whole("length"))
 
 
 @query("doc_freq", f"WITH {POSTINGS} SELECT term, df FROM freq")
@@ -299,7 +304,7 @@ for _name, (_text, _where, _sql) in BM25.items():
 
     def _ranked(spark, sf, text=_text, where=_where):
         hits = fulltext.search_text(records(spark, sf), text, K, where, ())
-        return hits.select("rank", "_id", "score")
+        return hits.select(_whole("rank"), "_id", "score")
 
     query(_name, _sql.replace("1.0 AS score", "CAST(1.0 AS DOUBLE) AS score"))(_ranked)
 
@@ -313,7 +318,7 @@ def batch_text_sql(condition: str = "TRUE") -> str:
 
 
 def _scored(hits):
-    return hits.select("query_id", "rank", "_id", "score")
+    return hits.select("query_id", _whole("rank"), "_id", "score")
 
 
 @query("bm25_batch", batch_text_sql())
@@ -338,7 +343,7 @@ def bm25_indexed(spark, sf):
 def bm25_index_all(spark, sf):
     folder = shared_folder(spark)
     fulltext.write_index(records(spark, sf), folder)
-    return fulltext.search_index(fulltext.read_index(spark, folder), BM25["bm25_all"][0], K).select("rank", "_id", "score")
+    return fulltext.search_index(fulltext.read_index(spark, folder), BM25["bm25_all"][0], K).select(_whole("rank"), "_id", "score")
 
 
 @query("bm25_index_filtered", BM25["bm25_filtered"][2])
@@ -347,7 +352,7 @@ def bm25_index_filtered(spark, sf):
     fulltext.write_index(records(spark, sf), folder)
     text, where, _ = BM25["bm25_filtered"]
     passing = select_records(records(spark, sf), where=where)
-    return fulltext.search_index(fulltext.read_index(spark, folder), text, K, passing).select("rank", "_id", "score")
+    return fulltext.search_index(fulltext.read_index(spark, folder), text, K, passing).select(_whole("rank"), "_id", "score")
 
 
 # --- hybrid search ---
@@ -375,7 +380,7 @@ def _fused(window: int, constant: int, n: int, knn: str = "g") -> str:
 
 def _shown(hits, *more):
     return hits.select(
-        *more, "rank", "_id", "score", "text_rank", "knn_rank", "distance"
+        *more, _whole("rank"), "_id", "score", _whole("text_rank"), _whole("knn_rank"), "distance"
     )
 
 
@@ -385,13 +390,13 @@ def _shown(hits, *more):
 )
 def hybrid_scalar(spark, sf):
     hits = hybrid_search(records(spark, sf), query={"where": {"lang": "de", "quality": 1}}, n_results=K)
-    return hits.select("rank", "_id", "metadata")
+    return hits.select(_whole("rank"), "_id", "metadata")
 
 
 @query("hybrid_text", bm25_sql(["the", "of"], "lang = 'en'").replace("_id, score", "_id, score, document"))
 def hybrid_text(spark, sf):
     hits = hybrid_search(records(spark, sf), query={"where_document": {"$contains": "the of"}, "where": {"lang": "en"}}, n_results=K)
-    return hits.select("rank", "_id", "score", "document")
+    return hits.select(_whole("rank"), "_id", "score", "document")
 
 
 @query("hybrid_knn", nearest_sql("cosine", "r", "x.toxic = 0"))

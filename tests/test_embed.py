@@ -18,9 +18,10 @@ def lengths():
     return call
 
 
-def test_hashing_is_the_same_in_python_and_on_spark(spark):
+@pytest.mark.parametrize("portable", [False, True])
+def test_hashing_is_the_same_in_python_and_on_spark(spark, portable):
     texts = ["The cat and the hat", "", "ünïcode Ünïcode 42", "a " * 500, None]
-    embedder = HashingEmbedder(32)
+    embedder = HashingEmbedder(32, portable)
     df = embed(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, document string"), embedder)
     made = {r["i"]: r["embedding"] for r in df.collect()}
     for i, text in enumerate(texts[:-1]):

@@ -80,10 +80,14 @@ def test_fixture_order_and_filters(five):
     assert nearest(five, [1.0, 2.0], 3, "l2").count() == 0
 
 
-def test_long_vectors_use_a_lambda(spark):
+def test_long_vectors(spark):
     long = [float(i % 7) for i in range(vectors.UNROLL + 5)]
     df = frame(spark, [("a", None, long, None), ("b", None, long[::-1], None)])
-    assert ranked(nearest(df, long, 2, "cosine")) == ["a", "b"]
+    for metric in METRICS:
+        hits = nearest(df, long, 2, metric)
+        assert ranked(hits) == ["a", "b"]
+        by_lambda = {r["_id"]: r["d"] for r in df.select("_id", vectors.distance(metric, "embedding", long).alias("d")).collect()}
+        assert {r["_id"]: r["distance"] for r in hits.collect()} == pytest.approx(by_lambda)
 
 
 def test_distance_between_columns(spark):

@@ -42,7 +42,7 @@ def test_entry(spark):
 @pytest.mark.parametrize(
     "name, parts",
     [
-        ("knn_filtered", ["TakeOrderedAndProject"]),
+        ("knn_filtered", ["WindowGroupLimit", "MapInArrow", "BroadcastHashJoin"]),
         ("bm25_any", ["TakeOrderedAndProject"]),
         ("knn_batch", ["WindowGroupLimit", "MapInArrow", "ReadSchema: struct<vec_id:bigint,embedding:array<float>>"]),
         ("bm25_batch", ["WindowGroupLimit", "MapInArrow", "BroadcastHashJoin"]),
@@ -68,6 +68,6 @@ def test_one_query_shuffles_no_records(spark):
     from hybridframe.operators.nearest import nearest
     from hybridframe.plans.standard import vector_records
 
-    plan = plan_of(nearest(vector_records(spark, SF_DIR), [0.5] * 64, 5, "l2", include=()))
+    plan = plan_of(nearest(vector_records(spark, SF_DIR), [0.5] * 32, 5, "l2", include=()))
     below = plan.split("TakeOrderedAndProject")[1]
     assert "Exchange" not in below
