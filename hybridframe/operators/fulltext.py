@@ -107,9 +107,9 @@ class TextIndex(NamedTuple):
     parts: int | None = None
 
 
-def build_index(df: DataFrame, keep: tuple[str, ...] = ()) -> TextIndex:
+def build_index(df: DataFrame) -> TextIndex:
     """The index of a frame, computed when it is used."""
-    posted = postings(df, keep=keep)
+    posted = postings(df)
     return TextIndex(posted, document_frequencies(posted), corpus(df))
 
 
@@ -140,7 +140,7 @@ def search_index(index: TextIndex, where_document, k: int = 10, passing: DataFra
         .select("term", _idf(F.col("stats.n"), F.col("df")).alias("idf"), F.col("stats.average").alias("average"))
     )
     # One row per query term, so this side is as small as the query.
-    matched = join_small(postings_of(index, terms), weighted, "term", bound=len(terms))
+    matched = join_small(postings_of(index, terms), weighted, "term", bound=len(terms), salt_by=F.col(ID))
     weight = _weight(F.col("idf"), F.col("tf"), F.col("length"), F.col("average"))
     scored = matched.groupBy(ID).agg(_steady(F.sum(weight)).alias("score"), F.collect_set("term").alias("_terms"))
     scored = scored.filter(document_predicate(where_document, F.lit(None).cast("string"), "terms", F.col("_terms")))
@@ -209,30 +209,6 @@ def query_terms(queries: DataFrame, text: str = "text") -> DataFrame:
     return queries.select(QUERY_ID, F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
 
 
-def search_postings(index: TextIndex, wanted: DataFrame, k: int = 10) -> DataFrame:
-    """``query_id, rank, _id, score`` for many queries given as ``query_id, term``.
-
-    The wanted terms meet the postings by a broadcast if they are few, by salted terms otherwise;
-    scores are summed per (query, document), a key that does not clump. Where the postings have a
-    column ``passes``, only documents that pass are listed.
-    """
-    terms = wanted.select("term").distinct()
-    posted, frequencies = index.postings, index.frequencies
-    if index.parts is None:
-        # Without a stored index, count only terms that are asked for.
-        frequencies = document_frequencies(join_small(posted, terms, "term", "left_semi", salt_by=F.col(ID)))
-    stats = index.corpus.select(F.struct("n", "average").alias("stats"))
-    weighted = join_small(frequencies, wanted, "term").withColumn("stats", stats.scalar())
-    weighted = weighted.select(
-        QUERY_ID, "term", _idf(F.col("stats.n"), F.col("df")).alias("idf"), F.col("stats.average").alias("average")
-    )
-    listed = posted.filter("passes") if "passes" in posted.columns else posted
-    hits = join_small(listed, weighted, "term", salt_by=F.col(ID), bound=wanted.count())
-    weight = _weight(F.col("idf"), F.col("tf"), F.col("length"), F.col("average"))
-    scores = hits.groupBy(QUERY_ID, ID).agg(_steady(F.sum(weight)).alias("score"))
-    return top_per_group(scores, QUERY_ID, [F.col("score").desc(), F.col(ID)], k)
-
-
 class TermBlock:
     """Some queries as, for every term number, the positions of the queries that ask for it."""
 
@@ -311,26 +287,36 @@ def _whole_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.concat_tables(held)
 
 
-def _search_terms(df: DataFrame, posted: DataFrame, block: TermBlock, k: int, id_type: T.DataType) -> DataFrame:
-    """Best documents per task for one block of queries.
+def _weighted_terms(block: TermBlock, documents: DataFrame, corpus_row: DataFrame) -> DataFrame:
+    """``term, number, idf, average`` for the terms of a block, from their ``term, df``."""
+    stats = corpus_row.select(F.struct("n", "average").alias("stats"))
+    return (
+        documents.join(F.broadcast(_numbered(documents.sparkSession, block)), "term")
+        .withColumn("stats", stats.scalar())
+        .select("term", "number", _idf(F.col("stats.n"), F.col("df")).alias("idf"), F.col("stats.average").alias("average"))
+    )
+
+
+def _numbered(spark: SparkSession, block: TermBlock) -> DataFrame:
+    return spark.createDataFrame([(term, i) for i, term in enumerate(block.terms)], "term string, number int")
+
 
-    The terms of the block are broadcast to the postings, which come out of each document side by
-    side; a task adds up the scores of a document as it passes. No (document, query) pair is
-    shuffled, only the k best per task and query.
+def _weighted_postings(posted: DataFrame, weighted: DataFrame) -> DataFrame:
+    """``_id, number, weight`` of the postings whose term is asked for, in the order of the postings.
+
+    ``weighted`` has one row per term of at most ``QUERY_BLOCK`` queries.
     """
-    spark = posted.sparkSession
-    terms = spark.createDataFrame([(term, i) for i, term in enumerate(block.terms)], "term string, number int")
-    # To count documents, their distinct terms are enough, which are cheaper than their postings.
-    distinct = df.select(F.explode(F.array_distinct(tokens(F.col(DOCUMENT)))).alias("term"))
-    frequencies = distinct.join(F.broadcast(terms), "term").groupBy("term", "number").agg(F.count(F.lit(1)).alias("df"))
-    stats = corpus(df).select(F.struct("n", "average").alias("stats"))
-    weighted = frequencies.withColumn("stats", stats.scalar()).select(
-        "term", "number", _idf(F.col("stats.n"), F.col("df")).alias("idf"), F.col("stats.average").alias("average")
-    )
-    listed = posted.filter("passes") if "passes" in posted.columns else posted
     weight = _weight(F.col("idf"), F.col("tf"), F.col("length"), F.col("average"))
-    rows = listed.join(F.broadcast(weighted), "term").select(ID, "number", weight.alias("weight"))
-    shared, arrow_id = spark.sparkContext.broadcast(block), arrow_type(id_type)
+    return posted.join(F.broadcast(weighted), "term").select(ID, "number", weight.alias("weight"))
+
+
+def _best_documents(rows: DataFrame, block: TermBlock, k: int, id_type: T.DataType) -> DataFrame:
+    """Best documents per task, from rows in which those of a document lie side by side.
+
+    A task adds up the scores of a document as it passes. No (document, query) pair is shuffled,
+    only the k best per task and query.
+    """
+    shared, arrow_id = rows.sparkSession.sparkContext.broadcast(block), arrow_type(id_type)
     schema = T.StructType([T.StructField(QUERY_ID, id_type)]).add(ID, "string").add("score", "double")
 
     def search(batches):
@@ -342,6 +328,26 @@ def _search_terms(df: DataFrame, posted: DataFrame, block: TermBlock, k: int, id
     return rows.mapInArrow(search, schema)
 
 
+def _term_blocks(queries: DataFrame) -> Iterator[TermBlock]:
+    for some in split_queries(queries, QUERY_BLOCK):
+        rows = query_terms(some).collect()
+        if rows:
+            yield TermBlock(rows)
+
+
+def search_index_batch(index: TextIndex, queries: DataFrame, k: int = 10) -> DataFrame:
+    """BM25 from an index for every row of ``queries`` (``query_id, text``): ``query_id, rank, _id, score``.
+
+    An index lies by term, so the postings that are asked for are first brought together by
+    document, a key that does not clump.
+    """
+    id_type, parts = queries.schema[QUERY_ID].dataType, []
+    for block in _term_blocks(queries):
+        rows = _weighted_postings(index.postings, _weighted_terms(block, index.frequencies, index.corpus))
+        parts.append(_best_documents(rows.repartition(ID).sortWithinPartitions(ID), block, k, id_type))
+    return merged(parts, queries.sparkSession, id_type, "score", [F.col("score").desc(), F.col(ID)], k)
+
+
 def search_text_batch(df: DataFrame, queries: DataFrame, k: int = 10, where=None, include=None, **options) -> DataFrame:
     """BM25 for every row of ``queries`` (``query_id, text``), over any of its terms."""
     if where:
@@ -350,9 +356,13 @@ def search_text_batch(df: DataFrame, queries: DataFrame, k: int = 10, where=None
     else:
         posted = postings(df)
     id_type, parts = queries.schema[QUERY_ID].dataType, []
-    for some in split_queries(queries, QUERY_BLOCK):
-        rows = query_terms(some).collect()
-        if rows:
-            parts.append(_search_terms(df, posted, TermBlock(rows), k, id_type))
+    # To count documents, their distinct terms are enough, which are cheaper than their postings.
+    distinct = df.select(F.explode(F.array_distinct(tokens(F.col(DOCUMENT)))).alias("term"))
+    for block in _term_blocks(queries):
+        asked = distinct.join(F.broadcast(_numbered(df.sparkSession, block).select("term")), "term")
+        weighted = _weighted_terms(block, document_frequencies(asked), corpus(df))
+        # The postings of a document come out of one row and through one broadcast join, side by side.
+        rows = _weighted_postings(posted.filter("passes") if where else posted, weighted)
+        parts.append(_best_documents(rows, block, k, id_type))
     hits = merged(parts, df.sparkSession, id_type, "score", [F.col("score").desc(), F.col(ID)], k)
     return attach(hits, df, include, bound=k * queries.count())

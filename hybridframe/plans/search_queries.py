@@ -336,7 +336,7 @@ def bm25_indexed(spark, sf):
     folder = shared_folder(spark)
     fulltext.write_index(records(spark, sf), folder)
     index = fulltext.read_index(spark, folder)
-    return _scored(fulltext.search_postings(index, fulltext.query_terms(text_queries(spark, sf)), K))
+    return _scored(fulltext.search_index_batch(index, text_queries(spark, sf), K))
 
 
 @query("bm25_index_all", BM25["bm25_all"][2])

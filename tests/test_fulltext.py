@@ -87,14 +87,16 @@ def test_regex_alone_scores_one(texts):
 
 @pytest.mark.parametrize("triples", [fulltext.MAX_TRIPLES, 5])
 def test_batch_index_and_single_search_agree(spark, texts, rows, tmp_path, monkeypatch, triples):
+    if triples == 5:
+        monkeypatch.setattr(fulltext, "QUERY_BLOCK", 2)
     monkeypatch.setattr(fulltext, "MAX_TRIPLES", triples)
     asked = ["the", "alpha beta", "same theta the", "nowhere", "zeta zeta"]
     queries = spark.createDataFrame(list(enumerate(asked)), "query_id int, text string")
     fulltext.write_index(texts, str(tmp_path / "index"), parts=5)
     index = fulltext.read_index(spark, str(tmp_path / "index"))
     batch = fulltext.search_text_batch(texts, queries, 10, include=())
-    posted = fulltext.search_postings(index, fulltext.query_terms(queries), 10)
-    unstored = fulltext.search_postings(fulltext.build_index(texts), fulltext.query_terms(queries), 10)
+    posted = fulltext.search_index_batch(index, queries, 10)
+    unstored = fulltext.search_index_batch(fulltext.build_index(texts), queries, 10)
     for q, text in enumerate(asked):
         expected = brute(rows, list(dict.fromkeys(split_terms(text))), 10)
         for hits in (batch, posted, unstored):
