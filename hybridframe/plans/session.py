@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-_shipped: set[str] = set()
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -18,20 +18,24 @@ def ship(spark: SparkSession) -> None:
     if app in _shipped:
         return
     package = Path(__file__).resolve().parents[1]
-    archive = shutil.make_archive(
-        str(Path(tempfile.mkdtemp(prefix="hybridframe-")) / "hybridframe"), "zip", package.parent, package.name
-    )
+    folder = tempfile.TemporaryDirectory(prefix="hybridframe-")
+    archive = f"{folder.name}/hybridframe.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
     spark.sparkContext.addPyFile(archive)
-    _shipped.add(app)
+    _shipped[app] = folder  # executors fetch from it as they start; it goes when this process ends
 
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that all executors can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``; where that is unset the session is a local
-    one, and a temporary folder will do.
+    The cluster names it in ``spark.checkpoint.dir``. Only a session whose executors are threads of
+    this process may do without: there a temporary folder is the same for all.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="hybridframe-")
     return f"{base.rstrip('/')}/hybridframe-{uuid.uuid4().hex}"
