@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from hybridframe.llm import mixing, radix  # noqa: F401
+from hybridframe.llm import langid, mixing, radix  # noqa: F401
 from hybridframe.llm.common import QUERIES, SQL  # noqa: F401
