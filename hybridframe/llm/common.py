@@ -61,14 +61,11 @@ def lower_ascii(text: Column) -> Column:
 def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, total: int, row_bytes: int) -> DataFrame:
     """Left join of ``rows`` with ``groups``, which has one row per key and the key's number of rows in ``size``.
 
-    ``groups`` is broadcast whole when its counted rows, of at most ``row_bytes`` each, fit
-    ``BROADCAST_BYTES``. Otherwise the keys that hold more than ``row_bytes / BROADCAST_BYTES`` of
-    all rows are: there can be only ``BROADCAST_BYTES / row_bytes`` of them, whatever the input.
+    Keys that hold more than ``row_bytes / BROADCAST_BYTES`` of all rows are broadcast: there can be
+    only ``BROADCAST_BYTES / row_bytes`` of them, of at most ``row_bytes`` each, whatever the input.
     Rows of the other keys are shuffled, where no key is large. ``groups`` should be staged.
     """
     most = max(1, BROADCAST_BYTES // row_bytes)
-    if groups.count() <= most:
-        return rows.join(F.broadcast(groups), on, "left")
     hot = F.col(size) * F.lit(most) > F.lit(total)
     few, many = F.broadcast(groups.filter(hot)), groups.filter(~hot)
     return rows.join(few, on, "inner").unionByName(rows.join(few.select(*on), on, "left_anti").join(many, on, "left"))

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from hybridframe.llm import bpe, langid, mixing, radix, simhash  # noqa: F401
+from hybridframe.llm import bpe, langid, mixing, radix, shards, simhash  # noqa: F401
 from hybridframe.llm.common import QUERIES, SQL  # noqa: F401
