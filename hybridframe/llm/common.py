@@ -13,8 +13,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
-# A side of a join is broadcast only while its rows, at their largest, take no more than this.
-BROADCAST_BYTES = 32 << 20
+# The keys of a join that are broadcast: no more than these, and no more bytes, at their largest.
+HOT_KEYS, BROADCAST_BYTES = 1000, 32 << 20
 
 # A word is a run of anything but these, in Java's and DuckDB's notation.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -44,10 +44,18 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: one evaluation, no lineage, survives lost executors."""
-    path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder and read it back: one evaluation, no lineage, survives lost executors.
+
+    What was shuffled for it is not needed afterwards, so Spark is asked to remove it at once.
+    """
+    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = shared_folder(spark), spark.conf.get(cleanup)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_or_empty(text: str | Column) -> Column:
@@ -61,11 +69,11 @@ def lower_ascii(text: Column) -> Column:
 def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, total: int, row_bytes: int) -> DataFrame:
     """Left join of ``rows`` with ``groups``, which has one row per key and the key's number of rows in ``size``.
 
-    Keys that hold more than ``row_bytes / BROADCAST_BYTES`` of all rows are broadcast: there can be
-    only ``BROADCAST_BYTES / row_bytes`` of them, of at most ``row_bytes`` each, whatever the input.
+    Keys that hold more than 1 / ``HOT_KEYS`` of all rows are broadcast (or fewer, where ``row_bytes`` are
+    many): there can be only ``HOT_KEYS`` of them, of at most ``row_bytes`` each, whatever the input.
     Rows of the other keys are shuffled, where no key is large. ``groups`` should be staged.
     """
-    most = max(1, BROADCAST_BYTES // row_bytes)
+    most = max(1, min(HOT_KEYS, BROADCAST_BYTES // row_bytes))
     hot = F.col(size) * F.lit(most) > F.lit(total)
     few, many = F.broadcast(groups.filter(hot)), groups.filter(~hot)
     return rows.join(few, on, "inner").unionByName(rows.join(few.select(*on), on, "left_anti").join(many, on, "left"))
