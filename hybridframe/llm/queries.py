@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from hybridframe.llm import bpe, langid, mixing, quality, radix, shards, simhash, suffixes, tokencounts  # noqa: F401
+from hybridframe.llm import bpe, langid, licenses, mixing, quality, radix, shards, simhash, suffixes, tokencounts  # noqa: F401
 from hybridframe.llm.common import QUERIES, SQL  # noqa: F401
