@@ -1,0 +1,324 @@
+"""The operators against brute force, on small tables with nulls, empty and long texts, ties and repeated rows."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from hybridframe.llm import bpe, langid, licenses, mixing, quality, radix, shards, simhash, suffixes, tokencounts
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+random.seed(7)
+SYLLABLES = ["ka", "lo", "mir", "ten", "os", "ub", "ver", "ni", "sha", "dro"]
+
+
+def prose(n: int) -> str:
+    return " ".join("".join(random.choices(SYLLABLES, k=random.randint(1, 3))) for _ in range(n))
+
+
+LONG = prose(4000)
+BASE = prose(120)
+TEXTS = [
+    None, "", "", " \n\t", "a", "A", "Ab", "aB", BASE, BASE, BASE.upper(), BASE + " end", BASE[:-1] + "z", "pre " + BASE, LONG, LONG[:-3], LONG + "é",
+    "Äa", "äA", "x" * 5000, "x" * 5000, "x" * 5001, "日本語 のテキスト", "1 2 3 ### |||\n1 2 3 ### |||\n1 2 3 ### |||\n", prose(60), prose(60),
+]
+IDS = [*range(len(TEXTS) - 3), 4, None, None]
+
+
+def ascii_lower(text: str) -> str:
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+@pytest.fixture(scope="module")
+def table(docs):
+    return docs(TEXTS, IDS)
+
+
+@pytest.fixture(scope="module")
+def empty(table):
+    return table.limit(0)
+
+
+def test_exact_groups(table, empty):
+    rows = radix.exact_groups(table, carry=["doc_id", "text"]).collect()
+    assert len(rows) == len(TEXTS)
+    sizes = Counter(ascii_lower(t or "") for t in TEXTS)
+    kept = Counter()
+    for r in rows:
+        x = ascii_lower(r.row.text or "")
+        assert r.group_size == sizes[x] and r.text_sha256 == hashlib.sha256(x.encode()).hexdigest()
+        same = [i for i, t in zip(IDS, TEXTS) if ascii_lower(t or "") == x]
+        assert r.keep_id == max((i for i in same if i is not None), default=None)
+        kept[x] += r.kept
+    assert set(kept.values()) == {1}
+    assert radix.exact_groups(empty).count() == 0
+
+
+def test_exact_dedup_of_repeated_rows_keeps_one_with_all_columns(docs):
+    frame = docs(["same", "same", "SAME", "other"], [1, 1, None, 2])
+    rows = radix.exact_dedup(frame).collect()
+    assert sorted((r.doc_id, r.text, r.n) for r in rows) == [(1, "same", "x"), (2, "other", "x")]
+
+
+def simhash_of(text):
+    words = WORD.findall(ascii_lower(text or ""))
+    import xxhash
+
+    grams = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    bits = [sum(xxhash.xxh64(g.encode(), seed=42).intdigest() >> b & 1 for g in grams) for b in range(64)]
+    return sum(1 << b for b in range(64) if 2 * bits[b] > len(grams))
+
+
+def test_simhash_components(table, empty, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 4)
+    rows = simhash.near_groups(table, carry=["text"]).collect()
+    assert len(rows) == len(TEXTS)
+    prints = [simhash_of(t) for t in TEXTS]
+    group = list(range(len(TEXTS)))
+    for _ in TEXTS:
+        for i, a in enumerate(prints):
+            for j, b in enumerate(prints):
+                if (a ^ b).bit_count() <= 2:
+                    group[i] = group[j] = min(group[i], group[j])
+    want = {}
+    for i, g in zip(IDS, group):
+        want[g] = min([x for x in (want.get(g), i) if x is not None], default=None)
+    assert Counter((r.row.id, r.fp % (1 << 64), r.component_id) for r in rows) == Counter((i, p, want[g]) for i, p, g in zip(IDS, prints, group))
+    assert sum(r.kept for r in rows) == len(set(group))
+    assert simhash.near_groups(empty).count() == 0
+
+
+def test_gray_index_finds_what_a_scan_finds():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (40, 20, 3), dtype=np.uint64)
+    fps = np.unique(base[:, None] ^ np.bitwise_xor.reduce(flips, axis=2))
+    rank = fps.copy()
+    for s in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(s)
+    fps = fps[np.argsort(rank)]
+    q, leaf = simhash.GrayIndex(fps, fps).search(fps, 2)
+    want = {(i, j) for i in range(len(fps)) for j in range(len(fps)) if int(fps[i] ^ fps[j]).bit_count() <= 2}
+    assert set(zip(q.tolist(), leaf.tolist())) == want
+
+
+@pytest.mark.parametrize("digits", [1, 3])
+def test_shards(table, empty, monkeypatch, digits):
+    monkeypatch.setattr(shards, "DIGITS", digits)
+    rows = shards.shard(table, carry=["text"]).collect()
+    sizes = Counter()
+    for t in TEXTS:
+        sizes[hashlib.sha256((t or "").encode()).hexdigest()] += len((t or "").encode()) + 1
+    ordered = np.array([sizes[k] for k in sorted(sizes)])
+    best = shards.smallest_capacity(ordered, 8, int(ordered.max()))
+    per, slots, of_text = Counter(), {}, {}
+    for r in rows:
+        text = (r.row.text or "").encode()
+        assert r["size"] == len(text) + 1 and r.text_crc32 == zlib.crc32(text)
+        per[r.shard] += r["size"]
+        slots.setdefault(r.shard, []).append(r.slot)
+        of_text.setdefault(text, set()).add(r.shard)
+    assert max(per.values()) == best and len(per) <= 8
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and all(len(s) == 1 for s in of_text.values())
+    assert shards.shard(empty).count() == 0
+
+
+def test_smallest_capacity_against_all_cuts():
+    for _ in range(30):
+        sizes = np.array([random.randint(1, 20) for _ in range(9)])
+        best = min(
+            max(map(sum, np.split(sizes, [a, b]))) for a in range(len(sizes) + 1) for b in range(a, len(sizes) + 1)
+        )
+        assert shards.smallest_capacity(sizes, 3, int(sizes.max())) == best
+
+
+def test_mix(docs, empty):
+    texts = [prose(random.randint(0, 60)) for _ in range(60)] + [None, "", "word " * 3000]
+    sources = [[None, "a", "b", "c", "é"][k % 5] for k in range(len(texts))]
+    frame = docs(texts, [*range(len(texts) - 2), 5, None], sources=sources)
+    turns = mixing.mix(frame, carry=["text"]).collect()
+    first = [t for t in turns if t["pass"] == 0]
+    assert len(first) == len(texts)
+    total = sum(t["size"] for t in first)
+    per = {}
+    for t in first:
+        assert t["size"] == len(WORD.findall(t.row.text or "")) and 0 <= t.taken <= 2 * t["size"]
+        per.setdefault(t.source, []).append(t)
+    for own in per.values():
+        assert own[0].source_size == sum(t["size"] for t in own)
+        assert sum(t.taken for t in own) == round(own[0].target) <= 2 * own[0].source_size
+    assert abs(sum(own[0].target for own in per.values()) - 1.5 * total) < 1e-6
+    assert all(0 <= t.position <= 1 for t in turns if t.words)
+    assert mixing.mix(empty).count() == 0
+    assert Counter(r.text for r in mixing.curriculum(frame).collect()) == Counter(t.row.text for t in turns if t.words and 2 * t.words >= t["size"])
+
+
+def test_time_of_inverts_the_integral(spark):
+    from pyspark.sql import functions as F
+
+    for tier, knots in enumerate(mixing.SCHEDULES):
+        frame = spark.range(0, 101).select((F.col("id") / 100).alias("part"), F.lit(tier).alias("tier"))
+        got = frame.select("part", mixing._time_of(F.col("part"), mixing.SCHEDULES).alias("t")).collect()
+        grid = np.linspace(0, 1, 200_001)
+        rate = np.interp(grid, *zip(*knots))
+        area = np.concatenate([[0], np.cumsum((rate[1:] + rate[:-1]) / 2)])
+        assert np.allclose([r.t for r in got], np.interp([r.part for r in got], area / area[-1], grid), atol=1e-3)
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizers = pytest.importorskip("tokenizers")
+    own = tokenizers.Tokenizer.from_file(bpe.default_path())
+    own.no_truncation()
+    own.no_padding()
+    return own
+
+
+PIECES = ["'", " ", "  ", "\n", "s", "re", "'ll", "a", "Z", "é", "ß", "1", "½", "\xa0", "!", "#", "<|endoftext|>", "日本", "🙂", "\x1c", "\x85", "the"]
+
+
+def test_bpe_against_the_library(library, monkeypatch):
+    path = bpe.default_path()
+    texts = ["".join(random.choices(PIECES, k=random.randint(0, 40))) for _ in range(1500)]
+    for window, chunk in ((512, 1 << 16), (16, 24)):
+        monkeypatch.setattr(bpe, "WINDOW", window)
+        monkeypatch.setattr(bpe, "CHUNK", chunk)
+        bpe.remembered.cache_clear()
+        for text in [*texts, "ab" * 900, "=" * 700, "tion" * 500]:
+            ids = [i for part in bpe.encode(text, path) for i in part]
+            assert ids == library.encode(text, add_special_tokens=False).ids
+            assert "".join(bpe.decode(ids, path)) == text
+    bpe.remembered.cache_clear()
+
+
+def test_bpe_frames(table, empty, library):
+    path = bpe.default_path()
+    rows = bpe.digests(table.withColumnRenamed("text", "t"), path, text_col="t").collect()
+    want = []
+    for i, t in zip(IDS, TEXTS):
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    assert Counter(map(tuple, rows)) == Counter(want)
+    back = bpe.decode_frame(bpe.encode_frame(table, path, carry=["text"]), path).select("row.text", "text").collect()
+    assert all((a or "") == b for a, b in back)
+    assert bpe.digests(empty, path).count() == 0
+
+
+def test_token_counts(table, empty, library):
+    rows = tokencounts.count_tokens(table, bpe.default_path(), limit=100).collect()
+    want = [(i, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in zip(IDS, TEXTS)]
+    assert Counter((r.row.id, r.n_bytes, r.n_tokens) for r in rows) == Counter(want)
+    assert all(r.over_limit == (r.n_tokens > 100) for r in rows)
+    assert tokencounts.count_tokens(empty, bpe.default_path()).count() == 0
+
+
+def test_quality_measures(table, empty):
+    for r in quality.measures(table, carry=["text"]).collect():
+        text = r.row.text or ""
+        words = WORD.findall(text)
+        windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        often = Counter(windows)
+        repeat = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(5)}
+        lines = [line for line in text.split("\n") if WORD.search(line)]
+        want = (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(repeat))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+    assert quality.judge(empty, empty.selectExpr("doc_id", "1 AS quality")).count() == 0
+
+
+def test_binomial_tail(spark):
+    from math import comb
+
+    frame = spark.createDataFrame([(k, n) for n in (1, 20, 300) for k in (0, 1, 5, 15) if k <= n], "k long, n long")
+    for r in frame.select("k", "n", quality.binomial_tail("k", "n", 0.03).alias("p")).collect():
+        assert r.p == pytest.approx(sum(comb(r.n, i) * 0.03**i * 0.97 ** (r.n - i) for i in range(r.k + 1)), rel=1e-9)
+
+
+def test_quality_cutoffs_reject_bad_and_spare_good(docs, spark):
+    good = [prose(40) for _ in range(1500)]
+    bad = [" ".join(w + "###%%%" for w in prose(40).split()) for _ in range(300)]
+    frame = docs(good + bad)
+    labels = spark.createDataFrame([(i, int(i < 1500)) for i in range(1800)], "doc_id long, quality int")
+    rows = quality.judge(frame, labels).collect()
+    assert all(r.kept == (r.id < 1500) for r in rows)
+    assert all(r.kept for r in quality.judge(frame, labels.limit(0)).collect())
+
+
+def test_language(docs, empty):
+    own = {"xx": ["ka", "lo", "mir"], "yy": ["ten", "os", "ub"], "zz": ["ве", "ни", "ша"]}
+    speak = lambda lang, n: " ".join("".join(random.choices(own[lang], k=3)) for _ in range(n))
+    langs = [lang for lang in own for _ in range(20)]
+    model = langid.train(docs([speak(lang, 50) for lang in langs], langs=langs))
+    assert model["langs"] == ["xx", "yy", "zz"]
+    mixed = speak("xx", 30) + ". " + speak("yy", 10)
+    texts = [speak("xx", 9), speak("yy", 9), speak("zz", 9), None, "", "12 !?", "漢字", mixed, mixed, LONG]
+    got = langid.identify(docs(texts, [*range(9), None]), model).collect()
+    assert [r.lang_pred for r in got[:7]] == ["xx", "yy", "zz", "und", "und", "und", "und"]
+    assert got[3].score == 0 and got[3].spans == [] and all(0 <= r.score <= 1 for r in got) and len(got) == 10
+    spans = [(s.lang, texts[7][s.first : s.last]) for s in got[7].spans]
+    assert [s[0] for s in spans] == ["xx", "yy"] and spans[1][1] == mixed.split(". ")[1] and got[7].lang_pred == "xx"
+    assert langid.identify(empty, langid.train(empty)).count() == 0
+    assert {r.lang_pred for r in langid.identify(docs(texts), langid.train(empty)).collect()} == {"und"}
+
+
+def test_viterbi_is_the_best_path(monkeypatch):
+    monkeypatch.setattr(langid, "SWITCH", 1.5)
+    rng = np.random.default_rng(3)
+    words = rng.normal(size=(6, 3)).astype(np.float32)
+    import itertools
+
+    def worth(path):
+        return sum(words[k, s] for k, s in enumerate(path)) - 1.5 * sum(a != b for a, b in zip(path, path[1:]))
+
+    best = max(itertools.product(range(3), repeat=6), key=worth)
+    assert langid.viterbi(words, np.zeros(6, np.int64)).tolist() == list(best)
+
+
+def test_suffixes(table, empty, docs):
+    texts = [*TEXTS, BASE[50:400], "q" + BASE[60:262] + "w", BASE[10:209], BASE[100:300] + "#" + BASE[100:300]]
+    frame = docs(texts, [*IDS, 90, 91, 92, 93])
+    count = Counter()
+    raw = [(t or "").encode() for t in texts]
+    for x in raw:
+        count.update(x[p : p + 200] for p in range(len(x) - 199))
+    want = []
+    for i, x in zip([*IDS, 90, 91, 92, 93], raw):
+        gone = np.zeros(len(x), bool)
+        for p in range(len(x) - 199):
+            if count[x[p : p + 200]] > 1:
+                gone[p : p + 200] = True
+        kept = np.frombuffer(x, np.uint8)[~gone].tobytes()
+        want.append((i, len(x), int(gone.sum()), int((np.diff(gone.astype(int), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()))
+    rows = suffixes.remove_repeats(frame).collect()
+    assert Counter((r.row.id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == Counter(want)
+    assert suffixes.remove_repeats(empty).count() == 0
+
+
+def test_difference_cover():
+    assert len({(a - b) % suffixes.PERIOD for a in suffixes.COVER for b in suffixes.COVER}) == suffixes.PERIOD
+
+
+def test_licenses(docs, empty):
+    notice = licenses.NOTICES["MIT-permission"]
+    texts = [
+        None, "", LONG, LONG + "\n" + notice + "\n" + LONG, notice.upper().replace(",", ""), notice.replace("charge", "cost"), "Permission is hereby granted",
+        "Licensed under CC BY-NC 4.0.", "Licensed under CC BY 4.0.", notice + " " + notice,
+    ]
+    rows = licenses.scan(docs(texts)).collect()
+    found = [[x.license for x in r.found] for r in rows]
+    assert found == [[], [], [], ["MIT-permission"], ["MIT-permission"], ["MIT-permission"], [], ["CC-BY-NC-4.0"], ["CC-BY-4.0"], ["MIT-permission"]]
+    assert rows[3].found[0].first_word == len(licenses.words_of(LONG)) and rows[3].found[0].coverage == 1
+    assert licenses.scan(empty).count() == 0
+
+
+def test_align_rises_and_matches():
+    for _ in range(200):
+        a, b = random.choices("abcdefgh", k=12), random.choices("abcdefgh", k=12)
+        pairs = licenses.align(a, b)
+        assert all(a[i] == b[j] for i, j in pairs)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
