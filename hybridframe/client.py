@@ -146,7 +146,7 @@ class Collection:
         return version
 
     def _options(self) -> dict:
-        typed = {key: F.col(typed_column(key)) for key in self._properties.typed}
+        typed = {key: (F.col(typed_column(key)), family) for key, family in self._properties.typed.items()}
         return {"variant": VARIANT, "typed": typed}
 
     def _scan(self) -> DataFrame:
@@ -409,16 +409,19 @@ class Collection:
         if ids is None and not where and not where_document:
             raise ValueError("delete needs ids, where or where_document")
         version, options = self._version(), self._options()
-        scan = self._store.read(version)
+        scan = self._store.read(version) if ids is None or isinstance(ids, DataFrame) else self._store.pick(version, ids)
         doomed = mutate.selected_for_delete(scan, ids, where, where_document, **options)
         buckets = [row["bucket"] for row in doomed.select("bucket").distinct().collect()]
         if buckets:
             self._store.rewrite(version, buckets, lambda current: mutate.delete(current, ids, where, where_document, **options))
 
     def overwrite(self, records: DataFrame) -> None:
-        """Replace all records by others, as one new version."""
+        """Replace all records by others, as one new version. An id that comes twice fails and nothing changes."""
         staged, path, version, _, _ = self._changed(self._prepared(records))
         try:
+            repeated = staged.groupBy(ID).count().filter("count > 1").first()
+            if repeated is not None:
+                raise ValueError(f"id {repeated[ID]!r} comes twice")
             self._store.replace_all(version, staged)
         finally:
             self._store.files.delete(path)

@@ -111,10 +111,20 @@ class _Field:
         return F.when(self._of(family), test).when(self.type != "VOID", F.lit(False))
 
 
+def _operands(spec, key: str) -> list:
+    """The filters below a logical operator. None at all, or an empty one, would let everything pass."""
+    parts = _parts(spec, key)
+    if not parts or any(isinstance(part, Mapping) and not part for part in parts):
+        raise ValueError(f"{key} needs filters, and none of them empty")
+    return parts
+
+
 def _field_tests(variant: Column, key: str, spec) -> list[Column]:
     field = _Field(variant, key)
     if not isinstance(spec, Mapping):
         return [field.test("$eq", spec)]
+    if not spec:
+        raise ValueError(f"no operator is given for {key!r}")
     tests = []
     for op, literal in spec.items():
         if op in COMPARE:
@@ -138,11 +148,10 @@ def where_variant(where: Mapping | None, variant: Column) -> Column:
     parts: list[Column] = []
     for key, spec in (where or {}).items():
         if key in ("$and", "$or"):
-            inner = [where_variant(sub, variant) for sub in _parts(spec, key)]
-            if inner:
-                parts.append(_all(inner) if key == "$and" else _any(inner))
+            inner = [where_variant(sub, variant) for sub in _operands(spec, key)]
+            parts.append(_all(inner) if key == "$and" else _any(inner))
         elif key == "$not":
-            parts.append(~where_variant(spec, variant))
+            parts.append(~where_variant(_operands([spec], key)[0], variant))
         elif key.startswith("$"):
             raise ValueError(f"unknown metadata operator {key!r}")
         else:
@@ -157,25 +166,41 @@ def where_json(where: Mapping | None, json: Column) -> Column:
     return F.exists(F.array(F.try_parse_json(json)), lambda v: where_variant(where, v))
 
 
-def pushdown(where: Mapping | None, typed: Mapping[str, Column]) -> Column | None:
+def pushdown(where: Mapping | None, typed: Mapping[str, tuple[Column, str]]) -> Column | None:
     """A condition on typed copies of hot keys that every row passing ``where`` also passes.
 
-    Added to the filter it changes no result, and unlike the variant it reaches the Parquet
-    statistics. Only conditions that are ANDed at the top can be used.
+    ``typed`` has the column and its family for each key. Added to the filter it changes no result, and unlike the variant it
+    reaches the Parquet statistics. Only conditions that are ANDed at the top can be used, and only literals
+    of the column's own family: others are left to the filter itself.
     """
-    parts: list[Column] = []
+    parts: list[Column | None] = []
     for key, spec in (where or {}).items():
         if key == "$and":
-            inner = [pushdown(sub, typed) for sub in spec]
-            parts.extend(part for part in inner if part is not None)
+            parts.extend(pushdown(sub, typed) for sub in spec)
         elif key in typed:
+            column, family = typed[key]
             tests = spec if isinstance(spec, Mapping) else {"$eq": spec}
             for op, literal in tests.items():
                 if op in COMPARE and literal is not None:
-                    parts.append(COMPARE[op](typed[key], F.lit(literal)))
+                    parts.append(_wider(op, column, family, literal))
                 elif op == "$in" and literal and None not in literal:
-                    parts.append(typed[key].isin(list(literal)))
-    return _all(parts) if parts else None
+                    members = [_wider("$eq", column, family, member) for member in literal]
+                    parts.append(None if any(member is None for member in members) else _any(members))
+    known = [part for part in parts if part is not None]
+    return _all(known) if known else None
+
+
+def _wider(op: str, column: Column, family: str, literal) -> Column | None:
+    """A test that admits at least what the exact one does; none for a literal of another family.
+
+    A double has room for whole numbers up to 2**53 only. Beyond, values and literals are rounded in the same direction,
+    so what was unequal may be equal, but never the other way round.
+    """
+    if _family(literal) != family:
+        return None
+    if family != "number":
+        return COMPARE[op](column, F.lit(literal))
+    return COMPARE[{"$gt": "$gte", "$lt": "$lte"}.get(op, op)](column, F.lit(float(literal)))
 
 
 # --- documents --------------------------------------------------------------------------------
@@ -204,9 +229,8 @@ def where_document(where, document: Column, mode: str = "terms", terms: Column |
         elif key == "$regex":
             parts.append(document.rlike(spec))
         elif key in ("$and", "$or"):
-            inner = [where_document(sub, document, mode, terms) for sub in _parts(spec, key)]
-            if inner:
-                parts.append(_all(inner) if key == "$and" else _any(inner))
+            inner = [where_document(sub, document, mode, terms) for sub in _operands(spec, key)]
+            parts.append(_all(inner) if key == "$and" else _any(inner))
         else:
             raise ValueError(f"unknown document operator {key!r}")
     return _all(parts)
@@ -248,7 +272,7 @@ def selection(
     variant: str | None = None,
     document: str = "document",
     mode: str = "terms",
-    typed: Mapping[str, Column] | None = None,
+    typed: Mapping[str, tuple[Column, str]] | None = None,
 ) -> Column:
     """ids AND metadata AND text as one Column; TRUE when nothing is asked."""
     parts: list[Column] = []

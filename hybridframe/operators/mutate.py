@@ -1,7 +1,7 @@
 """Keyed changes as DataFrame to DataFrame functions: current records and a batch give new records.
 
 A batch has ``_id`` and any of ``document, embedding, metadata``; a null field means "leave alone".
-An optional ``position`` orders entries that repeat an id, later ones over earlier ones.
+Where an id comes more than once, ``position`` orders its entries, later ones over earlier ones.
 """
 
 from __future__ import annotations
@@ -17,9 +17,15 @@ CHANGEABLE = (DOCUMENT, EMBEDDING, METADATA)
 
 
 def fold(batch: DataFrame) -> DataFrame:
-    """One row per id: for every field its last value that is not null."""
+    """One row per id: for every field its last value that is not null.
+
+    Rows of a DataFrame have no order of their own, so a batch without ``position`` that repeats an id fails.
+    """
     if "position" not in batch.columns:
-        batch = conform(batch).withColumn("position", F.monotonically_increasing_id())
+        repeated = F.raise_error(F.concat(F.lit("position is needed, since an id comes twice: "), F.col(ID)))
+        single = conform(batch).groupBy(ID).agg(F.count("*").alias("n"), *[F.first(field).alias(field) for field in CHANGEABLE])
+        checked = F.when(F.col("n") == 1, F.col(ID)).otherwise(repeated.cast("string"))
+        return single.select(checked.alias(ID), *CHANGEABLE)
     latest = [F.expr(f"max_by({field}, position) filter (where {field} is not null)").alias(field) for field in CHANGEABLE]
     return batch.groupBy(ID).agg(*latest).select(*FIELDS)
 

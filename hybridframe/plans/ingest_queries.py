@@ -56,8 +56,9 @@ def embed_missing_vectors(spark, sf):
 # --- sections ---
 
 CHUNKS = r"""
-parts AS (SELECT doc_id, list_filter(list_transform(string_split(text, '# '), lambda c: regexp_replace(c, '^\s+|\s+$', '', 'g')), lambda c: c <> '') AS cs FROM documents),
-chunk AS (SELECT doc_id, unnest(range(0, len(cs))) AS chunk_index, substr(unnest(cs), 1, 8000) AS text FROM parts)"""
+sections AS (SELECT doc_id, list_filter(list_transform(string_split(text, '# '), lambda c: regexp_replace(c, '^\s+|\s+$', '', 'g')), lambda c: c <> '') AS ss FROM documents),
+parts AS (SELECT doc_id, flatten(list_transform(ss, lambda s: list_transform(range(1, length(s) + 1, 8000), lambda i: substr(s, i, 8000)))) AS cs FROM sections),
+chunk AS (SELECT doc_id, unnest(range(0, len(cs))) AS chunk_index, unnest(cs) AS text FROM parts)"""
 
 
 def document_chunks(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hybridframe.schema import ID
 
-# Fixed values of the ingestion contract.
+# Fixed values of the ingestion contract: what begins a section, and the characters of a chunk.
 SEPARATOR = "# "
 MAX_CHARS = 8000
 
@@ -37,9 +37,15 @@ def sections(text: Column) -> Column:
 
 
 def chunks(files: DataFrame, source: str = "source_file", text: str = "text", max_chars: int | None = MAX_CHARS) -> DataFrame:
-    """``source_file, chunk_index, text``: sections numbered from 0. Longer ones are cut at ``max_chars``."""
-    cut = files.select(F.col(source).alias("source_file"), F.posexplode(sections(F.col(text))).alias("chunk_index", "text"))
-    return cut if max_chars is None else cut.withColumn("text", F.substring("text", 1, max_chars))
+    """``source_file, chunk_index, text``: sections in order, numbered from 0.
+
+    A section of more than ``max_chars`` characters is divided into several chunks, so that all of its text is there.
+    """
+    parts = sections(F.col(text))
+    if max_chars is not None:
+        starts = lambda part: F.sequence(F.lit(1), F.char_length(part), F.lit(max_chars))
+        parts = F.flatten(F.transform(parts, lambda part: F.transform(starts(part), lambda at: F.substring(part, at, F.lit(max_chars)))))
+    return files.select(F.col(source).alias("source_file"), F.posexplode(parts).alias("chunk_index", "text"))
 
 
 def chunk_records(cut: DataFrame) -> DataFrame:

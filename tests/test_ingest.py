@@ -51,7 +51,7 @@ def test_sections_of_files(spark, folder):
 
 def test_long_sections_are_cut_on_request(spark):
     df = spark.createDataFrame([("f", "x" * 9000 + "# y")], "source_file string, text string")
-    assert [len(r["text"]) for r in chunks(df).collect()] == [8000, 1]
+    assert [len(r["text"]) for r in chunks(df).collect()] == [8000, 1000, 1]
     assert [len(r["text"]) for r in chunks(df, max_chars=None).collect()] == [9000, 1]
 
 
