@@ -10,16 +10,13 @@ import warnings
 
 from pyspark.sql import Column, functions as F
 
+from hybridframe.functions.columns import steady
 from hybridframe.schema import METRICS
 
 # A query of at most this many components becomes one generated sum, several times faster than a
 # lambda over the array. Longer ones outgrow what the JIT compiles as one method.
 UNROLL = 32
 
-# Distances keep nine decimals: the noise of summing in another order is cut off, so that equal
-# records tie and go by id whichever way they were measured.
-DIGITS = 9
-
 
 def metric_or_default(metric: str | None) -> str:
     if metric == "ip":
@@ -58,22 +55,24 @@ def norm(vector: str) -> Column:
 
 
 def cosine_distance(vector: str, query: list[float] | str) -> Column:
-    """``1 - cosine``; NULL where a vector has no length."""
+    """``1 - cosine``, never below 0; NULL where a vector has no length."""
     if isinstance(query, list):
         norms = F.sqrt(_total(vector, query, "{a} * {a}")) * F.lit(sum(float(x) ** 2 for x in query) ** 0.5)
     else:
         norms = norm(vector) * norm(query)
-    return F.lit(1.0) - F.try_divide(inner_product(vector, query), norms)
+    found = F.lit(1.0) - F.try_divide(inner_product(vector, query), norms)
+    return F.when(found > 0, found).otherwise(F.abs(found * 0.0))
 
 
 def distance(metric: str | None, vector: str, query: list[float] | str) -> Column:
-    """Distance of a vector column to ``query``, a Python list or the name of another vector column."""
+    """Distance of a vector column to ``query``, a Python list or the name of another vector column; NULL where it is no number."""
     measure = {"l2": l2_distance, "cosine": cosine_distance, "inner_product": inner_product}[metric_or_default(metric)]
-    return F.round(measure(vector, query), DIGITS)
+    measured = measure(vector, query)
+    return F.when(~F.isnan(measured), measured)
 
 
 def closest_first(metric: str | None, distance_column: str = "distance") -> Column:
-    column = F.col(distance_column)
+    column = steady(F.col(distance_column))
     return column.desc_nulls_last() if metric_or_default(metric) == "inner_product" else column.asc_nulls_last()
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from hybridframe.functions.columns import let
+from hybridframe.functions.columns import let, steady
 from hybridframe.functions.predicates import contained_terms, selection, where_document as document_predicate
 from hybridframe.functions.text import term_counts, term_frequency, tokens
 from hybridframe.operators.joins import join_small, top_per_group
@@ -29,9 +29,6 @@ from hybridframe.schema import DOCUMENT, ID
 K1 = 1.2
 B = 0.75
 
-# Decimals of a score.
-DIGITS = 6
-
 # Folders of a stored index.
 PARTS = 64
 
@@ -48,11 +45,6 @@ def _weight(idf: Column, tf: Column, length: Column, average: Column) -> Column:
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average))
 
 
-def _steady(score: Column) -> Column:
-    """Cut the noise of summing in another order, so that equal documents tie and go by id."""
-    return F.round(score, DIGITS)
-
-
 def postings(df: DataFrame, document: str = DOCUMENT, keep: tuple[str, ...] = ()) -> DataFrame:
     """``term, _id, tf, length``: one row per distinct term of a document. No shuffle."""
     counted = df.filter(F.col(document).isNotNull()).select(
@@ -142,7 +134,7 @@ def search_index(index: TextIndex, where_document, k: int = 10, passing: DataFra
     # One row per query term, so this side is as small as the query.
     matched = join_small(postings_of(index, terms), weighted, "term", bound=len(terms), salt_by=F.col(ID))
     weight = _weight(F.col("idf"), F.col("tf"), F.col("length"), F.col("average"))
-    scored = matched.groupBy(ID).agg(_steady(F.sum(weight)).alias("score"), F.collect_set("term").alias("_terms"))
+    scored = matched.groupBy(ID).agg(steady(F.sum(weight)).alias("score"), F.collect_set("term").alias("_terms"))
     scored = scored.filter(document_predicate(where_document, F.lit(None).cast("string"), "terms", F.col("_terms")))
     if passing is not None:
         scored = scored.join(passing.select(ID), ID, "left_semi")
@@ -178,7 +170,7 @@ def search_text(
         counted = counted.withColumn("_stats", stats.scalar())
         mentioned = F.filter(F.array(*[F.lit(term) for term in terms]), lambda _, i: F.get("_tf", i) > 0)
         matches = document_predicate(where_document, F.col(DOCUMENT), mode, mentioned)
-        score = _steady(_score(F.col("_tf"), F.col("_length"), F.col("_stats"), len(terms)))
+        score = steady(_score(F.col("_tf"), F.col("_length"), F.col("_stats"), len(terms)))
         scored = counted.withColumn("score", F.when(matches, score))
     else:
         scored = passing.filter(document_predicate(where_document, F.col(DOCUMENT), mode)).withColumn("score", F.lit(1.0))
@@ -251,7 +243,9 @@ class ScoreLists(TopLists):
         offset = np.arange(asked.sum()) - np.repeat(asked.cumsum() - asked, asked)
         asker = self.block.askers[np.repeat(self.block.starts[numbers], asked) + offset]
         cell = np.repeat(document, asked) * queries + asker
-        scores = np.bincount(cell, np.repeat(weights, asked), len(begins) * queries).reshape(-1, queries).round(DIGITS)
+        scores = np.bincount(cell, np.repeat(weights, asked), len(begins) * queries).reshape(-1, queries)
+        # A document without any of a query's terms has nothing added up; weights are above 0.
+        scores = steady(scores)
         possible = (scores > 0) & (-scores <= self.limits)
         for q in np.flatnonzero(possible.any(axis=0)):
             rows = np.flatnonzero(possible[:, q])

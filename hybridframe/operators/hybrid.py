@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from hybridframe.functions.columns import steady
 from hybridframe.functions.predicates import only_contains
 from hybridframe.functions.vectors import metric_or_default
 from hybridframe.operators.approximate import CellIndex, nearest_in_cells
@@ -42,7 +43,7 @@ def reciprocal_rank(legs: Mapping[str, DataFrame], k: int, window: int = RANK_WI
         for name, leg in legs.items()
     ]
     kept = [F.max(name).alias(name) for name in (*[f"{name}_rank" for name in names], "distance")]
-    fused = reduce(DataFrame.unionByName, labelled).groupBy(QUERY_ID, ID).agg(F.round(F.sum("share"), 9).alias("score"), *kept)
+    fused = reduce(DataFrame.unionByName, labelled).groupBy(QUERY_ID, ID).agg(steady(F.sum("share")).alias("score"), *kept)
     return top_per_group(fused, QUERY_ID, [F.col("score").desc(), F.col(ID)], k)
 
 

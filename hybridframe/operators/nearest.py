@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from hybridframe.functions.vectors import DIGITS, UNROLL, closest_first, distance, metric_or_default
+from hybridframe.functions.columns import steady
+from hybridframe.functions.vectors import UNROLL, closest_first, distance, metric_or_default
 from hybridframe.operators.joins import join_small, top_per_group
 from hybridframe.operators.retrieve import project, select_records
 from hybridframe.schema import EMBEDDING, ID
@@ -93,12 +94,12 @@ def _measure(metric: str, x: np.ndarray, own: np.ndarray, block: QueryBlock, q:
     """Distances of some rows to query ``q``."""
     query = block.matrix[q]
     if metric == "l2":
-        return np.round(np.sqrt(((x - query) ** 2).sum(axis=1)), DIGITS)
+        return np.sqrt(((x - query) ** 2).sum(axis=1))
     dots = (x * query).sum(axis=1)
     if metric == "inner_product":
-        return np.round(dots, DIGITS)
+        return dots
     with np.errstate(divide="ignore", invalid="ignore"):
-        return np.round(np.maximum(1.0 - dots / (own * block.norms[q]), 0.0), DIGITS)
+        return np.maximum(1.0 - dots / (own * block.norms[q]), 0.0)
 
 
 def _rough(metric: str, x: np.ndarray, own: np.ndarray, block: QueryBlock) -> tuple[np.ndarray, np.ndarray]:
@@ -126,10 +127,14 @@ class TopLists:
         if q in self.found:
             names = np.concatenate([self.found[q][0], names])
             order = np.concatenate([self.found[q][1], order])
-        keep = sorted(range(len(order)), key=lambda i: (order[i], names[i]))[: self.k]
+        key = steady(order)
+        if len(key) > 4 * self.k:
+            near = np.flatnonzero(key <= np.partition(key, self.k - 1)[self.k - 1])
+            names, order, key = names[near], order[near], key[near]
+        keep = np.lexsort((names, key))[: self.k]
         self.found[q] = names[keep], order[keep]
         if len(keep) == self.k:
-            self.limits[q] = order[keep[-1]]
+            self.limits[q] = order[keep].max()
 
     def batches(self, ids: list, id_type: pa.DataType, columns: list[str], sign: float = 1.0):
         """``query_id, _id, value`` as Arrow batches, one per query."""

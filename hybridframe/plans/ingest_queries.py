@@ -137,7 +137,7 @@ def rag_prompt(spark, sf):
     CASE WHEN length(document) > 200 THEN substr(document, 1, 200) || '...' ELSE document END AS preview FROM a""",
 )
 def rag_display(spark, sf):
-    return answers.display(_answers(spark, sf, K)).drop("file_name").withColumn("rank", _whole("rank"))
+    return answers.display(_answers(spark, sf, K).withColumn("distance", F.round("distance", 9))).drop("file_name").withColumn("rank", _whole("rank"))
 
 
 def _hybrid_answers_sql() -> str:

@@ -79,7 +79,7 @@ def knn_doc_filtered(spark, sf):
 @query("knn_similarity", nearest_sql("l2").replace("AS distance", "AS distance, 1.0 / (1.0 + d) AS similarity"))
 def knn_similarity(spark, sf):
     hits = nearest(vector_records(spark, sf), vector_of(spark, sf, 7), K, "l2", include=())
-    return _listed(hits, similarity(F.col("distance")).alias("similarity"))
+    return _listed(hits.withColumn("distance", F.round("distance", 9)), similarity(F.col("distance")).alias("similarity"))
 
 
 def batch_sql(metric: str, source: str = "v", where: str = "TRUE", k: int = K) -> str:

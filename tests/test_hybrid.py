@@ -109,7 +109,7 @@ def test_texts_and_vectors_per_query(spark, eight):
     texts = spark.createDataFrame([(0, "machine learning"), (1, "python")], "query_id int, text string")
     vectors = spark.createDataFrame([(0, Q), (1, [2.2, 3.2, 4.2])], "query_id int, vector array<double>")
     hits = hybrid_search(eight, {"query_texts": texts}, {"query_embeddings": vectors, "n_results": 3}, n_results=4, metric="l2")
-    alone = hybrid_search(eight, "x" and {"where_document": "python"}, {"query_embeddings": [2.2, 3.2, 4.2], "n_results": 3}, n_results=4, metric="l2")
+    alone = hybrid_search(eight, {"where_document": "python"}, {"query_embeddings": [2.2, 3.2, 4.2], "n_results": 3}, n_results=4, metric="l2")
     assert ranked(hits.filter("query_id = 1")) == ranked(alone)
 
 
