@@ -19,7 +19,7 @@ def plan_of(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", sorted(set(__spark_entry__.queries()) - set(__spark_entry__.LLM_QUERIES)))
 def test_query(spark, name):
     plans = []
 
@@ -32,6 +32,8 @@ def test_query(spark, name):
     assert ok, note
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert forbidden not in plans[0]
+    if name not in SQL:
+        pytest.skip("it runs, but there is no SQL to compare it with")
 
 
 def test_entry(spark):
