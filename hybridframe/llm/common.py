@@ -71,9 +71,9 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: list[str], size: str, to
 
     Keys that hold more than 1 / ``HOT_KEYS`` of all rows are broadcast (or fewer, where ``row_bytes`` are
     many): there can be only ``HOT_KEYS`` of them, of at most ``row_bytes`` each, whatever the input.
-    Rows of the other keys are shuffled, where no key is large. ``groups`` should be staged.
+    Rows of the other keys are shuffled, where no key is large, in the same way for small and large inputs. ``groups`` should be staged.
     """
     most = max(1, min(HOT_KEYS, BROADCAST_BYTES // row_bytes))
     hot = F.col(size) * F.lit(most) > F.lit(total)
     few, many = F.broadcast(groups.filter(hot)), groups.filter(~hot)
-    return rows.join(few, on, "inner").unionByName(rows.join(few.select(*on), on, "left_anti").join(many, on, "left"))
+    return rows.join(few, on, "inner").unionByName(rows.join(few.select(*on), on, "left_anti").join(many.hint("shuffle_merge"), on, "left"))
