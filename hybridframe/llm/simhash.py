@@ -12,7 +12,7 @@ from hybridframe.llm.common import documents, join_groups, query, stage
 
 SEED, SHINGLE, DISTANCE = 42, 3, 2
 # Fingerprints of a block of the index, until there are MAX_BLOCKS of them, and the upper nodes of a block that all tasks know.
-BLOCK, MAX_BLOCKS, UPPER = 1 << 14, 1 << 12, 64
+BLOCK, MAX_BLOCKS, UPPER = 1 << 16, 1 << 12, 64
 FAN = 8
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
