@@ -73,9 +73,9 @@ def test_a_stored_vector_finds_itself(five):
 
 
 def test_fixture_order_and_filters(five):
-    assert ranked(nearest(five, [1, 2, 3], 3, "l2")) == ["r1", "r3", "r5"]
-    assert ranked(nearest(five, [1, 2, 3], 10, "l2", {"score": {"$gte": 90}})) == ["r1", "r3", "r4"]
-    assert ranked(nearest(five, [1, 2, 3], 10, "l2", None, {"$contains": "python"})) == ["r2", "r4"]
+    assert ranked(nearest(five, [4, 0, 1], 3, "l2")) == ["r1", "r3", "r5"]
+    assert ranked(nearest(five, [4, 0, 1], 10, "l2", {"price": {"$lte": 48}})) == ["r3", "r5", "r2"]
+    assert ranked(nearest(five, [4, 0, 1], 10, "l2", None, {"$contains": "green"})) == ["r2", "r4"]
     assert ranked(nearest(five, [9, 9, 9], 1, "inner_product")) == ["r4"]
     assert nearest(five, [1.0, 2.0], 3, "l2").count() == 0
 

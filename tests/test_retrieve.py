@@ -33,7 +33,7 @@ def test_ids_as_frame_or_list(five):
     wanted = five.sparkSession.createDataFrame([("r2",), ("r9",), ("r2",)], "_id string")
     assert ids(retrieve.select_records(five, wanted)) == {"r2"}
     assert ids(retrieve.select_records(five, ["r2", "r9"])) == {"r2"}
-    assert ids(retrieve.select_records(five, "r4", {"tag": "python"})) == {"r4"}
+    assert ids(retrieve.select_records(five, "r4", {"room": "bedroom"})) == {"r4"}
 
 
 def test_null_metadata_reads_as_empty_object(spark):
