@@ -248,6 +248,17 @@ def _star(edges: DataFrame, moved: Column) -> DataFrame:
     return hung.unionByName(itself).filter("a <> b").distinct()
 
 
+def group_rows(rows: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``row fp component_id kept`` of the rows, from the edges between their nodes (``fp``, ``first`` row, ``n`` rows)."""
+    members = stage(components(edges).join(nodes, "fp"))
+    labels = stage(members.groupBy("label").agg(F.min("first").alias("lowest"), F.count("*").alias("size")))
+    total = labels.agg(F.sum("size")).first()[0] or 0
+    linked = join_groups(members.select("fp", "label"), labels, ["label"], "size", total, 64).select("fp", "lowest")
+    table = stage(nodes.join(linked, "fp", "left").select("fp", "n", F.coalesce("lowest", "first").alias("lowest")))
+    found = join_groups(rows, table, ["fp"], "n", nodes.agg(F.sum("n")).first()[0] or 0, 64)
+    return found.select("row", "fp", F.col("lowest.id").alias("component_id"), (F.col("lowest.rid") == F.col("rid")).alias("kept"))
+
+
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry=()) -> DataFrame:
     """``row`` (id and ``carry``), ``fp``, ``component_id`` and ``kept`` for every row of ``df``.
 
@@ -261,19 +272,7 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
     rows = stage(rows.withColumn("rid", F.monotonically_increasing_id()))
     first = F.struct(F.col("id").isNull().alias("none"), "id", "rid")
     nodes = stage(rows.groupBy("fp").agg(F.min(first).alias("first"), F.count("*").alias("n")))
-    members = stage(components(near_links(nodes)).join(nodes, "fp"))
-    labels = stage(members.groupBy("label").agg(F.min("first").alias("lowest"), F.count("*").alias("size")))
-    total = labels.agg(F.sum("size")).first()[0] or 0
-    linked = join_groups(members.select("fp", "label"), labels, ["label"], "size", total, 64).select("fp", "lowest")
-    table = stage(nodes.join(linked, "fp", "left").select("fp", "n", F.coalesce("lowest", "first").alias("lowest")))
-    found = join_groups(rows, table, ["fp"], "n", nodes.agg(F.sum("n")).first()[0] or 0, 64)
-    return found.select("row", "fp", F.col("lowest.id").alias("component_id"), (F.col("lowest.rid") == F.col("rid")).alias("kept"))
-
-
-def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, unchanged: one of each component, see ``near_groups``."""
-    found = near_groups(df, id_col, text_col, [F.struct(*df.columns).alias("whole")])
-    return found.filter("kept").select(*[F.col("row.whole")[c].alias(c) for c in df.columns])
+    return group_rows(rows, nodes, near_links(nodes))
 
 
 @query("op2_simhash")
