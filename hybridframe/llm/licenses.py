@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -22,11 +25,20 @@ NOTICES = {
     "BSD-conditions": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
 }
 COVERAGE = 0.9
 WORDS = re.compile(r"\w+")
 
 
+@functools.lru_cache(1)
+def templates() -> dict[str, str]:
+    """The notices, and the whole licences (named with ``-text``) and usual headers in the folder ``license_texts``."""
+    files = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    return NOTICES | {x.stem + ("" if x.stem.endswith("-header") else "-text"): x.read_text("utf-8") for x in files}
+
+
 def words_of(text: str) -> list[str]:
     return WORDS.findall(text.lower())
 
@@ -73,64 +85,84 @@ def rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def find(words: list[str], notice: list[str]) -> tuple[int, int, int]:
-    """Most words of the notice found together: their number, and the first and last position in the text.
+def least(notice: list[str]) -> int:
+    """How many of its words must be aligned."""
+    return math.ceil(COVERAGE * len(notice) - 1e-9)
+
+
+def find(words: list[str], notice: list[str]) -> list[tuple[int, int, int]]:
+    """All places with enough words of the notice: the number of words, and their first and last position in the text.
 
-    The text is looked at around each place of the notice's rarest word in it (a notice that is there lacks
-    at most a few words, so each of the rarest few is tried), and a notice's length to both sides.
+    A place lacks at most ``spare`` positions of the notice, so of any words that fill more of its positions one is
+    there. The rarest in the text are taken, and the text is aligned around each place of theirs, once as far as the place
+    of the word in the notice tells and once a notice's length to both sides. Of places that overlap the fullest stays.
     """
-    counts, wanted = Counter(words), set(notice)
-    present = sorted((w for w in wanted if counts[w]), key=lambda w: (counts[w], w))
-    rare = set(present[: len(wanted) - int(len(wanted) * COVERAGE) + 1])
-    best, size = (0, -1, -1), len(notice)
+    counts, wanted, size, need = Counter(words), Counter(notice), len(notice), least(notice)
+    rare, filled = {}, 0
+    for word in sorted(wanted, key=lambda w: (counts[w], w)):
+        if filled > size - need:
+            break
+        filled += wanted[word]
+        rare[word] = [j for j, w in enumerate(notice) if w == word]
+    places, whole = [], -1
     for at, word in enumerate(words):
-        if word in rare:
-            start = max(0, at - size)
-            pairs = align(words[start : at + size], notice)
-            if len(pairs) > best[0]:
-                best = (len(pairs), start + pairs[0][0], start + pairs[-1][0])
-                if best[0] == size:
-                    return best
-    return best
+        if at <= whole or word not in rare:
+            continue
+        spare = size - need
+        for start, stop in {*((at - j - spare, at - j + size + spare) for j in rare[word]), (at - size, at + size)}:
+            start = max(0, start)
+            pairs = align(words[start:stop], notice)
+            if len(pairs) >= need:
+                places.append((len(pairs), start + pairs[0][0], start + pairs[-1][0]))
+                if len(pairs) == size == places[-1][2] - places[-1][1] + 1:
+                    whole = max(whole, places[-1][2])
+    out = []
+    for x in sorted(set(places), key=lambda x: (-x[0], x[2] - x[1], x[1])):
+        if all(x[2] < y[1] or x[1] > y[2] for y in out):
+            out.append(x)
+    return sorted(out, key=lambda x: x[1])
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: dict[str, str] | None = None, carry=()) -> DataFrame:
-    """``row`` (id and ``carry``) and ``found``, an array of ``license coverage first_word last_word``, for every row of ``df``.
+    """``row`` (id and ``carry``) and ``found``, an array of ``license coverage first_word last_word spans``, for every row of ``df``.
 
     A notice is found where at least 0.9 of its words (case and punctuation aside) are aligned; ``coverage`` is
-    their share, and first and last are words of the whole text. A notice found within a longer one is part of it. Only texts that contain enough of
-    a notice's words at all are aligned. Null and empty texts have none; repeated rows have the same.
+    their share, and first and last are words of the whole text. These are of the fullest place, ``spans`` has
+    all places (``coverage first_word last_word``) in order. A place within a longer notice's is part of it. Only
+    texts that contain enough of a notice's words at all are aligned. Null and empty texts have none; repeated rows have the same.
     """
-    wanted = {name: words_of(text) for name, text in (notices or NOTICES).items()}
-
-    def _inside(x: dict, y: dict) -> bool:
-        """Whether the same words are more of another notice."""
-        more = y["coverage"] * len(wanted[y["license"]]) > x["coverage"] * len(wanted[x["license"]])
-        return more and y["first_word"] <= x["first_word"] and x["last_word"] <= y["last_word"]
+    wanted = {name: words_of(text) for name, text in (notices or templates()).items()}
 
     def run(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        distinct = {name: sorted(set(words), key=lambda w: (-len(w), w)) for name, words in wanted.items()}
+        # the longest words first, as these are missing soonest
+        known = {name: sorted(Counter(words).items(), key=lambda x: (-len(x[0]), x[0])) for name, words in wanted.items()}
         for texts in columns:
             out = []
             for text in texts:
-                low, words, found = (text or "").lower(), None, []
+                words, places = words_of(text or ""), []
+                own = set(words)
                 for name, notice in wanted.items():
-                    spare = len(notice) - -(-len(notice) * COVERAGE // 1)
-                    for word in distinct[name]:
-                        if word not in low:
-                            spare -= 1
+                    spare = len(notice) - least(notice)
+                    if len(words) < len(notice) - spare:
+                        continue
+                    for word, times in known[name]:
+                        if word not in own:
+                            spare -= times
                             if spare < 0:
                                 break
-                    if spare < 0:
-                        continue
-                    words = words_of(text) if words is None else words
-                    count, first, last = find(words, notice)
-                    if count >= COVERAGE * len(notice):
-                        found.append({"license": name, "coverage": count / len(notice), "first_word": first, "last_word": last})
-                out.append([x for x in found if not any(_inside(x, y) for y in found)])
+                    if spare >= 0:
+                        places += [(name, *x) for x in find(words, notice)]
+                places = [x for x in places if not any(y[1] > x[1] and y[2] <= x[2] and x[3] <= y[3] for y in places)]
+                found = []
+                for name in wanted:
+                    spans = [{"coverage": n / len(wanted[name]), "first_word": a, "last_word": b} for of, n, a, b in places if of == name]
+                    if spans:
+                        found.append({"license": name, **max(spans, key=lambda x: x["coverage"]), "spans": spans})
+                out.append(found)
             yield pd.Series(out, dtype=object)
 
-    found = F.pandas_udf(run, "array<struct<license:string,coverage:double,first_word:int,last_word:int>>")
+    span = "coverage:double,first_word:int,last_word:int"
+    found = F.pandas_udf(run, f"array<struct<license:string,{span},spans:array<struct<{span}>>>>")
     return df.select(F.struct(F.col(id_col).alias("id"), *carry).alias("row"), found(F.col(text_col)).alias("found"))
 
 
@@ -141,4 +173,5 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("row.id").alias("doc_id"), F.array_join(F.transform("found", lambda x: x["license"]), ",").alias("licenses"),
         F.size("found").alias("n_licenses"), F.coalesce(best, F.lit(0.0)).alias("coverage"),
+        F.aggregate("found", F.lit(0), lambda n, x: n + F.size(x["spans"])).alias("n_spans"),
     )
