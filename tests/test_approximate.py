@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import frame
+from helpers import frame
 
 from hybridframe.operators import approximate
 from hybridframe.operators.nearest import nearest_batch, query_frame

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import EIGHT, FIVE, frame
+from helpers import EIGHT, FIVE, frame
 from pyspark.sql import functions as F
 
 from hybridframe.client import AdminClient, Client, VectorConfiguration

@@ -6,7 +6,7 @@ import math
 from collections import Counter
 
 import pytest
-from conftest import frame, ids, ranked
+from helpers import frame, ids, ranked
 from pyspark.sql import functions as F
 
 from hybridframe.functions.text import split_terms, term_counts, term_frequency, tokens

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import ids, ranked
+from helpers import ids, ranked
 from pyspark.sql import functions as F
 
 from hybridframe import results

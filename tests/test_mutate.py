@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from conftest import frame, ids
+from helpers import frame, ids
 
 from hybridframe.operators import mutate
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import frame, ranked
+from helpers import frame, ranked
 from pyspark.sql import functions as F
 
 from hybridframe.functions import vectors

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import frame, ids
+from helpers import frame, ids
 from pyspark.sql import functions as F
 
 from hybridframe.functions.predicates import (

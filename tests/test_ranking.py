@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import frame, ranked
+from helpers import frame, ranked
 
 from hybridframe.operators.fulltext import search_text, search_text_batch
 from hybridframe.operators.nearest import nearest, nearest_batch, query_frame

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import frame, ids
+from helpers import frame, ids
 from pyspark.sql import functions as F
 
 from hybridframe.functions import records as codecs
