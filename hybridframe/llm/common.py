@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import threading
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -50,6 +52,8 @@ def stage(df: DataFrame) -> DataFrame:
     """
     spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     path, before = shared_folder(spark), spark.conf.get(cleanup)
+    if getattr(_noting, "folders", None) is not None:
+        _noting.folders.append(path)
     spark.conf.set(cleanup, "true")
     try:
         df.write.parquet(path)
@@ -58,6 +62,27 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_noting = threading.local()
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The folders of the tables that this thread stages meanwhile, for ``remove``."""
+    before, folders = getattr(_noting, "folders", None), []
+    _noting.folders = folders
+    try:
+        yield folders
+    finally:
+        _noting.folders = before
+
+
+def remove(spark: SparkSession, folders: list[str]) -> None:
+    """Delete staged tables that nothing will read any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_or_empty(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 

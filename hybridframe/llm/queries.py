@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-from hybridframe.llm import bpe, langid, licenses, mixing, quality, radix, shards, simhash, suffixes, tokencounts  # noqa: F401
+from hybridframe.llm import (  # noqa: F401
+    bpe, langid, lexical, licenses, lines, mixing, quality, radix, shards, simhash, suffixes, tokencounts, variants,
+)
 from hybridframe.llm.common import QUERIES, SQL  # noqa: F401
