@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -59,39 +60,37 @@ def _rotations(words: DataFrame) -> DataFrame:
     return both.filter(F.when(F.col("letter").isNull(), F.col("length") <= LONG).otherwise(F.col("at") < F.col("length"))).drop("length")
 
 
-def _long_rotations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _long_rotations(longest: int):
     """The same for longer rotations: the key is a hash of each side of the mark; ``place`` orders the words of one key."""
     names = ["key", "name", "n", "place", "leads", "cut"]
 
-    def rows():
-        for batch in batches:
-            for word, name, n in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                heads, power = [0], [1]
-                for letter in word:
-                    heads.append((heads[-1] * BASE + ord(letter) + 1) % PRIME)
-                    power.append(power[-1] * BASE % PRIME)
-                size, after = len(word), [len(word)] * (len(word) + 1)
-                for i in range(size - 2, -1, -1):
-                    after[i] = after[i + 1] if word[i] == word[i + 1] else i + 1
-                for at in range(size + 1):
-                    tail = (heads[size] - heads[at] * power[size - at]) % PRIME
-                    place = -1
-                    if at < size:
-                        place = 3 * ord(word[at]) + (1 if after[at] < size and word[after[at]] > word[at] else -1)
-                    yield f"{at}.{size - at}.{heads[at]:x}.{tail:x}", name, n, place, False, False
-                    if at < size and size > LONG + 1:
-                        tail = (heads[size] - heads[at + 1] * power[size - at - 1]) % PRIME
-                        leads = at == 0 or word[at - 1] != word[at]
-                        yield f"{at}.{size - at - 1}.{heads[at]:x}.{tail:x}", name, n, 3 * ord(word[at]), leads, True
-
-    part = []
-    for row in rows():
-        part.append(row)
-        if len(part) == PER_BATCH:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], names)
-            part = []
-    if part:
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], names)
+    def rotations(word: str, name: str, n: int) -> Iterator[tuple]:
+        heads, power = [0], [1]
+        for letter in word:
+            heads.append((heads[-1] * BASE + ord(letter) + 1) % PRIME)
+            power.append(power[-1] * BASE % PRIME)
+        size = len(word)
+        tail = lambda start: f"{(heads[size] - heads[start] * power[size - start]) % PRIME:x}"
+        after = [size] * (size + 1)
+        for i in range(size - 2, -1, -1):
+            after[i] = after[i + 1] if word[i] == word[i + 1] else i + 1
+        for at in range(size + 1):
+            place = -1
+            if at < size:
+                # after the words with this letter inserted if the run of it is followed by a larger one, else before
+                place = 3 * ord(word[at]) + (1 if after[at] < size and word[after[at]] > word[at] else -1)
+            yield f"{at}.{size - at}.{heads[at]:x}.{tail(at)}", name, n, place, False, False
+            if at < size and size > longest + 1:
+                leads = at == 0 or word[at - 1] != word[at]
+                yield f"{at}.{size - at - 1}.{heads[at]:x}.{tail(at + 1)}", name, n, 3 * ord(word[at]), leads, True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in range(3))))
+        rows = (row for word in words for row in rotations(*word))
+        while part := list(itertools.islice(rows, PER_BATCH)):
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*part)], names)
+
+    return run
 
 
 def _scan(members: DataFrame, group: list[str], order: list[Column], who: Column) -> DataFrame:
@@ -136,7 +135,7 @@ def spelling_groups(words: DataFrame, word_col: str = "word", n_col: str = "n",
     short = _scan(keyed, ["key", "at"], [F.col("n").desc(), F.col("name")], F.col("name"))
     short = short.select(_name("name").alias("name"), "near", "best_n", F.col("best").alias("best_word"))
     long_words = words.filter(F.char_length("word") > LONG).select("word", _name("word").alias("name"), "n")
-    longer = long_words.mapInArrow(_long_rotations, "key string, name string, n long, place long, leads boolean, cut boolean")
+    longer = long_words.mapInArrow(_long_rotations(LONG), "key string, name string, n long, place long, leads boolean, cut boolean")
     long = _scan(longer, ["key"], [F.col("n").desc(), F.col("place")], F.col("name"))
     # only the largest n of a word can be its form; its word is looked up where it is long
     long = long.join(long_words.select(F.col("name").alias("best"), F.col("word").alias("best_word")), "best").select("name", "near", "best_n", "best_word")
