@@ -1,8 +1,9 @@
 """Exact nearest neighbours for one query or many.
 
-One short query is a generated expression and a top-k that never shuffles the records. Long or many
-queries are packed into a matrix that every task holds; a task multiplies each Arrow batch of
-records by it and keeps the best k per query, so only ``partitions * queries * k`` rows are shuffled.
+One short query is a generated expression and a top-k that never shuffles the records. A long one, or up to
+``QUERY_BLOCK`` of them (their number is checked), are a matrix that every task holds; a task multiplies each Arrow batch of
+records by it and keeps the best k per query, so only ``partitions * queries * k`` rows are shuffled. More queries stay a
+DataFrame: ``operators/tiles.py`` lays records and queries out as a grid of tiles.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ QUERY_ID = "query_id"
 DEFAULT_K = 10
 # Queries per matrix: 2,048 of 384 components are 6 MB in every task.
 QUERY_BLOCK = 2048
+# Products of a record and a query that a task holds at a time.
+PRODUCTS = 1 << 21
 
 
 def with_vectors(df: DataFrame, dimension: int) -> DataFrame:
@@ -48,7 +51,7 @@ def nearest(
     candidates = select_records(df, None, where, where_document, **options)
     query = [float(x) for x in query]
     if len(query) > UNROLL:
-        hits = nearest_to_blocks(candidates, [QueryBlock([0], [query])], T.IntegerType(), k, metric)
+        hits = nearest_to_block(candidates, QueryBlock([0], [query]), T.IntegerType(), k, metric)
         return attach(hits, df, include, bound=k)
     measured = with_vectors(candidates, len(query)).withColumn("distance", distance(metric, EMBEDDING, query))
     best = project(measured, include, ("distance",)).orderBy(closest_first(metric), ID).limit(k)
@@ -63,13 +66,12 @@ def query_frame(spark: SparkSession, vectors: list[list[float]]) -> DataFrame:
 
 
 class QueryBlock:
-    """Some queries as a matrix, with the keys that a record must hold one of, if any."""
+    """Some queries as a matrix."""
 
-    def __init__(self, ids: list, vectors: list, keys: list | None = None):
+    def __init__(self, ids: list, vectors):
         self.ids = ids
         self.matrix = np.asarray(vectors, dtype=np.float64)
         self.norms = np.sqrt((self.matrix**2).sum(axis=1))
-        self.keys = None if keys is None else [np.asarray(k, dtype=np.int64) for k in keys]
 
 
 def split_queries(queries: DataFrame, size: int) -> Iterator[DataFrame]:
@@ -80,14 +82,12 @@ def split_queries(queries: DataFrame, size: int) -> Iterator[DataFrame]:
         yield queries if parts == 1 else queries.filter(F.pmod(F.xxhash64(QUERY_ID), F.lit(parts)) == part)
 
 
-def query_blocks(queries: DataFrame, size: int = QUERY_BLOCK) -> Iterator[QueryBlock]:
-    """Blocks of about ``size`` queries, read one at a time."""
-    with_keys = "keys" in queries.columns
-    for part in split_queries(queries.filter("vector is not null"), size):
-        rows = part.collect()
-        if rows:
-            keys = [row["keys"] for row in rows] if with_keys else None
-            yield QueryBlock([row[QUERY_ID] for row in rows], [row["vector"] for row in rows], keys)
+def query_shape(queries: DataFrame) -> tuple[int, int]:
+    """How many queries there are, and their dimension."""
+    total, low, high = queries.filter("vector is not null").agg(F.count(F.lit(1)), F.min(F.size("vector")), F.max(F.size("vector"))).first()
+    if low != high:
+        raise ValueError(f"query vectors of {low} to {high} components")
+    return total, low or 0
 
 
 def _measure(metric: str, x: np.ndarray, own: np.ndarray, block: QueryBlock, q: int) -> np.ndarray:
@@ -151,22 +151,24 @@ class NearestLists(TopLists):
         self.metric, self.block = metric, block
 
     def add(self, batch: pa.RecordBatch) -> None:
-        ids, vectors = batch.column(0), batch.column(1)
-        dimension = self.block.matrix.shape[1]
-        x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension).astype(np.float64)
+        """Take in a batch, in slices whose products with all queries stay small."""
+        rows = max(1, PRODUCTS // max(1, len(self.block.ids)))
+        for start in range(0, batch.num_rows, rows):
+            part = batch.slice(start, rows)
+            ids, x = part.column(0), matrix_of(part.column(1), self.block.matrix.shape[1])
+            self.compare(ids, x)
+
+    def compare(self, ids: pa.Array, x: np.ndarray, admitted: np.ndarray | None = None) -> None:
+        """Offer records to all queries; only to the ``admitted`` ones (records x queries), if given."""
         own = np.sqrt((x**2).sum(axis=1))
-        keys = None
-        if self.block.keys is not None:
-            keys = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
         cost, slack = _rough(self.metric, x, own, self.block)
         limits = self.limits**2 if self.metric == "l2" else self.limits
         # A vector without a number or a length costs NaN and is never below a limit.
         possible = cost - slack <= limits
+        if admitted is not None:
+            possible &= admitted
         for q in np.flatnonzero(possible.any(axis=0)):
-            usable = possible[:, q]
-            if keys is not None:
-                usable = usable & np.isin(keys, self.block.keys[q]).any(axis=1)
-            rows = np.flatnonzero(usable)
+            rows = np.flatnonzero(possible[:, q])
             if len(rows) > self.k:
                 near = np.argpartition(cost[rows, q], self.k - 1)[: self.k]
                 limit = (cost[rows[near], q] + slack[rows[near], q]).max()
@@ -177,6 +179,11 @@ class NearestLists(TopLists):
                 self.offer(q, names, -exact if self.metric == "inner_product" else exact)
 
 
+def matrix_of(vectors: pa.Array, dimension: int) -> np.ndarray:
+    """An Arrow list column as rows of doubles."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, dimension).astype(np.float64)
+
+
 def arrow_type(id_type: T.DataType) -> pa.DataType:
     """Arrow type of a query id: a string, an int or a long."""
     return {"string": pa.string(), "int": pa.int32()}.get(id_type.simpleString(), pa.int64())
@@ -200,23 +207,27 @@ def _search_block(candidates: DataFrame, block: QueryBlock, metric: str, k: int,
 
 
 def nearest_ids(candidates: DataFrame, queries: DataFrame, k: int, metric: str | None) -> DataFrame:
-    """``query_id, rank, _id, distance`` of the k closest candidates of every query (``query_id, vector``)."""
-    return nearest_to_blocks(candidates, list(query_blocks(queries)), queries.schema[QUERY_ID].dataType, k, metric)
-
+    """``query_id, rank, _id, distance`` of the k closest candidates of every query (``query_id, vector``).
 
-def nearest_to_blocks(
-    candidates: DataFrame, blocks: list[QueryBlock], id_type: T.DataType, k: int, metric: str | None
-) -> DataFrame:
-    """``nearest_ids`` for queries read already.
-
-    ``candidates`` has ``_id, embedding`` and, when the blocks carry keys, a fixed-size ``keys``
-    array of its own; only records sharing a key with a query are compared to it.
+    Few queries are read and go to every task; beyond ``QUERY_BLOCK`` they stay where they are, see ``tiles``.
     """
+    from hybridframe.operators import tiles
+
     metric = metric_or_default(metric)
-    parts = []
-    for block in blocks:
-        columns = [F.col(ID), F.col(EMBEDDING)] + ([] if block.keys is None else [F.col("keys")])
-        searched = with_vectors(candidates, block.matrix.shape[1]).select(*columns)
+    queries = queries.filter("vector is not null").select(QUERY_ID, "vector")
+    total, dimension = query_shape(queries)
+    if total > QUERY_BLOCK:
+        return tiles.nearest_in_grid(candidates, queries, k, metric, total, dimension)
+    rows = queries.limit(QUERY_BLOCK).collect()
+    block = QueryBlock([row[QUERY_ID] for row in rows], [row["vector"] for row in rows]) if rows else None
+    return nearest_to_block(candidates, block, queries.schema[QUERY_ID].dataType, k, metric)
+
+
+def nearest_to_block(candidates: DataFrame, block: QueryBlock | None, id_type: T.DataType, k: int, metric: str | None) -> DataFrame:
+    """``nearest_ids`` for one block of queries read already."""
+    metric, parts = metric_or_default(metric), []
+    if block is not None:
+        searched = with_vectors(candidates, block.matrix.shape[1]).select(ID, EMBEDDING)
         parts.append(_search_block(searched, block, metric, k, id_type))
     return merged(parts, candidates.sparkSession, id_type, "distance", [closest_first(metric), F.col(ID)], k)
 

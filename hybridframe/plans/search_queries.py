@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from hybridframe import results
 from hybridframe.functions.vectors import similarity
-from hybridframe.operators import approximate, fulltext
+from hybridframe.operators import approximate, fulltext, hashing, quantised, tiles
 from hybridframe.operators.embed import HashingEmbedder, embed
 from hybridframe.operators.hybrid import hybrid_search
-from hybridframe.operators.nearest import nearest, nearest_batch
+from hybridframe.operators.nearest import nearest, nearest_batch, query_shape
 from hybridframe.operators.retrieve import select_records
 from hybridframe.plans.registry import RECORDS, VECTORS, has_any, query, terms_of
-from hybridframe.plans.session import shared_folder
+from hybridframe.plans.session import shared_folder, written
 from hybridframe.plans.standard import records, table, vector_records
 
 K = 10
@@ -99,6 +99,14 @@ for _metric in MEASURE:
     query("knn_batch" if _metric == "cosine" else f"knn_batch_{_metric}", batch_sql(_metric))(_many)
 
 
+@query("knn_grid", batch_sql("cosine"))
+def knn_grid(spark, sf):
+    """The batch search as a grid of tiles, which is what more queries than one block get."""
+    searched, asked = vector_records(spark, sf), vector_queries(spark, sf)
+    total, dimension = query_shape(asked)
+    return _listed(tiles.nearest_in_grid(searched, asked, K, "cosine", total, dimension), "query_id")
+
+
 @query("knn_batch_filtered", batch_sql("cosine", "r", "x.quality = 1", 5))
 def knn_batch_filtered(spark, sf):
     hits = nearest_batch(records(spark, sf), vector_queries(spark, sf), 5, "cosine", {"quality": 1}, include=())
@@ -176,7 +184,7 @@ CELLS = """c AS (SELECT label AS cell, array_agg(m ORDER BY i) AS center FROM (
 
 def class_cells(spark, sf):
     """One cell per class of vectors, centred on the mean of its unit vectors."""
-    unit = approximate._unit_column("embedding", "cosine")
+    unit = approximate.unit_column("embedding", "cosine")
     parts = table(spark, sf, "embeddings").select("label", F.posexplode(unit).alias("i", "x"))
     means = parts.groupBy("label", "i").agg(F.avg("x").alias("m"))
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda part: part["m"])
@@ -223,11 +231,98 @@ def knn_ivf_trained(spark, sf):
     return _listed(approximate.nearest_in_cells(indexed, cells, vector_queries(spark, sf), 4, K, include=()), "query_id")
 
 
+@query(
+    "knn_ivf_pairs",
+    f"""WITH {VECTORS}, {CELLS}
+    SELECT count(*) AS compared, (SELECT count(*) * count(*) FROM v) AS pairs, count(*) < 0.4 * (SELECT count(*) * count(*) FROM v) AS saves
+    FROM p q JOIN p x ON x.cell = q.cell WHERE q.near <= 3 AND x.near = 1""",
+)
+def knn_ivf_pairs(spark, sf):
+    """How many distances ``knn_ivf`` takes, as its tasks count them."""
+    searched, asked, cells = vector_records(spark, sf), vector_queries(spark, sf), class_cells(spark, sf)
+    indexed = approximate.build_cells(searched, cells, 64)
+    found = approximate.search_cells(indexed, cells, asked, 3, K, "cosine", 64)
+    return _counted(found, searched, asked).withColumn("saves", F.col("compared") < F.col("pairs") * 0.4)
+
+
+def _counted(found, searched, asked):
+    pairs = F.lit(searched.count() * asked.count()).cast("long")
+    return found.compared.agg(F.sum("compared").alias("compared")).withColumn("pairs", pairs)
+
+
+def _report(spark, sf, found, hits):
+    """``compared, pairs, share, recall`` of an approximate search of all vectors for all vectors."""
+    searched, asked = vector_records(spark, sf), vector_queries(spark, sf)
+    exact = nearest_batch(searched, asked, K, "cosine", include=())
+    shares = approximate.recall(hits, exact).agg((F.sum("found") / F.sum("k")).alias("recall"))
+    counted = _counted(found, searched, asked).withColumn("share", F.col("compared") / F.col("pairs"))
+    return counted.crossJoin(F.broadcast(shares))  # one row each
+
+
+def _hashed(spark, sf):
+    searched = vector_records(spark, sf)
+    return hashing.search_buckets(searched, hashing.calibrate(searched, 64), vector_queries(spark, sf), 64, K, "cosine")
+
+
 @query("knn_lsh")
 def knn_lsh(spark, sf):
+    return _listed(_hashed(spark, sf).ranked(K, "cosine"), "query_id")
+
+
+@query("knn_lsh_report")
+def knn_lsh_report(spark, sf):
+    found = _hashed(spark, sf)
+    return _report(spark, sf, found, found.ranked(K, "cosine"))
+
+
+PARTS, AGAIN = 16, 100
+
+
+def _coded(spark, sf):
     searched = vector_records(spark, sf)
-    model = approximate.train_projections(searched, 64)
-    return _listed(approximate.nearest_in_buckets(searched, model, vector_queries(spark, sf), 64, K, include=()), "query_id")
+    books = quantised.train_codebooks(searched, 64, PARTS)
+    return searched, books, written(quantised.with_codes(searched, books, 64).select("_id", "codes"))
+
+
+@query("knn_pq")
+def knn_pq(spark, sf):
+    """The codes are stored, 16 bytes a record, and searched without the vectors."""
+    searched, books, codes = _coded(spark, sf)
+    return _listed(quantised.nearest_in_codes(codes, searched, books, vector_queries(spark, sf), K, AGAIN, include=()), "query_id")
+
+
+@query("knn_pq_report")
+def knn_pq_report(spark, sf):
+    """``code_bytes, vector_bytes, recall`` of ``knn_pq``."""
+    searched, books, codes = _coded(spark, sf)
+    hits = quantised.nearest_in_codes(codes, searched, books, vector_queries(spark, sf), K, AGAIN, include=())
+    exact = nearest_batch(searched, vector_queries(spark, sf), K, "cosine", include=())
+    shares = approximate.recall(hits, exact).agg((F.sum("found") / F.sum("k")).alias("recall"))
+    sizes = codes.agg(F.sum(F.octet_length("codes")).alias("code_bytes"), (F.count("*") * 64 * 4).alias("vector_bytes"))
+    return sizes.crossJoin(F.broadcast(shares))  # one row each
+
+
+def _asked_fiftieth(spark, sf):
+    return vector_queries(spark, sf).filter(F.col("query_id") % 50 == 0)
+
+
+@query(
+    "knn_probes",
+    f"""WITH {VECTORS}, {CELLS}, e AS (
+      SELECT CAST(q._id AS BIGINT) AS query_id, x._id, row_number() OVER (PARTITION BY q._id ORDER BY {MEASURE['cosine'][0]}, x._id) AS rank
+      FROM v x, v q WHERE CAST(q._id AS BIGINT) % 50 = 0),
+    n AS (SELECT q.near FROM e JOIN p x ON x._id = e._id AND x.near = 1 JOIN p q ON CAST(q._id AS BIGINT) = e.query_id AND q.cell = x.cell WHERE e.rank <= {K})
+    SELECT s.probes, (SELECT count(*) FROM n) AS neighbours, (SELECT count(*) FROM n WHERE near <= s.probes) AS found FROM (SELECT unnest(range(1, 11)) AS probes) s""",
+)
+def knn_probes(spark, sf):
+    cells = class_cells(spark, sf)
+    return approximate.probes_needed(approximate.build_cells(vector_records(spark, sf), cells, 64), cells, _asked_fiftieth(spark, sf), K)
+
+
+@query("knn_probes_chosen")
+def knn_probes_chosen(spark, sf):
+    cells = class_cells(spark, sf)
+    return approximate.choose_probes(approximate.build_cells(vector_records(spark, sf), cells, 64), cells, _asked_fiftieth(spark, sf), 0.6, K)
 
 
 @query(
