@@ -19,8 +19,6 @@ CELLS = 1 << 16
 GRAMS = (2, 3, 4)
 # The score of a word that changes language is this much lower (natural logarithm).
 SWITCH = 12.0
-# A language may be written in a script in which at least this part of its letters are.
-SCRIPT_SHARE = 0.02
 # Documents of a batch that are scored together, in characters.
 SLICE = 2_000_000
 
@@ -38,7 +36,7 @@ SCRIPT_NAMES = sorted({name for _, name in SCRIPTS})
 
 @functools.lru_cache(1)
 def tables() -> tuple[np.ndarray, np.ndarray]:
-    """For every code point: its lower-case form, 0 if it is no letter; and its script's number."""
+    """For every code point: its lower-case form, 0 if it is neither letter nor mark; and its script's number."""
     lower = np.zeros(sys.maxunicode + 1, np.uint32)
     for code in range(sys.maxunicode + 1):
         char = chr(code)
@@ -47,7 +45,14 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
             lower[code] = ord(low) if len(low) == 1 else code
     starts = np.array([start for start, _ in SCRIPTS])
     numbers = np.array([SCRIPT_NAMES.index(name) for _, name in SCRIPTS], np.int8)
-    return lower, numbers[np.maximum(np.searchsorted(starts, np.arange(sys.maxunicode + 1), "right") - 1, 0)]
+    scripts = numbers[np.maximum(np.searchsorted(starts, np.arange(sys.maxunicode + 1), "right") - 1, 0)]
+    return lower, scripts
+
+
+@functools.lru_cache(1)
+def marks() -> np.ndarray:
+    """The code points that belong to a word and are no letters themselves."""
+    return np.array([unicodedata.category(chr(code)) in ("Mn", "Mc") for code in range(sys.maxunicode + 1)])
 
 
 def letters_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,85 +113,145 @@ def train(df: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict
         part = table[:, n * CELLS : (n + 1) * CELLS] + 0.5
         scores.append(np.log(part / part.sum(1, keepdims=True)).T.astype(np.float32) / len(GRAMS))
     scripts = table[:, len(GRAMS) * CELLS :]
-    allowed = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(1, keepdims=True), 1)
-    return {"langs": langs, "scores": scores, "allowed": allowed.T}
+    return {"langs": langs, "scores": scores, "allowed": (scripts > 0).T}
 
 
 def slices(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in lists of about ``SLICE`` characters; a longer text is alone in its list."""
     part, size = [], 0
     for text in texts:
-        part.append(text)
-        size += len(text)
-        if size >= SLICE:
+        if part and size + len(text) > SLICE:
             yield part
             part, size = [], 0
+        part.append(text)
+        size += len(text)
     if part:
         yield part
 
 
-def label(model: dict, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of the texts: the text of each, its first and last character in it, and its language's number.
+def pieces(text: str) -> Iterator[tuple[int, str]]:
+    """A long text, with the place of each piece; cut between words, or inside one that is longer than a piece."""
+    start = 0
+    while start < len(text):
+        end = min(len(text), start + SLICE)
+        cut = end
+        while end < len(text) and cut > start and (text[cut - 1].isalpha() or unicodedata.category(text[cut - 1]) in ("Mn", "Mc")):
+            cut -= 1
+        end = cut if cut > start else end
+        yield start, text[start:end]
+        start = end
 
-    A word is a run of letters of one text. Its candidates are the languages of its letters'
-    scripts; words without a candidate are left out.
+
+def scored(model: dict, texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Words of the texts: the text of each, its first and last character in it, its scores by language, and whether its script is known.
+
+    A word is a run of letters and marks with at least one letter. Its candidates are the languages seen in its letters' scripts;
+    where there is none, all are.
     """
     letters, scripts, starts = letters_of(texts)
-    real = letters > 0
+    real, count = letters > 0, len(model["langs"])
     edge = np.diff(real.astype(np.int8), prepend=0)
     first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    count = len(model["langs"])
-    if not len(first) or not count:
-        none = np.zeros(0, np.int64)
-        return none, none, none, none
     at = np.flatnonzero(real)
+    if len(first):
+        word_at = np.searchsorted(at, first)
+        some = np.add.reduceat((~marks()[letters[at]]).astype(np.int32), word_at) > 0
+    if not len(first) or not count or not some.any():
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros((0, count), np.float32), np.zeros(0, bool)
     total = np.zeros((len(at), count), np.float32)
     for scores, cells in zip(model["scores"], gram_cells(letters)):
         total += scores[cells[at]]
-    word_at = np.searchsorted(at, first)
-    words = np.add.reduceat(total, word_at, axis=0)
-    fits = np.add.reduceat(model["allowed"][scripts[at]].astype(np.int32), word_at, axis=0) > 0
-    some = fits.any(1)
-    words = np.where(fits, words, np.float32(-1e6))[some]
+    words = np.add.reduceat(total, word_at, axis=0)[some]
+    fits = (np.add.reduceat(model["allowed"][scripts[at]].astype(np.int32), word_at, axis=0) > 0)[some]
+    known = fits.any(1)
+    words = np.where(fits | ~known[:, None], words, np.float32(-1e6))
     first, last = first[some], last[some]
     doc = np.searchsorted(starts, first, "right") - 1
-    return doc, first - starts[doc], last - starts[doc], viterbi(words, doc)
-
-
-def viterbi(words: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Best path for every document at once: step k handles the k-th word of all documents that have one."""
-    if not len(words):
-        return np.zeros(0, np.int64)
+    return doc, first - starts[doc], last - starts[doc], words, known
+
+
+def label(model: dict, texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Words of the texts: the text of each, its first and last character in it, its language's number, and whether its script is known."""
+    if len(texts) == 1 and len(texts[0]) > SLICE:
+        return label_long(model, texts[0])
+    doc, first, last, words, known = scored(model, texts)
+    return doc, first, last, viterbi(words, doc), known
+
+
+def label_long(model: dict, text: str) -> tuple[np.ndarray, ...]:
+    """The same for one long text, a piece at a time: the path's state goes on, and per word only its steps (a bit a language) are kept."""
+    best, parts, steps = None, [], []
+    for start, piece in pieces(text):
+        _, first, last, words, known = scored(model, [piece])
+        parts.append((first + start, last + start, known))
+        stay, jump, best = forward(words, np.zeros(len(words), np.int64), best)
+        steps.append((np.packbits(stay, axis=1), jump.astype(np.int16)))
+    paths, now = [], None if best is None else best.argmax(1)
+    for packed, jump in reversed(steps):
+        stay = np.unpackbits(packed, axis=1, count=len(model["langs"])).astype(bool)
+        path, now = backward(stay, jump.astype(np.int32), np.zeros(len(jump), np.int64), now)
+        paths.append(path)
+    first, last, known = (np.concatenate(column) for column in zip(*parts))
+    return np.zeros(len(first), np.int64), first, last, np.concatenate(paths[::-1]), known
+
+
+def _turns(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where documents begin, the longest first, and how many have more than k words."""
     begin = np.flatnonzero(np.diff(doc, prepend=-1))
     length = np.diff(np.append(begin, len(doc)))
     order = np.argsort(-length, kind="stable")
     begin, length = begin[order], length[order]
-    active = np.searchsorted(-length, -np.arange(length[0]), "left")  # documents with more than k words
+    return begin, np.searchsorted(-length, -np.arange(length[0] if len(length) else 0), "left")
+
+
+def forward(words: np.ndarray, doc: np.ndarray, best: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Step k handles the k-th word of all documents that have one: where a path stays, where it comes from otherwise, and the last scores."""
+    begin, active = _turns(doc)
     stay = np.empty(words.shape, bool)
     jump = np.empty(len(words), np.int32)
-    best = np.zeros((len(begin), words.shape[1]), np.float32)
+    best = np.zeros((max(1, len(begin)), words.shape[1]), np.float32) if best is None else best
     for k, n in enumerate(active):
         rows = begin[:n] + k
         top = best[:n].argmax(1)
-        over = best[np.arange(n), top] - SWITCH
-        keep = best[:n] >= over[:, None]
+        # scores are relative, so that a long text does not lose digits
+        best[:n] -= best[np.arange(n), top][:, None]
+        keep = best[:n] >= -SWITCH
         stay[rows], jump[rows] = keep, top
-        best[:n] = np.where(keep, best[:n], over[:, None]) + words[rows]
-    path = np.empty(len(words), np.int64)
-    now = best.argmax(1)
+        best[:n] = np.where(keep, best[:n], -SWITCH) + words[rows]
+    return stay, jump, best
+
+
+def backward(stay: np.ndarray, jump: np.ndarray, doc: np.ndarray, now: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The path that ends in ``now``, and the state before its first word."""
+    begin, active = _turns(doc)
+    path = np.empty(len(jump), np.int64)
     for k in range(len(active) - 1, -1, -1):
         rows = begin[: active[k]] + k
         state = now[: active[k]]
         path[rows] = state
         now[: active[k]] = np.where(stay[rows, state], state, jump[rows])
-    return path
+    return path, now
+
+
+def viterbi(words: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Best path for every document at once."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    stay, jump, best = forward(words, doc)
+    return backward(stay, jump, doc, best.argmax(1))[0]
 
 
 def identify(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", carry=()) -> DataFrame:
     """``row`` (a struct of the id and of ``carry``), ``lang_pred``, ``score`` and ``spans``, for every row of ``df``.
 
-    ``lang_pred`` is the language of most letters' words on the path, ``score`` its share of the words,
-    ``spans`` the stretches of one language: first and last character, language. Null texts, texts
-    without letters and texts in unknown scripts get ``und``, score 0 and no spans.
+    ``lang_pred`` is the language of most letters' words on the path, ``score`` the share of the letters that are in its words and in a
+    script known for it (a text in scripts that no language was seen in has score 0),
+    ``spans`` the stretches of one language: first and last character, language. Null texts and texts
+    without letters (marks alone are none) get ``und``, score 0 and no spans, as does everything if no language was learnt.
+
+    Every row is labelled by itself, also repeated ones; ties between languages go to the first by name. Texts of any length are scored
+    whole, long ones a piece at a time. An empty table gives an empty result.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
@@ -202,13 +267,15 @@ def identify(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
 
 
 def _documents(model: dict, texts: list[str]) -> pd.DataFrame:
-    doc, first, last, path = label(model, texts)
+    doc, first, last, path, known = label(model, texts)
     langs = np.array([*model["langs"], "und"], object)
     votes = np.zeros((len(texts), len(langs)))
     np.add.at(votes, (doc, path), last - first)
     total = votes.sum(1)
     top = np.where(total > 0, votes.argmax(1), len(langs) - 1)
-    score = votes.max(1) / np.maximum(total, 1)
+    sure = np.zeros_like(votes)
+    np.add.at(sure, (doc, path), (last - first) * known)
+    score = sure[np.arange(len(texts)), top] / np.maximum(total, 1)
     new = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(path, prepend=-1) != 0))
     ends = np.append(new[1:], len(doc)) - 1 if len(doc) else new
     spans = [[] for _ in texts]

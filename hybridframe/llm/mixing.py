@@ -54,23 +54,47 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     Null and empty texts have size 0 and are taken never; a null source is the last one; a null id
     and repeated rows are documents of their own. Equal positions may come in any order.
     """
-    key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
     sized = df.select(
         F.struct(F.col(id_col).alias("id"), *carry).alias("row"),
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
-        F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long").alias("size"),
-        key.alias("key"),
+        _size(text_col),
+        _key(id_col),
     )
     if not carry:
-        turns = _scheduled(*_placed(sized.drop("row").withColumn("rid", F.lit(None).cast("long"))), schedules)
+        turns = _turns(_scheduled(*_placed(sized.drop("row").withColumn("rid", F.lit(None).cast("long"))), schedules))
         return turns.select(F.struct("id").alias("row"), *[c for c in turns.columns if c not in ("id", "rid")])
     # what is carried is written once and meets its turns at the end, so that texts take no part in the sorting
     sized = stage(sized.withColumn("rid", F.monotonically_increasing_id()))
-    turns = _scheduled(*_placed(sized.drop("row")), schedules)
+    turns = _turns(_scheduled(*_placed(sized.drop("row")), schedules))
     return sized.select("rid", "row").join(turns.drop("id"), "rid").drop("rid")
 
 
+def _turns(scheduled: DataFrame) -> DataFrame:
+    return scheduled.select("*", F.inline("turns")).drop("turns")
+
+
+def positions(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", schedules=SCHEDULES) -> DataFrame:
+    """The schedule with one row per document, sorted by its first training position over range partitions.
+
+    ``id size source source_size target turns taken``; ``turns`` holds the times that the document is taken (``pass words position``), and
+    ``taken`` is the sum of their words. Documents that are never taken come first.
+    """
+    sized = df.select(
+        F.col(id_col).alias("id"), F.lit(None).cast("long").alias("rid"), F.col(source_col).alias("source"), _size(text_col), _key(id_col)
+    )
+    taken = _scheduled(*_placed(sized), schedules).withColumn("turns", F.filter("turns", lambda turn: turn["words"] > 0)).drop("rid")
+    return taken.repartitionByRange(_parts(df), F.get("turns", F.lit(0))["position"], "id").sortWithinPartitions(F.get("turns", F.lit(0))["position"], "id")
+
+
+def _size(text_col: str) -> Column:
+    return F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("long").alias("size")
+
+
+def _key(id_col: str) -> Column:
+    return F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("key")
+
+
 def _placed(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows with ``before``, the words of the source that precede the row; and the rows as written."""
     ordered = sized.repartitionByRange(_parts(sized), "source", "key", "id").sortWithinPartitions("source", "key", "id")
@@ -97,13 +121,15 @@ def _scheduled(placed: DataFrame, sized: DataFrame, schedules) -> DataFrame:
     targets = source_targets(sized)
     joined = placed.join(targets.withColumnRenamed("source", "s"), placed.source.eqNullSafe(F.col("s")))
     words_at = lambda due: F.greatest(F.lit(0), F.least(F.col("size"), F.round("target").cast("long") - due))
-    dues = [F.col("before") + F.col("source_size") * number for number in range(int(MOST))]
-    taken = sum((words_at(due) for due in dues[1:]), words_at(dues[0]))
-    turns = joined.withColumn("taken", taken).withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(int(MOST) - 1))))
-    turns = turns.withColumn("due", F.col("before") + F.col("pass") * F.col("source_size"))
-    turns = turns.withColumn("words", words_at(F.col("due")))
-    position = F.when(F.col("target") > 0, _time_of(F.least(F.col("due") / F.col("target"), F.lit(1.0)), schedules))
-    return turns.select("id", "rid", "size", "source", "source_size", "target", "taken", "pass", "words", position.alias("position"))
+
+    def turn(number: int) -> Column:
+        due = F.col("before") + F.col("source_size") * number
+        position = F.when(F.col("target") > 0, _time_of(F.least(due / F.col("target"), F.lit(1.0)), schedules))
+        return F.struct(F.lit(number).alias("pass"), words_at(due).alias("words"), position.alias("position"))
+
+    turns = joined.withColumn("turns", F.array(*[turn(number) for number in range(int(MOST))]))
+    taken = F.aggregate("turns", F.lit(0).cast("long"), lambda sum_, own: sum_ + own["words"])
+    return turns.select("id", "rid", "size", "source", "source_size", "target", taken.alias("taken"), "turns")
 
 
 def _time_of(part: Column, schedules) -> Column:
@@ -155,12 +181,21 @@ def curriculum(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     f AS (SELECT arg_min(rate, ratio) FILTER (ratio > rate) AS rate FROM r),
     t AS (SELECT w.source, w.source_size, least(2.0 * w.source_size, coalesce(w.weight * f.rate, 2.0 * w.source_size)) AS target FROM w, f),
     p AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id
-                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)
-    SELECT p.doc_id, p.size, CAST(t.source_size AS BIGINT) AS source_size, CAST(t.target AS DOUBLE) AS target,
-           CAST(greatest(0, least(p.size, CAST(round(t.target) AS BIGINT) - p.before))
-              + greatest(0, least(p.size, CAST(round(t.target) AS BIGINT) - p.before - t.source_size)) AS BIGINT) AS taken
-    FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source""",
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d),
+    u AS (SELECT p.doc_id, p.size, t.source_size, t.target, w.tier, pass, p.before + pass * t.source_size AS due,
+                 greatest(0, least(p.size, CAST(round(t.target) AS BIGINT) - (p.before + pass * t.source_size))) AS words
+          FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source JOIN w ON p.source IS NOT DISTINCT FROM w.source, (SELECT unnest([0, 1]) AS pass)),
+    v AS (SELECT *, least(CAST(due AS DOUBLE) / target, 1.0::DOUBLE) AS part FROM u),
+    x AS (SELECT *, CASE tier WHEN 0 THEN part
+                 WHEN 1 THEN CASE WHEN part <= 0.375 THEN 2 * part / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2 * part))
+                                  ELSE 0.5::DOUBLE + 2 * (part - 0.375::DOUBLE) / (1.0::DOUBLE + sqrt(1.0::DOUBLE + 2 * (part - 0.375::DOUBLE))) END
+                 ELSE 2 * part / (1.5::DOUBLE + sqrt(greatest(0.0::DOUBLE, 2.25::DOUBLE - 2 * part))) END AS position FROM v)
+    SELECT doc_id, any_value(size) AS size, CAST(any_value(source_size) AS BIGINT) AS source_size, CAST(any_value(target) AS DOUBLE) AS target,
+           CAST(sum(words) AS BIGINT) AS taken, round(max(position) FILTER (pass = 0 AND words > 0), 9) AS first_position,
+           round(max(position) FILTER (pass = 1 AND words > 0), 9) AS second_position
+    FROM x GROUP BY doc_id""",
 )
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = mix(documents(spark, sf_dir, "doc_id", "text", "source"))
-    return turns.filter("pass = 0").select(F.col("row.id").alias("doc_id"), "size", "source_size", "target", "taken")
+    found = positions(documents(spark, sf_dir, "doc_id", "text", "source"))
+    at = lambda number: F.round(F.get(F.filter("turns", lambda turn: turn["pass"] == number), F.lit(0))["position"], 9)
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", at(0).alias("first_position"), at(1).alias("second_position"))

@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -159,6 +160,19 @@ def test_mix(docs, empty):
     assert Counter(r.text for r in mixing.curriculum(frame).collect()) == Counter(t.row.text for t in turns if t.words and 2 * t.words >= t["size"])
 
 
+def test_positions(docs, empty):
+    rng = random.Random(12)
+    texts = ["word " * rng.randint(0, 40) for _ in range(50)] + [None, "", "word " * 900]
+    frame = docs(texts, [*range(len(texts) - 2), 5, None], sources=[[None, "a", "b", "c"][k % 4] for k in range(len(texts))])
+    found = mixing.positions(frame).collect()
+    firsts = [row.turns[0].position if row.turns else -1.0 for row in found]
+    assert len(found) == len(texts) and firsts == sorted(firsts)
+    turns = Counter((t.row.id, t["size"], t["pass"], t.words, t.position) for t in mixing.mix(frame).collect() if t.words)
+    assert turns == Counter((row.id, row["size"], turn["pass"], turn.words, turn.position) for row in found for turn in row.turns)
+    assert all(row.taken == sum(turn.words for turn in row.turns) for row in found)
+    assert mixing.positions(empty).count() == 0
+
+
 def test_time_of_inverts_the_integral(spark):
     from pyspark.sql import functions as F
 
@@ -256,16 +270,49 @@ def test_language(docs, empty):
     model = langid.train(docs([speak(lang, 50) for lang in langs], langs=langs))
     assert model["langs"] == ["xx", "yy", "zz"]
     mixed = speak("xx", 30) + ". " + speak("yy", 10)
-    texts = [speak("xx", 9), speak("yy", 9), speak("zz", 9), None, "", "12 !?", "漢字", mixed, mixed, LONG]
-    got = langid.identify(docs(texts, [*range(9), None]), model).collect()
+    texts = [speak("xx", 9), speak("yy", 9), speak("zz", 9), None, "", "12 !?", "\u0301\u0308 \u0903", mixed, mixed, LONG, "漢字", "漢字 " + speak("yy", 9)]
+    got = langid.identify(docs(texts, [*range(9), None, 10, 11]), model).collect()
     assert [r.lang_pred for r in got[:7]] == ["xx", "yy", "zz", "und", "und", "und", "und"]
-    assert got[3].score == 0 and got[3].spans == [] and all(0 <= r.score <= 1 for r in got) and len(got) == 10
+    assert got[3].score == 0 and got[3].spans == [] and all(0 <= r.score <= 1 for r in got) and len(got) == 12
+    # letters in a script that no language was seen in: a learned language, and no certainty
+    assert got[10].lang_pred in own and got[10].score == 0 and got[11].lang_pred == "yy" and 0.5 < got[11].score < 1
     spans = [(s.lang, texts[7][s.first : s.last]) for s in got[7].spans]
     assert [s[0] for s in spans] == ["xx", "yy"] and spans[1][1] == mixed.split(". ")[1] and got[7].lang_pred == "xx"
     assert langid.identify(empty, langid.train(empty)).count() == 0
     assert {r.lang_pred for r in langid.identify(docs(texts), langid.train(empty)).collect()} == {"und"}
 
 
+def test_long_texts_are_labelled_piece_by_piece(docs, monkeypatch):
+    rng, own = random.Random(8), {"xx": ["ka", "lo", "mir"], "yy": ["ten", "os", "ub"]}
+    speak = lambda lang, n: " ".join("".join(rng.choices(own[lang], k=3)) for _ in range(n))
+    langs = ["xx", "yy"] * 20
+    model = langid.train(docs([speak(lang, 50) for lang in langs], langs=langs))
+    text = " , ".join(speak(lang, rng.randint(5, 60)) for lang in "xx yy xx xx yy yy xx".split()) + " " + "ka" * 300 + " e\u0301te\u0301"
+    whole = langid.label(model, [text])
+    for size in (50, 333, 700):
+        monkeypatch.setattr(langid, "SLICE", size)
+        assert "".join(piece for _, piece in langid.pieces(text)) == text
+        parts = langid.label(model, [text])
+        # the one word that is longer than a piece is cut; all others are the same
+        same = whole[1] < text.index("ka" * 9)
+        assert np.array_equal(parts[1][: same.sum()], whole[1][same]) and np.array_equal(parts[3][: same.sum()], whole[3][same])
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="no test tables")
+def test_language_query(spark):
+    rows = langid.op7(spark, "/root/testdata/sf0.01")
+    assert dict(rows.dtypes) == {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"}
+    table = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    got = rows.collect()
+    assert sorted(r.doc_id for r in got) == sorted(table)
+    learned = {r.lang for r in table.values() if r.lang is not None}
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1
+        assert r.lang_pred in learned if any(c.isalpha() for c in table[r.doc_id].text or "") else r.lang_pred == "und"
+    held = [r for r in got if r.held_out and table[r.doc_id].lang is not None and r.lang_pred != "und"]
+    assert sum(r.lang_pred == table[r.doc_id].lang for r in held) >= 0.95 * len(held)
+
+
 def test_viterbi_is_the_best_path(monkeypatch):
     monkeypatch.setattr(langid, "SWITCH", 1.5)
     rng = np.random.default_rng(3)
