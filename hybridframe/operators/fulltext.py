@@ -1,13 +1,12 @@
 """Ranked full-text search (BM25).
 
 One text is scored row by row: the term frequencies of a document are an expression over that row,
-so nothing is shuffled but the k best. Many texts meet the terms of each document as it is read. A
-stored index holds postings, of which a search reads those of its terms.
+so nothing is shuffled but the k best. The terms of many texts are a DataFrame that postings are joined with; what matches meets
+the queries in tiles of documents and queries. A stored index holds postings, of which a search reads those of its terms.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 from operator import add
 from typing import NamedTuple
@@ -18,11 +17,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from hybridframe.functions.columns import let, steady
-from hybridframe.functions.predicates import contained_terms, selection, where_document as document_predicate
+from hybridframe.functions.predicates import contained_terms, only_contains, selection, where_document as document_predicate
 from hybridframe.functions.text import term_counts, term_frequency, tokens
-from hybridframe.operators.joins import join_small, top_per_group
-from hybridframe.operators.nearest import QUERY_ID, TopLists, arrow_type, attach, merged, split_queries
+from hybridframe.operators.joins import is_small, join_small, top_per_group
+from hybridframe.operators.nearest import QUERY_ID, TopLists, arrow_type, attach
 from hybridframe.operators.retrieve import project, select_records
+from hybridframe.plans.session import written
 from hybridframe.schema import DOCUMENT, ID
 
 # The usual constants of the published formula.
@@ -32,8 +32,9 @@ B = 0.75
 # Folders of a stored index.
 PARTS = 64
 
-# Queries that are scored together, and (document, term, query) triples that are held at a time.
+# Queries and matching postings of a tile, and (document, term, query) triples that are held at a time.
 QUERY_BLOCK = 256
+TILE_POSTINGS = 1 << 19
 MAX_TRIPLES = 4_000_000
 
 
@@ -122,8 +123,10 @@ def postings_of(index: TextIndex, terms: list[str]) -> DataFrame:
 def search_index(index: TextIndex, where_document, k: int = 10, passing: DataFrame | None = None) -> DataFrame:
     """``search_text`` from an index: ``_id, score, rank``, the texts are not read.
 
-    ``passing`` holds the ids that a metadata filter admits. Only ``$contains`` can be answered.
+    ``passing`` holds the ids that a metadata filter admits. Only ``$contains`` can be answered; anything else raises.
     """
+    if not only_contains(where_document):
+        raise ValueError("an index of terms answers $contains only")
     terms = contained_terms(where_document)
     stats = index.corpus.select(F.struct("n", "average").alias("stats"))
     weighted = (
@@ -261,102 +264,81 @@ def _changes(ids: pa.Array) -> np.ndarray:
     return pc.not_equal(ids.slice(1), ids.slice(0, len(ids) - 1)).to_numpy(zero_copy_only=False)
 
 
-def _whole_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The same rows, cut only between documents."""
-    held: list[pa.Table] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.table(batch)
-        changes = np.flatnonzero(_changes(batch.column(0)))
-        if held and held[-1].column(0)[-1] != table.column(0)[0]:
-            yield pa.concat_tables(held)
-            held = []
-        if len(changes):
-            cut = int(changes[-1]) + 1
-            yield pa.concat_tables([*held, table.slice(0, cut)])
-            held, table = [], table.slice(cut)
-        held.append(table)
-    if held:
-        yield pa.concat_tables(held)
-
-
-def _weighted_terms(block: TermBlock, documents: DataFrame, corpus_row: DataFrame) -> DataFrame:
-    """``term, number, idf, average`` for the terms of a block, from their ``term, df``."""
+def _weights(asked: DataFrame, frequencies: DataFrame, corpus_row: DataFrame) -> DataFrame:
+    """``term, df, idf, average`` of the terms that are asked for."""
     stats = corpus_row.select(F.struct("n", "average").alias("stats"))
-    return (
-        documents.join(F.broadcast(_numbered(documents.sparkSession, block)), "term")
-        .withColumn("stats", stats.scalar())
-        .select("term", "number", _idf(F.col("stats.n"), F.col("df")).alias("idf"), F.col("stats.average").alias("average"))
-    )
-
-
-def _numbered(spark: SparkSession, block: TermBlock) -> DataFrame:
-    return spark.createDataFrame([(term, i) for i, term in enumerate(block.terms)], "term string, number int")
-
-
-def _weighted_postings(posted: DataFrame, weighted: DataFrame) -> DataFrame:
-    """``_id, number, weight`` of the postings whose term is asked for, in the order of the postings.
-
-    ``weighted`` has one row per term of at most ``QUERY_BLOCK`` queries.
-    """
-    weight = _weight(F.col("idf"), F.col("tf"), F.col("length"), F.col("average"))
-    return posted.join(F.broadcast(weighted), "term").select(ID, "number", weight.alias("weight"))
+    known = join_small(frequencies, asked.select("term").distinct(), "term").withColumn("stats", stats.scalar())
+    return known.select("term", "df", _idf(F.col("stats.n"), F.col("df")).alias("idf"), F.col("stats.average").alias("average"))
 
 
-def _best_documents(rows: DataFrame, block: TermBlock, k: int, id_type: T.DataType) -> DataFrame:
-    """Best documents per task, from rows in which those of a document lie side by side.
+def score_tiles(matched: DataFrame, asked: DataFrame, queries: int, postings_: int, k: int, id_type: T.DataType) -> DataFrame:
+    """``query_id, rank, _id, score`` from the matching postings (``_id, term, weight``) and ``asked`` (``query_id, term``).
 
-    A task adds up the scores of a document as it passes. No (document, query) pair is shuffled,
-    only the k best per task and query.
+    Documents are dealt into parts and queries into blocks, by hashes. A posting goes to the blocks that ask for its term, so that a tile can add up
+    whole scores; it is sent once for each block and not for each query. No (document, query) pair is shuffled, only the k best per tile and query.
     """
-    shared, arrow_id = rows.sparkSession.sparkContext.broadcast(block), arrow_type(id_type)
+    parts, blocks = max(1, -(-postings_ // TILE_POSTINGS)), max(1, -(-queries // QUERY_BLOCK))
+    dealt = lambda name, number: F.pmod(F.xxhash64(name), F.lit(number)).cast("int")
+    asked = asked.withColumn("block", dealt(QUERY_ID, blocks))
+    left = join_small(matched, asked.select("term", "block").distinct(), "term", salt_by=F.col(ID)).withColumn("tile", dealt(ID, parts))
+    right = asked.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     schema = T.StructType([T.StructField(QUERY_ID, id_type)]).add(ID, "string").add("score", "double")
-
-    def search(batches):
-        lists = ScoreLists(shared.value, k)
-        for table in _whole_documents(batches):
-            lists.add(table)
-        yield from lists.batches(shared.value.ids, arrow_id, schema.fieldNames(), -1.0)
-
-    return rows.mapInArrow(search, schema)
-
-
-def _term_blocks(queries: DataFrame) -> Iterator[TermBlock]:
-    for some in split_queries(queries, QUERY_BLOCK):
-        rows = query_terms(some).collect()
-        if rows:
-            yield TermBlock(rows)
+    arrow_id = arrow_type(id_type)
+
+    def search(own: pa.Table, wanted: pa.Table) -> pa.Table:
+        empty = pa.Table.from_arrays([pa.array([], arrow_id), pa.array([], pa.string()), pa.array([], pa.float64())], schema.fieldNames())
+        if not own.num_rows or not wanted.num_rows:
+            return empty
+        block = TermBlock(wanted.select([QUERY_ID, "term"]).to_pylist())
+        own = own.sort_by(ID)
+        numbers = pc.index_in(own.column("term"), pa.array(block.terms, pa.string()))
+        lists = ScoreLists(block, k)
+        lists.add(pa.table([own.column(ID), numbers.cast(pa.int64()), own.column("weight")], names=[ID, "number", "weight"]))
+        return pa.Table.from_batches([*empty.to_batches(), *lists.batches(block.ids, arrow_id, schema.fieldNames(), -1.0)], empty.schema)
+
+    keys = ["block", "tile"]
+    # a column of its own, as both sides have the block from one table
+    left = left.select((F.col("block") + 0).alias("block"), "tile", ID, "term", "weight")
+    right = right.select(*keys, QUERY_ID, "term")
+    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, schema)
+    return top_per_group(hits, QUERY_ID, [F.col("score").desc(), F.col(ID)], k)
 
 
 def search_index_batch(index: TextIndex, queries: DataFrame, k: int = 10) -> DataFrame:
     """BM25 from an index for every row of ``queries`` (``query_id, text``): ``query_id, rank, _id, score``.
 
-    An index lies by term, so the postings that are asked for are first brought together by
-    document, a key that does not clump.
+    Terms and their weights are joined with the postings on (part, term); the parts that no term lies in are not read.
     """
-    id_type, parts = queries.schema[QUERY_ID].dataType, []
-    for block in _term_blocks(queries):
-        rows = _weighted_postings(index.postings, _weighted_terms(block, index.frequencies, index.corpus))
-        parts.append(_best_documents(rows.repartition(ID).sortWithinPartitions(ID), block, k, id_type))
-    return merged(parts, queries.sparkSession, id_type, "score", [F.col("score").desc(), F.col(ID)], k)
+    asked = written(query_terms(queries))
+    weights = written(_weights(asked, index.frequencies, index.corpus))
+    total, found = asked.select(F.count_distinct(QUERY_ID)).first()[0], weights.agg(F.sum("df")).first()[0] or 0
+    posted, wanted = index.postings, weights.filter("df > 0").drop("df")
+    if index.parts is not None:
+        # joined on both; with the filter on the small side Spark prunes the parts when it runs
+        wanted = wanted.withColumn("part", _part(F.col("term"), index.parts))
+        posted = posted.withColumnRenamed("term", "_term")
+        small = F.broadcast(wanted) if is_small(wanted) else wanted
+        posted = posted.join(small, (posted["part"] == small["part"]) & (posted["_term"] == small["term"])).select(small["*"], ID, "tf", "length")
+    else:
+        posted = join_small(posted, wanted, "term", salt_by=F.col(ID))
+    weight = _weight(F.col("idf"), F.col("tf"), F.col("length"), F.col("average"))
+    return score_tiles(posted.select(ID, "term", weight.alias("weight")), asked, total, found, k, queries.schema[QUERY_ID].dataType)
 
 
 def search_text_batch(df: DataFrame, queries: DataFrame, k: int = 10, where=None, include=None, **options) -> DataFrame:
-    """BM25 for every row of ``queries`` (``query_id, text``), over any of its terms."""
+    """BM25 for every row of ``queries`` (``query_id, text``), over any of its terms.
+
+    Texts are cut into terms once for their postings, of which those asked for are kept, and once for the corpus' length.
+    """
     if where:
-        passes = F.coalesce(selection(where, **options), F.lit(False))
-        posted = postings(df.withColumn("passes", passes), keep=("passes",))
+        posted = postings(df.withColumn("passes", F.coalesce(selection(where, **options), F.lit(False))), keep=("passes",))
     else:
-        posted = postings(df)
-    id_type, parts = queries.schema[QUERY_ID].dataType, []
-    # To count documents, their distinct terms are enough, which are cheaper than their postings.
-    distinct = df.select(F.explode(F.array_distinct(tokens(F.col(DOCUMENT)))).alias("term"))
-    for block in _term_blocks(queries):
-        asked = distinct.join(F.broadcast(_numbered(df.sparkSession, block).select("term")), "term")
-        weighted = _weighted_terms(block, document_frequencies(asked), corpus(df))
-        # The postings of a document come out of one row and through one broadcast join, side by side.
-        rows = _weighted_postings(posted.filter("passes") if where else posted, weighted)
-        parts.append(_best_documents(rows, block, k, id_type))
-    hits = merged(parts, df.sparkSession, id_type, "score", [F.col("score").desc(), F.col(ID)], k)
-    return attach(hits, df, include, bound=k * queries.count())
+        posted = postings(df).withColumn("passes", F.lit(True))
+    asked = written(query_terms(queries))
+    matched = written(join_small(posted, asked.select("term").distinct(), "term", salt_by=F.col(ID)))
+    weights = written(_weights(asked, document_frequencies(matched), corpus(df)))
+    total, found = asked.select(F.count_distinct(QUERY_ID)).first()[0], weights.agg(F.sum("df")).first()[0] or 0
+    passing = join_small(matched.filter("passes"), weights.drop("df"), "term", salt_by=F.col(ID))
+    weight = _weight(F.col("idf"), F.col("tf"), F.col("length"), F.col("average"))
+    hits = score_tiles(passing.select(ID, "term", weight.alias("weight")), asked, total, found, k, queries.schema[QUERY_ID].dataType)
+    return attach(hits, df, include, bound=k * total)

@@ -8,7 +8,6 @@ DataFrame: ``operators/tiles.py`` lays records and queries out as a grid of tile
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -74,14 +73,6 @@ class QueryBlock:
         self.norms = np.sqrt((self.matrix**2).sum(axis=1))
 
 
-def split_queries(queries: DataFrame, size: int) -> Iterator[DataFrame]:
-    """Queries in parts of about ``size``, by a hash of their id."""
-    total = queries.count()
-    parts = -(-total // size)
-    for part in range(parts):
-        yield queries if parts == 1 else queries.filter(F.pmod(F.xxhash64(QUERY_ID), F.lit(parts)) == part)
-
-
 def query_shape(queries: DataFrame) -> tuple[int, int]:
     """How many queries there are, and their dimension."""
     total, low, high = queries.filter("vector is not null").agg(F.count(F.lit(1)), F.min(F.size("vector")), F.max(F.size("vector"))).first()

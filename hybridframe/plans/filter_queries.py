@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hybridframe.functions import records as codecs
-from hybridframe.operators import retrieve
+from hybridframe.operators import fulltext, lookup, retrieve
 from hybridframe.plans.registry import RECORDS, has_any, query
+from hybridframe.plans.session import shared_folder
 from hybridframe.plans.standard import event_records, records, table
 from hybridframe.schema import split_rejects
 
@@ -156,6 +157,45 @@ for _name, (_where, _condition, _mode) in TEXT.items():
     query(_name, f"WITH {RECORDS} SELECT _id FROM r WHERE {_condition}")(_matched)
 
 
+# --- text filters through an index ---
+
+
+def _indexes(spark, sf, where="$contains $regex", mode=""):
+    """The records, and those of the two indexes that a filter can use."""
+    folder, searched, terms, grams = shared_folder(spark), records(spark, sf), None, None
+    if "$contains" in str(where) and mode != "substring":
+        fulltext.write_index(searched, f"{folder}/terms")
+        terms = fulltext.read_index(spark, f"{folder}/terms")
+    if "$regex" in str(where) or mode == "substring":
+        lookup.write_grams(searched, f"{folder}/grams")
+        grams = lookup.read_grams(spark, f"{folder}/grams")
+    return searched, terms, grams
+
+
+INDEXED = {name: TEXT[name] for name in ("doc_match_any", "doc_substring", "doc_and", "doc_many_keys")} | {
+    "doc_regex": ({"$regex": "[Tt]he of \\w+"}, "regexp_matches(document, '[Tt]he of \\w+')", "terms")
+}
+
+for _name, (_where, _condition, _mode) in INDEXED.items():
+
+    def _looked_up(spark, sf, where=_where, mode=_mode):
+        searched, terms, grams = _indexes(spark, sf, where, mode)
+        return lookup.select_documents(searched, where, terms, grams, mode).select("_id")
+
+    query(f"{_name}_indexed", f"WITH {RECORDS} SELECT _id FROM r WHERE {_condition}")(_looked_up)
+
+
+@query("doc_texts_read")
+def doc_texts_read(spark, sf):
+    """``filter, texts, read``: how many texts the filters above are checked on."""
+    searched, terms, grams = _indexes(spark, sf)
+    parts = [lookup.texts_read(searched, where, terms, grams, mode).select(F.lit(name).alias("filter"), "*") for name, (where, _, mode) in INDEXED.items()]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
 # --- retrieval ---
 
 

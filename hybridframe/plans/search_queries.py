@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hybridframe import results
 from hybridframe.functions.vectors import similarity
-from hybridframe.operators import approximate, fulltext, hashing, quantised, tiles
+from hybridframe.operators import approximate, blocks, deltas, fulltext, hashing, quantised, tiles
 from hybridframe.operators.embed import HashingEmbedder, embed
 from hybridframe.operators.hybrid import hybrid_search
 from hybridframe.operators.nearest import nearest, nearest_batch, query_shape
@@ -412,6 +412,65 @@ def batch_text_sql(condition: str = "TRUE") -> str:
     SELECT query_id, rank, _id, score FROM n WHERE rank <= {K}"""
 
 
+def _block_index(spark, sf):
+    folder = shared_folder(spark)
+    blocks.write_blocks(records(spark, sf), folder)
+    return blocks.read_blocks(spark, folder)
+
+
+@query("bm25_blocks", BM25["bm25_any"][2])
+def bm25_blocks(spark, sf):
+    return blocks.search_blocks(_block_index(spark, sf), BM25["bm25_any"][0], K).select(_whole("rank"), "_id", "score")
+
+
+@query("bm25_blocks_all", BM25["bm25_all"][2])
+def bm25_blocks_all(spark, sf):
+    return blocks.search_blocks(_block_index(spark, sf), BM25["bm25_all"][0], K).select(_whole("rank"), "_id", "score")
+
+
+@query("bm25_blocks_read")
+def bm25_blocks_read(spark, sf):
+    """``blocks, reached`` of ``bm25_blocks``: what the second job leaves out is the difference."""
+    return blocks.blocks_read(_block_index(spark, sf), BM25["bm25_any"][0], K)
+
+
+# What the changed collection holds, in SQL: a tenth of the documents is gone, a tenth has other texts, a tenth is there twice.
+AFTER = """documents_after AS (
+      SELECT doc_id, CASE WHEN doc_id % 10 = 4 THEN text || ' nicht que' ELSE text END AS text FROM documents WHERE doc_id % 10 <> 3
+      UNION ALL SELECT doc_id + 1000000000, text FROM documents WHERE doc_id % 10 = 5)"""
+
+
+def changed_index(spark, sf):
+    """A stored index, and the records that left and came since."""
+    folder, searched = shared_folder(spark), records(spark, sf)
+    fulltext.write_index(searched, folder)
+    turn = F.col("_id").cast("long") % 10
+    minus = searched.filter(turn.isin(3, 4)).select("_id", "document")
+    other = searched.filter(turn == 4).select("_id", F.concat("document", F.lit(" nicht que")).alias("document"))
+    added = searched.filter(turn == 5).select((F.col("_id").cast("long") + 1_000_000_000).cast("string").alias("_id"), "document")
+    return deltas.text_index_after(fulltext.read_index(spark, folder), minus, other.unionByName(added))
+
+
+@query(
+    "bm25_after_changes",
+    f"WITH {AFTER}, "
+    + bm25_sql(["nicht", "thatand", "que"]).replace("WITH ", "", 1).replace("FROM documents)", "FROM documents_after)").replace("FROM s JOIN r USING (_id) WHERE TRUE", "FROM s"),
+)
+def bm25_after_changes(spark, sf):
+    return fulltext.search_index(changed_index(spark, sf), BM25["bm25_any"][0], K).select(_whole("rank"), "_id", "score")
+
+
+@query(
+    "doc_freq_after_changes",
+    f"WITH {AFTER}, {POSTINGS.replace('FROM documents)', 'FROM documents_after)')} SELECT term, df, n, round(average, 6) AS average FROM freq, corpus",
+)
+def doc_freq_after_changes(spark, sf):
+    """The corrected document frequencies of all terms, with the corpus' size and mean length."""
+    index = changed_index(spark, sf)
+    stats = index.corpus.select(F.struct("n", "average").alias("stats")).scalar()
+    return index.frequencies.withColumn("stats", stats).select("term", "df", "stats.n", F.round("stats.average", 6).alias("average"))
+
+
 def _scored(hits):
     return hits.select("query_id", _whole("rank"), "_id", "score")
 
