@@ -12,18 +12,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from hybridframe import results
 from hybridframe.operators import mutate, retrieve
 from hybridframe.operators.approximate import CellIndex, build_cells, train_cells, write_cells
+from hybridframe.operators.deltas import cells_after, changed_records, text_index_after
 from hybridframe.operators.embed import HashingEmbedder, dimension_of, embed_missing
 from hybridframe.operators.fulltext import TextIndex, read_index, write_index
 from hybridframe.operators.hybrid import as_vectors, hybrid_search, vector_leg
-from hybridframe.operators.nearest import DEFAULT_K, attach, nearest, nearest_batch, query_frame
+from hybridframe.operators.joins import BROADCAST_ROWS, join_small
+from hybridframe.operators.nearest import DEFAULT_K, nearest, nearest_batch, query_frame
 from hybridframe.plans.session import ship
-from hybridframe.schema import DEFAULT_DIMENSION, EMBEDDING, FIELDS, ID, METRICS, RECORD, conform, fault, included
+from hybridframe.schema import DEFAULT_DIMENSION, DOCUMENT, EMBEDDING, FIELDS, ID, METADATA, METRICS, RECORD, conform, fault, included
 from hybridframe.sources.files import Files
+from hybridframe.sources.markdown import source_of
 from hybridframe.sources.store import BUCKETS, VARIANT, Store, Version, physical_name, typed_column
 
 DEFAULT_DATABASE = "default"
-# So many found records are fetched by their ids; more are joined with a scan.
-PICK_ROWS = 10_000
 _UNSET = object()
 
 
@@ -199,10 +200,12 @@ class Collection:
         scan, options = self._scan(), self._options()
         rows = n_results * (vectors.count() if isinstance(vectors, DataFrame) else len(vectors))
         if probes:
+            knn, cells = {"where": where, "n_results": n_results}, self._cells(probes)
             if where_document:
-                raise ValueError("an approximate search takes no where_document")
-            knn = {"where": where, "n_results": n_results}
-            hits = vector_leg(scan, vectors, knn, self.distance, self._cells(probes), **options)
+                # cells hold no texts: the ids that pass are joined first, so k results are found where k records pass
+                passing = retrieve.select_records(scan, None, None, where_document, **options).select(ID)
+                cells = cells._replace(records=join_small(cells.records, passing, ID, "left_semi"))
+            hits = vector_leg(scan, vectors, knn, self.distance, cells, **options)
         elif not isinstance(vectors, DataFrame) and len(vectors) == 1:
             hits = nearest(scan, vectors[0], n_results, self.distance, where, where_document, (), **options)
         else:
@@ -211,13 +214,13 @@ class Collection:
         return self._fetch(hits, include, rows)
 
     def _fetch(self, hits: DataFrame, include, rows: int) -> DataFrame:
-        """Add the included columns to at most ``rows`` hits."""
-        if not included(include) or rows > PICK_ROWS:
-            return attach(hits, self._scan(), include, rows)
-        found = hits.collect()
-        known = self._store.spark.createDataFrame(found, hits.schema)
-        picked = self._store.pick(self._version(), sorted({row[ID] for row in found}))
-        return attach(known, picked, include, rows)
+        """Add the included columns to at most ``rows`` hits. They are joined by bucket and id, so buckets without a hit are not read."""
+        if not included(include):
+            return hits
+        version = self._version()
+        found = hits.withColumn("bucket", self._store.bucket_of(F.col(ID), version))
+        records = retrieve.project(self._store.read(version), include, ("bucket",))
+        return records.join(F.broadcast(found) if rows <= BROADCAST_ROWS else found, [ID, "bucket"]).drop("bucket")
 
     def query_frame(
         self, query_embeddings=None, query_texts=None, n_results=DEFAULT_K, where=None, where_document=None, include=None, probes: int = 0
@@ -266,7 +269,8 @@ class Collection:
     def build_index(self, cells: int = 0, fraction: float = 1.0, seed: int = 7) -> None:
         """Index the current version: its texts, and its vectors in ``cells`` cells.
 
-        An index belongs to its version. After a change searches scan again until it is rebuilt.
+        After a change the newest index goes on being used: the records of files that changed since are compared, and what left or came is put
+        beside the stored postings and cells (see ``operators.deltas``). Build it again once much has changed.
         """
         version = self._version()
         folder = self._index_folder(version)
@@ -285,21 +289,36 @@ class Collection:
     def _index_folder(self, version: Version) -> str:
         return f"{self._store.folder}/index/{version.number:012d}"
 
-    def _index(self) -> tuple[str, dict] | None:
-        folder = self._index_folder(self._version())
-        done = f"{folder}/done.json"
-        return (folder, json.loads(self._store.files.read(done))) if self._store.files.exists(done) else None
+    def _index(self) -> tuple[str, dict, Version] | None:
+        """The newest index of this version or an earlier one: its folder, what it holds, and its version."""
+        current = self._version()
+        for name in reversed(self._store.files.names(f"{self._store.folder}/index")):
+            folder = f"{self._store.folder}/index/{name}"
+            if int(name) <= current.number and self._store.files.exists(f"{folder}/done.json"):
+                version = self._store.version(int(name))
+                if version is not None:
+                    return folder, json.loads(self._store.files.read(f"{folder}/done.json")), version
+        return None
+
+    def _since(self, version: Version, *columns: str) -> tuple[DataFrame, DataFrame] | None:
+        """What left and what came since a version; None if it is the current one."""
+        current = self._version()
+        return None if version.number == current.number else changed_records(*self._store.changes(version, current), columns)
 
     def _text_index(self) -> TextIndex | None:
         found = self._index()
-        return None if found is None else read_index(self._store.spark, f"{found[0]}/text")
+        if found is None:
+            return None
+        index, since = read_index(self._store.spark, f"{found[0]}/text"), self._since(found[2], DOCUMENT)
+        return index if since is None else text_index_after(index, *since)
 
     def _cells(self, probes: int) -> CellIndex:
         found = self._index()
         if found is None or not found[1]["cells"]:
-            raise ValueError("an approximate search needs build_index(cells=...) after the last change")
-        read = self._store.spark.read
-        return CellIndex(read.parquet(f"{found[0]}/cells"), read.parquet(f"{found[0]}/centroids"), probes)
+            raise ValueError("an approximate search needs build_index(cells=...)")
+        read, since = self._store.spark.read, self._since(found[2], EMBEDDING, METADATA)
+        cells = CellIndex(read.parquet(f"{found[0]}/cells"), read.parquet(f"{found[0]}/centroids"), probes)
+        return cells if since is None else cells_after(cells, *since, self.dimension, self.distance)
 
     # --- changing ---
 
@@ -402,6 +421,18 @@ class Collection:
         self._rewrite(self._prepared(batch), lambda current, staged, rows: mutate.upsert(current, staged, bound=rows), **changes)
         return True
 
+    def replace_sources_frame(self, batch: DataFrame) -> None:
+        """Replace all records of the batch's source files by the batch, as one new version."""
+        staged, path, version, _, buckets = self._changed(self._prepared(batch))
+        try:
+            sources = staged.select(source_of(F.col(METADATA)).alias("_source")).filter("_source is not null").distinct()
+            held = self._store.read(version).select("bucket", source_of(F.col(METADATA)).alias("_source"))
+            doomed = join_small(held, sources, "_source", "left_semi").select("bucket").distinct().collect()  # at most all buckets
+            touched = sorted({*buckets, *(row["bucket"] for row in doomed)})
+            self._store.rewrite(version, touched, lambda current: mutate.replace_sources(current, staged, source_of))
+        finally:
+            self._store.files.delete(path)
+
     def delete(self, ids=None, where=None, where_document=None) -> None:
         """Remove the records that pass all of the given conditions; at least one is needed."""
         if ids is not None and not isinstance(ids, DataFrame):

@@ -304,10 +304,10 @@ def score_tiles(matched: DataFrame, asked: DataFrame, queries: int, postings_: i
     return top_per_group(hits, QUERY_ID, [F.col("score").desc(), F.col(ID)], k)
 
 
-def search_index_batch(index: TextIndex, queries: DataFrame, k: int = 10) -> DataFrame:
+def search_index_batch(index: TextIndex, queries: DataFrame, k: int = 10, passing: DataFrame | None = None) -> DataFrame:
     """BM25 from an index for every row of ``queries`` (``query_id, text``): ``query_id, rank, _id, score``.
 
-    Terms and their weights are joined with the postings on (part, term); the parts that no term lies in are not read.
+    ``passing`` holds the ids that a metadata filter admits. Terms and their weights are joined with the postings on (part, term); the parts that no term lies in are not read.
     """
     asked = written(query_terms(queries))
     weights = written(_weights(asked, index.frequencies, index.corpus))
@@ -321,6 +321,8 @@ def search_index_batch(index: TextIndex, queries: DataFrame, k: int = 10) -> Dat
         posted = posted.join(small, (posted["part"] == small["part"]) & (posted["_term"] == small["term"])).select(small["*"], ID, "tf", "length")
     else:
         posted = join_small(posted, wanted, "term", salt_by=F.col(ID))
+    if passing is not None:
+        posted = posted.join(passing.select(ID), ID, "left_semi")
     weight = _weight(F.col("idf"), F.col("tf"), F.col("length"), F.col("average"))
     return score_tiles(posted.select(ID, "term", weight.alias("weight")), asked, total, found, k, queries.schema[QUERY_ID].dataType)
 

@@ -11,7 +11,7 @@ from hybridframe.functions.columns import steady
 from hybridframe.functions.predicates import only_contains
 from hybridframe.functions.vectors import metric_or_default
 from hybridframe.operators.approximate import CellIndex, nearest_in_cells
-from hybridframe.operators.fulltext import TextIndex, search_index, search_text, search_text_batch
+from hybridframe.operators.fulltext import TextIndex, search_index, search_index_batch, search_text, search_text_batch
 from hybridframe.operators.joins import top_per_group
 from hybridframe.operators.nearest import DEFAULT_K, QUERY_ID, attach, nearest, nearest_ids, query_frame
 from hybridframe.operators.retrieve import select_records
@@ -55,6 +55,9 @@ def text_leg(df: DataFrame, query: Mapping, window: int, index: TextIndex | None
     """
     limit = query.get("n_results") or window
     if query.get("query_texts") is not None:
+        if index is not None:
+            passing = select_records(df, None, query["where"], **options) if query.get("where") else None
+            return search_index_batch(index, query["query_texts"], limit, passing)
         return search_text_batch(df, query["query_texts"], limit, query.get("where"), (), **options)
     if query.get("where_document"):
         if index is not None and only_contains(query["where_document"]) and options.get("mode", "terms") == "terms":

@@ -6,11 +6,14 @@ Where an id comes more than once, ``position`` orders its entries, later ones ov
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hybridframe.functions.predicates import selection
 from hybridframe.operators.joins import join_small
 from hybridframe.operators.retrieve import select_records
+from hybridframe.plans.session import written
 from hybridframe.schema import DOCUMENT, EMBEDDING, FIELDS, ID, METADATA, conform
 
 CHANGEABLE = (DOCUMENT, EMBEDDING, METADATA)
@@ -76,11 +79,22 @@ def upsert(current: DataFrame, batch: DataFrame, bound: int | None = None) -> Da
     With a small batch the current records are only scanned: the batch is broadcast to them for the
     overlay and for finding the known ids. A full outer join would shuffle every record.
     """
-    folded = fold(batch)
+    # read by the overlay, by the search for known ids and by the rows that are new
+    folded = written(fold(batch))
     known = join_small(current.select(ID), folded.select(ID), ID, "left_semi", bound=bound)
     return _overlay(current, folded).unionByName(folded.join(known, ID, "left_anti"))
 
 
+def replace_sources(current: DataFrame, batch: DataFrame, source: Callable[[Column], Column]) -> DataFrame:
+    """Records with all of those of the batch's sources replaced by the batch: what a source does not hold any more goes.
+
+    ``source`` makes the source from the metadata. A record without one stays.
+    """
+    sources = batch.select(source(F.col(METADATA)).alias("_source")).filter("_source is not null").distinct()
+    marked = conform(current).withColumn("_source", source(F.col(METADATA)))
+    return join_small(marked, sources, "_source", "left_anti").select(*FIELDS).unionByName(fold(batch))
+
+
 def delete(current: DataFrame, ids=None, where=None, where_document=None, **options) -> DataFrame:
     """Records that remain. A record whose condition is NULL remains too."""
     if ids is None and not where and not where_document:

@@ -35,7 +35,7 @@ def select_records(df: DataFrame, ids=None, where=None, where_document=None, **o
 
 
 def page(df: DataFrame, limit: int | None = None, offset: int | None = None) -> DataFrame:
-    """One page in id order. The cost grows with the offset; walk long lists with ``page_after``."""
+    """One page in id order. The cost grows with the offset; walk long lists with ``page_after``, jump with ``deep_page``."""
     limit = DEFAULT_PAGE if limit is None else limit
     ordered = df.orderBy(ID)
     if offset:
@@ -49,6 +49,28 @@ def page_after(df: DataFrame, last_id: str | None = None, limit: int = DEFAULT_P
     return rest.orderBy(ID).limit(limit)
 
 
+def write_pages(df: DataFrame, path: str, parts: int = 64) -> None:
+    """Keep the ids in order, by range, with the number of ids in each range, for ``deep_page``."""
+    ordered = df.select(ID).repartitionByRange(parts, ID).sortWithinPartitions(ID).withColumn("range", F.spark_partition_id())
+    ordered.write.partitionBy("range").parquet(f"{path}/ids")
+    df.sparkSession.read.parquet(f"{path}/ids").groupBy("range").agg(F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/counts")
+
+
+def deep_page(df: DataFrame, path: str, limit: int = DEFAULT_PAGE, offset: int = 0) -> DataFrame:
+    """``page`` where ``write_pages`` was called: sums of the counts tell in which ranges the page lies, and only these are read.
+
+    The counts are one row for each range.
+    """
+    pages, before, wanted = df.sparkSession.read.parquet(f"{path}/ids"), 0, []
+    for row in df.sparkSession.read.parquet(f"{path}/counts").orderBy("range").collect():
+        if before < offset + limit and before + row["n"] > offset:
+            wanted.append((row["range"], before))
+        before += row["n"]
+    ids = pages.filter(F.col("range").isin([number for number, _ in wanted])).select(ID)
+    ids = ids.orderBy(ID).offset(offset - wanted[0][1] if wanted else 0).limit(limit)
+    return join_small(df, ids, ID, "left_semi", bound=limit).orderBy(ID)
+
+
 def get(df: DataFrame, ids=None, where=None, where_document=None, limit=None, offset=None, include=None, **options) -> DataFrame:
     """Filtered page of records in id order."""
     return page(project(select_records(df, ids, where, where_document, **options), include), limit, offset)

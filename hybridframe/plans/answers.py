@@ -11,7 +11,7 @@ from hybridframe.operators.embed import embed
 from hybridframe.operators.hybrid import hybrid_search
 from hybridframe.operators.nearest import QUERY_ID, nearest_batch
 from hybridframe.schema import METADATA
-from hybridframe.sources.markdown import MAX_CHARS, chunk_records, chunks, read_markdown
+from hybridframe.sources.markdown import MAX_CHARS, chunk_records, chunks, read_markdown, source_of
 
 PREVIEW_CHARS = 200
 
@@ -25,10 +25,6 @@ def ingest(collection, path: str, max_chars: int | None = MAX_CHARS) -> None:
     collection.overwrite(chunk_records(chunks(files, max_chars=max_chars)))
 
 
-def source_of(metadata: Column) -> Column:
-    return F.get_json_object(metadata, "$.source_file")
-
-
 def collection_stats(df: DataFrame) -> DataFrame:
     """One row: all records, and the distinct files they come from."""
     return df.agg(

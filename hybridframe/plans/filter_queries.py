@@ -157,6 +157,18 @@ for _name, (_where, _condition, _mode) in TEXT.items():
     query(_name, f"WITH {RECORDS} SELECT _id FROM r WHERE {_condition}")(_matched)
 
 
+@query(
+    "page_deep",
+    f"""WITH {RECORDS} SELECT _id, metadata FROM (SELECT _id, metadata, row_number() OVER (ORDER BY _id) AS place, count(*) OVER () AS n FROM r)
+    WHERE place > n // 2 AND place <= n // 2 + 50""",
+)
+def page_deep(spark, sf):
+    """A page from the middle: of the sorted ids only the ranges that it lies in are read."""
+    folder, searched = shared_folder(spark), records(spark, sf)
+    retrieve.write_pages(searched, folder)
+    return retrieve.deep_page(searched, folder, 50, searched.count() // 2).select("_id", "metadata")
+
+
 # --- text filters through an index ---
 
 

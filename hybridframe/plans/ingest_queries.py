@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hybridframe.client import Client, VectorConfiguration
+from hybridframe.operators import mutate
 from hybridframe.operators.embed import HashingEmbedder, embed, embed_missing, wrong_size
 from hybridframe.plans import answers
 from hybridframe.plans.change_queries import FOLDED, event_batch
@@ -12,8 +13,8 @@ from hybridframe.plans.registry import RECORDS, query
 from hybridframe.plans.search_queries import HASH_DIMENSION, K, _whole, text_queries
 from hybridframe.plans.session import shared_folder
 from hybridframe.plans.standard import records, spread, table
-from hybridframe.sources.markdown import chunk_records, chunks
-from hybridframe.streaming.ingest import deduplicate, upsert_stream
+from hybridframe.sources.markdown import chunk_records, chunks, source_of
+from hybridframe.streaming.ingest import deduplicate, deduplicate_windows, late_rows, upsert_stream
 
 
 class LetterCounts:
@@ -80,6 +81,19 @@ def chunk_records_of_documents(spark, sf):
     return chunk_records(document_chunks(spark, sf)).drop("embedding")
 
 
+@query(
+    "replace_changed_files",
+    f"""WITH {CHUNKS.replace('FROM documents', "FROM (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN substr(text, 1, length(text) // 2) ELSE text END AS text FROM documents)")}
+    SELECT 'doc' || doc_id || '.md_' || chunk_index AS _id, text AS document FROM chunk""",
+)
+def replace_changed_files(spark, sf):
+    """A tenth of the files comes again, cut short: their last chunks go."""
+    first = chunk_records(document_chunks(spark, sf))
+    some = table(spark, sf, "documents").filter(F.col("doc_id") % 10 == 0)
+    shorter = some.select(F.concat(F.lit("doc"), "doc_id", F.lit(".md")).alias("source_file"), F.expr("left(text, char_length(text) div 2)").alias("text"))
+    return mutate.replace_sources(first, chunk_records(chunks(shorter)), source_of).select("_id", "document")
+
+
 @query("collection_stats", f"WITH {CHUNKS} SELECT count(*) AS total_embeddings, count(DISTINCT doc_id) AS unique_source_files FROM chunk")
 def collection_stats(spark, sf):
     return answers.collection_stats(chunk_records(document_chunks(spark, sf)))
@@ -177,6 +191,67 @@ def stream_dedupe(spark, sf):
     return spark.read.parquet(f"{folder}/out")
 
 
+WINDOW, DELAY = "6 hours", "2 hours"
+# The order in which events arrive: by time in four batches, but every 97th of the first quarter comes with the last one.
+ARRIVAL = """bounds AS (SELECT min(epoch_us(ts)) AS low, greatest(1, max(epoch_us(ts)) - min(epoch_us(ts))) AS span FROM events),
+    quartered AS (SELECT events.*, 1 + least(3, (4 * (epoch_us(ts) - low)) // span) AS quarter FROM events, bounds),
+    arrived AS (SELECT *, CASE WHEN quarter = 1 AND event_id % 97 = 0 THEN 4 ELSE quarter END AS batch FROM quartered),
+    mark AS (SELECT epoch_ms(max(ts)) - 2 * 3600 * 1000 AS late_before FROM arrived WHERE batch < 4),
+    timed AS (SELECT *, time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01') AS window_start FROM arrived)"""
+IS_LATE = "batch = 4 AND epoch_ms(window_start) + 6 * 3600 * 1000 <= late_before"
+
+
+def arriving(spark, sf):
+    """A stream of the events in four batches, as files that come one after the other."""
+    folder, events = shared_folder(spark), table(spark, sf, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    quarter = F.least(F.lit(3), F.expr("4 * (at - low) div span")) + 1
+    placed = events.withColumns({"at": at, "low": F.lit(low or 0), "span": F.lit(max(1, (high or 0) - (low or 0)))}).withColumn("quarter", quarter)
+    batch = F.when((F.col("quarter") == 1) & (F.col("event_id") % 97 == 0), 4).otherwise(F.col("quarter"))
+    for number in range(1, 5):
+        placed.filter(batch == number).select(*events.columns).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _windows(spark, sf):
+    folder = shared_folder(spark)
+    first = deduplicate_windows(arriving(spark, sf), ["user_id", "event_type"], "ts", WINDOW, DELAY)
+    writer = first.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    running = writer.trigger(availableNow=True).start()
+    running.awaitTermination()
+    return spark.read.parquet(f"{folder}/out"), running
+
+
+@query(
+    "stream_dedupe_windows",
+    f"""WITH {ARRIVAL} SELECT DISTINCT user_id, event_type, CAST(epoch_ms(window_start) AS BIGINT) AS window_start
+    FROM timed, mark WHERE NOT ({IS_LATE})""",
+)
+def stream_dedupe_windows(spark, sf):
+    """Users and types once for every six hours of event time; rows that come two hours after the end of their window are too late."""
+    return _windows(spark, sf)[0].select("user_id", "event_type", F.unix_millis("window_start").alias("window_start"))
+
+
+@query("stream_late_rows", f"WITH {ARRIVAL} SELECT count(*) AS late FROM timed, mark WHERE {IS_LATE}")
+def stream_late_rows(spark, sf):
+    """The rows that were dropped as too late, as Spark counted them."""
+    return spark.createDataFrame([(late_rows(_windows(spark, sf)[1]),)], "late long")
+
+
+@query("stream_out_of_order", f"WITH {FOLDED} SELECT _id, document, metadata FROM f")
+def stream_out_of_order(spark, sf):
+    """``stream_upsert`` from files in which events come in no order; the collection ends as if they had come in theirs."""
+    folder, events = shared_folder(spark), table(spark, sf, "events")
+    for number in range(3):
+        events.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == number).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    collection = Client(spark, folder).create_collection("users", VectorConfiguration(3, "l2"), None, buckets=8)
+    upsert_stream(event_batch(stream), collection, f"{folder}/checkpoint", "events", once=True).awaitTermination()
+    return collection.records().select("_id", "document", "metadata")
+
+
 @query("stream_upsert", f"WITH {FOLDED} SELECT _id, document, metadata FROM f")
 def stream_upsert(spark, sf):
     folder = shared_folder(spark)

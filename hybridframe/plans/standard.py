@@ -5,20 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-# Below this size a table in few files is dealt out to all cores before heavy text work.
-SPREAD_BYTES = 1 << 30
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """A small table whose files are fewer than the cores, dealt out to all of them.
+    """A table that is read in fewer tasks than there are cores, dealt out to all of them; any other one as it is.
 
-    One Parquet row group is one task, however many cores there are. Large tables have many row
-    groups and are left as they lie.
+    One Parquet row group is one task, however many cores there are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores or df._jdf.queryExecution().analyzed().stats().sizeInBytes() > SPREAD_BYTES:
-        return df
-    return df.repartition(cores)
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -56,3 +56,8 @@ def chunk_records(cut: DataFrame) -> DataFrame:
         F.lit(None).cast("array<float>").alias("embedding"),
         F.to_json(F.struct("source_file", "chunk_index")).alias("metadata"),
     )
+
+
+def source_of(metadata: Column) -> Column:
+    """The file that a record comes from."""
+    return F.get_json_object(metadata, "$.source_file")

@@ -114,6 +114,15 @@ class Store:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", f"{self.folder}/data").parquet(*paths)
 
+    def changes(self, old: Version, new: Version) -> tuple[DataFrame, DataFrame]:
+        """The records of the folders that only one of two versions has, for each: all that differs between them is in there."""
+
+        def only(one: Version, other: Version) -> DataFrame:
+            own = {b: [v for v in folders if v not in other.folders.get(b, [])] for b, folders in one.folders.items()}
+            return self.read(replace(one, folders={b: folders for b, folders in own.items() if folders}))
+
+        return only(old, new), only(new, old)
+
     @staticmethod
     def bucket_of(ident: Column, version: Version) -> Column:
         return F.pmod(F.xxhash64(ident), F.lit(version.buckets)).cast("int")
