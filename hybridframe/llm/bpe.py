@@ -5,10 +5,11 @@ from __future__ import annotations
 import codecs
 import functools
 import hashlib
+import itertools
 import json
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -186,30 +187,26 @@ def remembered(path: str) -> Remembered:
 
 def pieces(text: str, vocab: Vocabulary) -> Iterator[str | list[str]]:
     """Lists of pre-tokens of ``text`` in order, read in chunks; a special token comes alone, as a string."""
-    parts, found = [text], [s for s in vocab.special if s in text]
-    for special in found:
-        split = []
-        for part in parts:
-            if part in vocab.special:
-                split.append(part)
-                continue
-            for number, piece in enumerate(part.split(special)):
-                split += [special, piece] if number else [piece]
-        parts = split
-    for part in parts:
-        if part in vocab.special:
-            yield part
-        elif part:
-            yield from _chunked(part)
+    at, places = 0, {special: text.find(special) for special in vocab.special}
+    while True:
+        # the next special token, the longest of those that begin at one place
+        start, _, special = min(((place, -len(s), s) for s, place in places.items() if place >= 0), default=(len(text), 0, None))
+        if start > at:
+            yield from _chunked(text, at, start)
+        if special is None:
+            return
+        yield special
+        at = start + len(special)
+        places = {s: place if place < 0 or place >= at else text.find(s, at) for s, place in places.items()}
 
 
-def _chunked(text: str) -> Iterator[list[str]]:
+def _chunked(text: str, at: int, stop: int) -> Iterator[list[str]]:
     """A pre-token is stable when it ends 4 characters before the end of what was read and is not the last one."""
-    at, size = 0, CHUNK
-    while at < len(text):
-        part = text[at : at + size]
+    size = CHUNK
+    while at < stop:
+        part = text[at : min(stop, at + size)]
         starts = boundaries(part)
-        if at + size < len(text):
+        if at + size < stop:
             ends = [b for b in starts[-8:] if 0 < b <= len(part) - 4]
             if len(starts) > 1 and ends and ends[-1] == starts[-1]:
                 ends.pop()
@@ -234,18 +231,21 @@ def encode(text: str, path: str) -> Iterator[tuple[int, ...]]:
             yield from map(memory.__getitem__, part)
 
 
-def decode(ids: Iterator[int], path: str) -> Iterator[str]:
+def decode(ids: Iterable[int], path: str) -> Iterator[str]:
     """The text of token ids, in parts: bytes go through a UTF-8 state machine that keeps an unfinished character."""
     table = vocabulary(path).bytes
-    machine = codecs.getincrementaldecoder("utf-8")("replace")
-    ids = list(ids)
-    for at in range(0, len(ids), CHUNK):
-        yield machine.decode(b"".join(map(table.__getitem__, ids[at : at + CHUNK])))
+    machine, ids = codecs.getincrementaldecoder("utf-8")("replace"), iter(ids)
+    while some := list(itertools.islice(ids, CHUNK)):
+        yield machine.decode(b"".join(map(table.__getitem__, some)))
     yield machine.decode(b"", True)
 
 
 def encode_frame(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", carry=()) -> DataFrame:
-    """``row`` (id and ``carry``), ``ids array<int>`` for every row. A null text is an empty one and has no tokens."""
+    """``row`` (id and ``carry``), ``ids array<int>`` for every row. A null text is an empty one and has no tokens.
+
+    Repeated rows and null ids are rows like others, columns of any name are carried in ``row``, an empty table gives an empty result. The ids of a
+    text are one array; ``digests`` needs no more than a chunk of a text of any length.
+    """
 
     @F.pandas_udf("array<int>")
     def run(texts: pd.Series) -> pd.Series:
@@ -265,22 +265,27 @@ def decode_frame(df: DataFrame, path: str, ids_col: str = "ids", text_col: str =
 
 
 def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id n_tokens ids_sha256 decoded_sha256`` of every row, without token lists leaving the worker."""
+    """``id n_tokens ids_sha256 decoded_sha256`` of every row, without token lists leaving the worker.
+
+    Ids are hashed and decoded as they leave the transducer, ``CHUNK`` of them at a time, so besides the text itself its length
+    does not count. A null text is an empty one; repeated rows and null ids are rows like others; an empty table gives an empty result.
+    """
 
     def run(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        decimal = [str(i) for i in range(len(vocabulary(path).bytes))]
+        table = vocabulary(path).bytes
+        decimal = [str(i) for i in range(len(table))]
         for texts in columns:
             rows = []
             for text in texts:
-                ids: list[int] = []
-                for part in encode(text or "", path):
-                    ids += part
-                written, read = hashlib.sha256(), hashlib.sha256()
-                for at in range(0, len(ids), CHUNK):
-                    written.update((b"," if at else b"") + ",".join(map(decimal.__getitem__, ids[at : at + CHUNK])).encode())
-                for part in decode(ids, path):
-                    read.update(part.encode("utf-8"))
-                rows.append((len(ids), written.hexdigest(), read.hexdigest()))
+                count, written, read = 0, hashlib.sha256(), hashlib.sha256()
+                machine = codecs.getincrementaldecoder("utf-8")("replace")
+                ids = itertools.chain.from_iterable(encode(text or "", path))
+                while some := list(itertools.islice(ids, CHUNK)):
+                    written.update((b"," if count else b"") + ",".join(map(decimal.__getitem__, some)).encode())
+                    read.update(machine.decode(b"".join(map(table.__getitem__, some))).encode())
+                    count += len(some)
+                read.update(machine.decode(b"", True).encode())
+                rows.append((count, written.hexdigest(), read.hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     found = F.pandas_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hybridframe.llm.common import SPACES, WORD, documents, query, stage
 
@@ -24,8 +24,8 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stra
     """``row id stratum`` and the counts of every text, whole: ``n_words word_chars n_symbols n_lines n_dup_lines n_repeat_words``.
 
     Windows of five words are compared by their words' chained hash first. Only in texts where two
-    hashes are equal are the windows sorted by their words, and positions of equal neighbours collected.
-    A null text counts as empty.
+    hashes are equal are the windows sorted, by hash and words, and positions of equal neighbours collected.
+    A null text counts as empty. Rows that repeat an id are measured each; a text's windows are one array, so a text must fit in a task.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: F.regexp_like(line, F.lit(WORD)))
@@ -57,10 +57,10 @@ def measures(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", stra
     suspect = F.size(F.array_distinct("hashes")) < F.size("hashes")
     sorted_windows = F.when(
         suspect,
-        F.array_sort(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+        F.array_sort(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), F.slice("words", i + 1, 5).alias("w"), i.alias("i")))),
     )
     ordered = hashed.select("*", sorted_windows.alias("places")).drop("hashes")
-    same = lambda a, b: (a["h"] == b["h"]) & (F.slice("words", a["i"] + 1, 5) == F.slice("words", b["i"] + 1, 5))
+    same = lambda a, b: (a["h"] == b["h"]) & (a["w"] == b["w"])
     twice = F.filter(
         "places",
         lambda p, k: ((k > 0) & same(p, F.get("places", k - 1))) | ((k < F.size("places") - 1) & same(p, F.get("places", k + 1))),
@@ -106,54 +106,80 @@ def binomial_tail(k: str, n: str, p: float) -> Column:
     return F.when(F.col(k) <= 0, F.exp(first)).otherwise(counted)
 
 
-def _tests(name: str, grid: tuple, value: Column) -> Column:
-    cutoff = F.array(*[F.lit(float(c)) for c in grid])
-    return F.transform(cutoff, lambda c: F.struct(F.lit(name).alias("rule"), c.alias("cutoff"), value.alias("value")))
+def _over(name: str, level: Column) -> Column:
+    """Whether a document fails a rule at the cutoff of a level."""
+    return values()[name] > F.get(F.array(*[F.lit(c) for c in RULES[name]]), level)
+
+
+def _useful(labelled: DataFrame) -> DataFrame:
+    """``stratum`` and for each rule the level of its best cutoff: most bad documents rejected less good ones; null where none does good."""
+    good = F.col("quality") == 1
+    counts = [
+        F.sum(F.when(_over(name, F.lit(level)), F.when(good, -1).otherwise(1)).otherwise(0)).alias(f"{name}_{level}")
+        for name, grid in RULES.items() for level in range(len(grid))
+    ]
+    sums = labelled.groupBy("stratum").agg(*counts)
+
+    def best(name: str) -> Column:
+        gains = F.array(*[F.struct(F.col(f"{name}_{level}").alias("gain"), F.lit(-level).alias("mild")) for level in range(len(RULES[name]))])
+        top = F.array_max(gains)
+        return F.when(top["gain"] > 0, -top["mild"]).alias(name)
+
+    return sums.select("stratum", *[best(name) for name in RULES])
 
 
 def cutoffs(labelled: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
     """``stratum rule cutoff`` for every rule that may be used in a stratum.
 
-    ``labelled`` has the measures and ``quality`` (1 good, 0 bad) of documents that pass the base rules. Half of the documents, by
-    CRC-32 of the id, are the holdout. There, for each stratum, rule and cutoff, k of n good documents would be rejected;
-    if P(X <= k) for n trials at the allowed risk is small enough, the true rate is below the risk. The risk
-    is divided among the rules, and the error among all tests (Bonferroni), so that all statements hold at once. On the other half
-    the certified cutoff is chosen that rejects most bad documents less good ones; a rule that does no good there is not used.
+    ``labelled`` has the measures and ``quality`` (1 good, 0 bad), once for each document, of those that pass the base rules. Half of them, by
+    CRC-32 of the id, are the holdout; the other half tells which rules are of use and up to which cutoff. That gives each stratum one
+    sequence of sets of rules: at level t every useful rule has its t-th cutoff, or its best one if that is milder, so a set rejects
+    all that the one before it does. On the holdout k of n good documents are rejected by a set, by whichever rule; where
+    P(X <= k) for n trials at the allowed risk is at most the error, the true rate of the whole set is below the risk. Sets are tested
+    from mild to strict until one fails, which costs nothing along the sequence, and the last that holds is taken. The error is shared among the
+    strata; a stratum that passes to its end leaves its part to the others (Holm). So with a confidence of 1 - ``error`` no stratum rejects
+    more than ``risk`` of its good documents.
     """
-    looked_at = values()
-    flat = F.explode(F.flatten(F.array(*[_tests(name, grid, looked_at[name]) for name, grid in RULES.items()])))
     held = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
-    good, bad = F.col("quality") == 1, F.col("quality") == 0
-    over = F.col("value") > F.col("cutoff")
-    tests = (
-        labelled.select("stratum", "quality", held.alias("held"), flat.alias("test"))
-        .select("stratum", "quality", "held", "test.*")
-        .groupBy("stratum", "rule", "cutoff")
-        .agg(
-            F.count_if(good & F.col("held")).alias("n"),
-            F.count_if(good & F.col("held") & over).alias("k"),
-            F.count_if(bad & ~F.col("held") & over).alias("bad_hit"),
-            F.count_if(good & ~F.col("held") & over).alias("good_hit"),
-        )
+    useful = stage(_useful(labelled.filter(~held)))
+    own = useful.select(F.col("stratum").alias("s"), *[F.col(name).alias(f"_{name}") for name in RULES])
+    levels = max(len(grid) for grid in RULES.values())
+    trials = labelled.filter(held & (F.col("quality") == 1)).join(own, F.col("stratum").eqNullSafe(F.col("s")))
+    rejected = lambda level: reduce(lambda a, b: a | b, [F.coalesce(_over(name, F.least(F.lit(level), F.col(f"_{name}"))), F.lit(False)) & F.col(f"_{name}").isNotNull() for name in RULES])
+    counts = trials.groupBy("stratum").agg(F.count("*").alias("n"), F.array(*[F.count_if(rejected(level)) for level in range(levels)]).alias("ks"))
+    tails = counts.select("stratum", "n", F.posexplode("ks").alias("level", "k")).withColumn("p", binomial_tail("k", "n", risk))
+    tails = stage(tails)
+    strata, done = tails.select("stratum").distinct().count(), 0
+    while True:
+        share = error / max(1, strata - done)
+        failing = tails.groupBy("stratum").agg(F.min(F.when(F.col("p") > share, F.col("level"))).alias("fails"))
+        ended = failing.filter("fails is null").count()
+        if ended == done or ended == strata:
+            break
+        done = ended
+    chosen = failing.select(F.col("stratum").alias("s"), (F.coalesce("fails", F.lit(levels)) - 1).alias("level")).filter("level >= 0")
+    joined = useful.join(chosen, F.col("stratum").eqNullSafe(F.col("s")))
+    rule = lambda name: F.when(
+        F.col(name).isNotNull(),
+        F.struct(F.lit(name).alias("rule"), F.get(F.array(*[F.lit(c) for c in RULES[name]]), F.least("level", F.col(name))).alias("cutoff")),
     )
-    tests = stage(tests)
-    count = F.lit(float(max(1, tests.count())))
-    certified = tests.filter((F.col("n") > 0) & (binomial_tail("k", "n", risk / len(RULES)) <= error / count) & (F.col("bad_hit") > F.col("good_hit")))
-    best = Window.partitionBy("stratum", "rule").orderBy((F.col("bad_hit") - F.col("good_hit")).desc(), F.col("cutoff").desc())
-    return certified.withColumn("place", F.row_number().over(best)).filter("place = 1").select("stratum", "rule", "cutoff")
+    return joined.select("stratum", F.inline(F.array_compact(F.array(*[rule(name) for name in RULES]))))
 
 
 def judge(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", carry=()) -> DataFrame:
     """The measures of every row with ``base_failed`` and ``kept``.
 
     A stratum without enough labelled documents, null included, gets no cutoffs and keeps all that pass the base rules;
-    so do rows when ``labels`` is empty. Documents labelled twice count twice, labels without a value do not count.
+    so do rows when ``labels`` is empty. A document that is labelled twice, or is there twice, counts once, as bad if a label says so; labels
+    without a value or an id do not count. A null text is empty and fails the base rules. An empty table gives an empty result.
     """
     measured = stage(measures(df, id_col, text_col, stratum_col, carry))
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
     measured = measured.withColumn("base_failed", failed)
     known = labels.select(F.col(id_col).alias("id"), "quality").filter("quality is not null and id is not null")
-    chosen = stage(cutoffs(measured.filter(~F.col("base_failed")).join(known, "id")))
+    known = known.groupBy("id").agg(F.min("quality").alias("quality"))
+    labelled = measured.drop("row").filter(~F.col("base_failed")).join(known, "id").dropDuplicates(["id"])
+    chosen = stage(cutoffs(labelled))
     rules = [F.max(F.when(F.col("rule") == name, F.col("cutoff"))).alias(f"_{name}") for name in RULES]
     wide = chosen.groupBy(F.col("stratum").alias("s")).agg(*rules)
     joined = measured.join(wide, measured.stratum.eqNullSafe(F.col("s")), "left")

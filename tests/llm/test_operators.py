@@ -263,6 +263,33 @@ def test_quality_cutoffs_reject_bad_and_spare_good(docs, spark):
     assert all(r.kept for r in quality.judge(frame, labels.limit(0)).collect())
 
 
+def test_quality_guarantee(spark):
+    """60 strata in which only the mildest cutoff is within the risk: a confidence of 0.95 for all of them together."""
+    rng = random.Random(31)
+    true = lambda cutoff: 1 - cutoff ** (1 / 20)  # noqa: E731  P(share > cutoff) of a good document: 0.034 at 0.5, 0.058 at 0.3
+    assert true(0.5) < quality.RISK < true(0.3)
+    rows = []
+    for stratum in range(60):
+        for k in range(900):
+            share = rng.random() ** 20 if k < 800 else 1.0
+            rows.append((stratum * 1000 + k, f"s{stratum}", 100, 1000, int(1000 * share), 10, 0, 0, int(k < 800)))
+    schema = "id long, stratum string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long, quality int"
+    found = quality.cutoffs(spark.createDataFrame(rows, schema)).collect()
+    assert {r.rule for r in found} <= {"symbol_share"}
+    assert sum(true(r.cutoff) > quality.RISK for r in found) <= 1
+
+
+def test_quality_cutoffs_have_power(docs, spark):
+    """150 good documents of a stratum are enough where none is rejected; repeated labels and rows count once."""
+    rng = random.Random(32)
+    words = lambda n: " ".join("".join(rng.choices(SYLLABLES, k=2)) for _ in range(n))
+    texts = [words(40) if k % 3 else words(40).replace(" ", " ### ") for k in range(600)]
+    frame = docs(texts, langs=["aa" if k < 300 else "bb" for k in range(600)])
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(600)], "doc_id long, quality int")
+    rows = quality.judge(frame, labels.unionByName(labels)).collect()
+    assert all(r.kept == (r.id % 3 > 0) for r in rows)
+
+
 def test_language(docs, empty):
     own = {"xx": ["ka", "lo", "mir"], "yy": ["ten", "os", "ub"], "zz": ["ве", "ни", "ша"]}
     speak = lambda lang, n: " ".join("".join(random.choices(own[lang], k=3)) for _ in range(n))
