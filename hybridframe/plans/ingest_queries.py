@@ -192,11 +192,12 @@ def stream_dedupe(spark, sf):
 
 
 WINDOW, DELAY = "6 hours", "2 hours"
-# The order in which events arrive: by time in four batches, but every 97th of the first quarter comes with the last one.
+# The order in which events arrive: by time in four batches, but every 97th of the first quarter comes with the last one. What is late in a batch
+# is decided by the watermark that stood when the batch before it began.
 ARRIVAL = """bounds AS (SELECT min(epoch_us(ts)) AS low, greatest(1, max(epoch_us(ts)) - min(epoch_us(ts))) AS span FROM events),
     quartered AS (SELECT events.*, 1 + least(3, (4 * (epoch_us(ts) - low)) // span) AS quarter FROM events, bounds),
     arrived AS (SELECT *, CASE WHEN quarter = 1 AND event_id % 97 = 0 THEN 4 ELSE quarter END AS batch FROM quartered),
-    mark AS (SELECT epoch_ms(max(ts)) - 2 * 3600 * 1000 AS late_before FROM arrived WHERE batch < 4),
+    mark AS (SELECT epoch_ms(max(ts)) - 2 * 3600 * 1000 AS late_before FROM arrived WHERE batch < 3),
     timed AS (SELECT *, time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01') AS window_start FROM arrived)"""
 IS_LATE = "batch = 4 AND epoch_ms(window_start) + 6 * 3600 * 1000 <= late_before"
 

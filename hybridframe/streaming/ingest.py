@@ -24,8 +24,8 @@ def deduplicate_windows(stream: DataFrame, keys: list[str], time: str, window: s
     """Each key once for each window of event time: ``keys`` and ``window_start``.
 
     What comes out depends on event times alone, whatever the batches, but for rows that come when the watermark (the latest time seen, less
-    ``delay``) has passed their window's end: these are dropped, and Spark counts them in ``numRowsDroppedByWatermark``. So the
-    state holds the windows of ``delay`` and no more.
+    ``delay``) has passed their window's end: these are dropped, and Spark counts them in ``numRowsDroppedByWatermark``. The watermark
+    that counts is the one with which the batch before began. So the state holds the windows of ``delay`` and of two batches, and no more.
     """
     windowed = stream.withWatermark(time, delay).select(*keys, F.window(time, window).alias("window"))
     return windowed.dropDuplicates([*keys, "window"]).select(*keys, F.col("window.start").alias("window_start"))
