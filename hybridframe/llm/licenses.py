@@ -94,8 +94,8 @@ def find(words: list[str], notice: list[str]) -> list[tuple[int, int, int]]:
     """All places with enough words of the notice: the number of words, and their first and last position in the text.
 
     A place lacks at most ``spare`` positions of the notice, so of any words that fill more of its positions one is
-    there. The rarest in the text are taken, and the text is aligned around each place of theirs, once as far as the place
-    of the word in the notice tells and once a notice's length to both sides. Of places that overlap the fullest stays.
+    there. The rarest in the text are taken, and the text is aligned around each place of theirs: as far as the place
+    of the word in the notice tells, a notice's length further to both sides (as many words may be put in), and a notice's length around the word. Of places that overlap the fullest stays.
     """
     counts, wanted, size, need = Counter(words), Counter(notice), len(notice), least(notice)
     rare, filled = {}, 0
@@ -109,7 +109,7 @@ def find(words: list[str], notice: list[str]) -> list[tuple[int, int, int]]:
         if at <= whole or word not in rare:
             continue
         spare = size - need
-        for start, stop in {*((at - j - spare, at - j + size + spare) for j in rare[word]), (at - size, at + size)}:
+        for start, stop in {*((at - j - w, at - j + size + w) for j in rare[word] for w in (spare, size)), (at - size, at + size)}:
             start = max(0, start)
             pairs = align(words[start:stop], notice)
             if len(pairs) >= need:
