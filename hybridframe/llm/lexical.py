@@ -18,6 +18,8 @@ K = 10
 BLOCK_BYTES = 8 << 20
 # A tree holds the documents of about this many entries (term and count); a leaf this many documents.
 ENTRIES, LEAF = 1 << 20, 24
+# Places of a path that documents are dealt by.
+DEALT = 8
 # A text is cut into terms in pieces of about this many bytes.
 PIECE = 1 << 20
 TF_SCALE, TF_PART, LENGTH_PART, LENGTH_BASE, LENGTH_SHARE, WEIGHT = 1_000_000_000, 1000, 8, 100, 75, 1000
@@ -159,8 +161,8 @@ def _ordered(vectors: DataFrame, place: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], ["doc_id", "m", "path", "tfs"])
 
     rows = vectors.select("doc_id", "m", "terms", "tfs").mapInArrow(arrange, "doc_id long, m long, path array<int>, tfs array<long>")
-    keys = ["path", "m", "doc_id"]
-    return rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # the first places are enough to deal by; what Spark samples for the ranges stays small
+    return rows.repartitionByRange(F.slice("path", 1, DEALT), "m", "doc_id").sortWithinPartitions("path", "m", "doc_id")
 
 
 NO_ID = 1 << 63
