@@ -328,13 +328,33 @@ def test_hybrid_shapes_and_indexes(client):
     assert "split(lower(document" not in by_text._jdf.queryExecution().executedPlan().toString()
     assert c.query([0.0, 1.0, 2.0], n_results=3, probes=2)["ids"] == [["h1", "h3", "h5"]]
     c.delete("h1")
-    with pytest.raises(ValueError):
-        c.query([0.0, 1.0, 2.0], probes=1)
     assert "h1" not in c.hybrid_search(query, knn)["ids"][0]
     assert c.hybrid_search()["ids"] == [[]]
     assert c.hybrid_search(knn=knn, n_results=1, include=[])["distances"][0][0] == 0.5
 
 
+def test_indexes_after_changes(client):
+    """Text and vector indexes are used after add, update, upsert and delete, and give what a scan gives."""
+    c = fill(client.create_collection("eight", VectorConfiguration(3, "l2"), None, buckets=4), EIGHT)
+    c.build_index(cells=2)
+    c.delete("h1")
+    c.update("h3", documents="Gravel road to the old forest mill", embeddings=[0.0, 1.0, 2.5])
+    c.upsert(["h9", "h5"], documents=["Forest path and forest road", "Boardwalk, forest and moor"], embeddings=[[0.0, 1.1, 2.0], [1.0, 1.0, 2.0]], metadatas=[{"area": "north"}, {"area": "south"}])
+    query, plain = {"where_document": {"$contains": "forest path"}}, client.create_collection("plain", VectorConfiguration(3, "l2"), None, buckets=4)
+    plain.add_frame(c.records())
+    hits = c.hybrid_frame(query, n_results=8, include=[])
+    assert any("/index/" in path for path in hits.inputFiles())
+    assert c.hybrid_search(query, n_results=8) == plain.hybrid_search(query, n_results=8)
+    near = {"query_embeddings": [[0.0, 1.0, 2.0]], "n_results": 9, "include": ["documents", "metadatas"]}
+    assert c.query(**near, probes=2) == plain.query(**near)
+    # a text filter together with an approximate search
+    for where_document in ({"$contains": "forest"}, {"$regex": "m[io]"}):
+        assert c.query(**near, where_document=where_document, probes=2) == plain.query(**near, where_document=where_document)
+    texts = {"query_texts": client.spark.createDataFrame([(0, "forest path"), (1, "ridge")], "query_id int, text string")}
+    rows = lambda frame: sorted((r["query_id"], r["rank"], r["_id"], round(r["score"], 9)) for r in frame.collect())
+    assert rows(c.hybrid_frame(texts, n_results=5, include=[])) == rows(plain.hybrid_frame(texts, n_results=5, include=[]))
+
+
 def test_sql_over_a_view(client, five_records):
     name = five_records.create_view()
     rows = client.execute(f"SELECT _id FROM {name} WHERE document LIKE :pattern ORDER BY 1", pattern="%opper%").collect()
