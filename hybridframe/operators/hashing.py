@@ -24,6 +24,8 @@ from hybridframe.schema import EMBEDDING, ID
 # What calibration reads: this many queries with their exact neighbours, and this many other records.
 SAMPLED_QUERIES, SAMPLED_RECORDS = 256, 4096
 SKETCHES, PREFIXES = (64, 128, 256, 512, 1024), (2, 4, 6, 8, 10, 12)
+# Sending a query to one more bucket costs as much as looking at so many records.
+PROBE = 64
 
 
 class Projections(NamedTuple):
@@ -64,7 +66,8 @@ def calibrate(df: DataFrame, dimension: int, metric: str = "cosine", k: int = DE
 
     ``SAMPLED_QUERIES`` records (by a hash of their ids) are searched exactly among all records, and compared with ``SAMPLED_RECORDS``
     others: both are bounded, so is what the driver holds. Half of the allowed loss goes to the buckets, half to the radius. The prefix is
-    the one whose probed buckets hold the fewest of the other records. Where no sketch reaches ``most`` the longest is used.
+    the one with the least work for a query: the records in its probed buckets, and ``PROBE`` more for each bucket, as the query goes to all of
+    them. Where no sketch reaches ``most`` the longest is used.
     """
     known = with_vectors(df, dimension).select(ID, EMBEDDING)
     drawn = known.orderBy(F.xxhash64(F.lit(seed), ID), ID)
@@ -80,8 +83,8 @@ def calibrate(df: DataFrame, dimension: int, metric: str = "cosine", k: int = DE
     model = Projections(random.normal(size=(dimension, max(SKETCHES))), np.nan_to_num(unit).mean(axis=0), 0, 1, 0, 1.0, 1.0)
     one, two, rest = (_signs(v, model, metric) for v in (x, neighbours, others))
     share = 1 - (1 - wanted) / 2
-    # buckets: the fewest other records in those that hold the wanted share of the neighbours
-    best, held = (2.0, 0, 1, 1.0), None
+    # buckets: the least work for the wanted share of the neighbours
+    best, held, count = (np.inf, 0, 1, 1.0), None, known.count()
     for prefix in PREFIXES:
         order = probe_order(one, prefix, 1 << prefix)
         place = np.argmax(order[of] == _numbers(two, prefix)[:, None], axis=1) if len(of) else np.zeros(1, int)
@@ -89,8 +92,9 @@ def calibrate(df: DataFrame, dimension: int, metric: str = "cosine", k: int = DE
         inside = np.zeros((len(x), 1 << prefix), bool)
         np.put_along_axis(inside, order[:, :buckets], True, axis=1)
         looked = inside[:, _numbers(rest, prefix)]
-        if looked.mean() < best[0]:
-            best, held = (float(looked.mean()), prefix, buckets, float((place < buckets).mean())), looked
+        work = float(looked.mean()) * count + PROBE * buckets
+        if work < best[0]:
+            best, held = (work, prefix, buckets, float((place < buckets).mean())), looked
     _, prefix, buckets, kept = best
     for size in SKETCHES:
         a, b, c = (_sketch(s[:, :size]) for s in (one, two, rest))

@@ -119,9 +119,9 @@ def nearest_in_tiles(records: DataFrame, queries: DataFrame, compare: Compare, s
     """Records (``_id, cell`` and what is compared, ``embedding`` as a rule) against queries (``query_id, vector, cell``; a row for each cell that a query looks into)."""
     sizes = cell_sizes(records, queries) if sizes is None else sizes
     # the filter says nothing new; with it Spark skips the partitions of a stored table that no query asks for
-    laid = sizes.filter("queries > 0").select("cell", "parts", "blocks")
-    left = join_small(records.select(ID, compare.column, "cell"), laid, "cell", salt_by=F.col(ID))
+    laid, count = sizes.filter("queries > 0").select("cell", "parts", "blocks"), sizes.count()
+    left = join_small(records.select(ID, compare.column, "cell"), laid, "cell", bound=count, salt_by=F.col(ID))
     left = left.select(ID, compare.column, "cell", _dealt(ID, F.col("parts"), SEED_PART).alias("part"), F.explode(_upto(F.col("blocks"))).alias("block"))
-    right = join_small(queries.select(QUERY_ID, "vector", "cell"), laid, "cell", salt_by=F.col(QUERY_ID))
+    right = join_small(queries.select(QUERY_ID, "vector", "cell"), laid, "cell", bound=count, salt_by=F.col(QUERY_ID))
     right = right.select(QUERY_ID, "vector", "cell", _dealt(QUERY_ID, F.col("blocks"), SEED_BLOCK).alias("block"), F.explode(_upto(F.col("parts"))).alias("part"))
     return search_tiles(left, right, compare, queries.schema[QUERY_ID].dataType)

@@ -188,7 +188,9 @@ def class_cells(spark, sf):
     parts = table(spark, sf, "embeddings").select("label", F.posexplode(unit).alias("i", "x"))
     means = parts.groupBy("label", "i").agg(F.avg("x").alias("m"))
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda part: part["m"])
-    return means.groupBy("label").agg(ordered.alias("vector")).select(F.col("label").cast("long").alias("cell"), "vector")
+    centres = means.groupBy("label").agg(ordered.alias("vector")).select(F.col("label").cast("long").alias("cell"), "vector")
+    # one row for each class: a model, as training gives it
+    return spark.createDataFrame(centres.collect(), centres.schema)
 
 
 def cells_sql(probes: int) -> str:
