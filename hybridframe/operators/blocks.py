@@ -22,7 +22,7 @@ from hybridframe.plans.session import written
 from hybridframe.schema import DOCUMENT, ID
 
 # Documents of a block as a power of two; blocks that the first job scores.
-BLOCK_BITS, FIRST = 7, 32
+BLOCK_BITS, FIRST = 5, 32
 # A bound may be below a score by the rounding of its sum.
 SLACK = 1.0 - 1e-9
 

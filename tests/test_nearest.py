@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hybridframe.functions import vectors
 from hybridframe.operators import nearest as module
+from hybridframe.operators import tiles
 from hybridframe.operators.nearest import nearest, nearest_batch, query_frame
 
 METRICS = ["l2", "cosine", "inner_product"]
@@ -60,7 +61,9 @@ def test_query_blocks_give_the_same(spark, vectors_with_copies, monkeypatch):
     df = frame(spark, [(i, None, v, None) for i, v in vectors_with_copies])
     queries = query_frame(spark, [v for _, v in vectors_with_copies if v is not None and len(v) == 8][:40])
     whole = sorted(map(tuple, nearest_batch(df, queries, 3, "l2", include=()).collect()))
-    monkeypatch.setattr(module.query_blocks, "__defaults__", (7,))
+    monkeypatch.setattr(module, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(tiles, "QUERIES", 7)
+    monkeypatch.setattr(tiles, "RECORDS", 50)
     split = nearest_batch(df, queries, 3, "l2", include=())
     assert sorted(map(tuple, split.collect())) == whole
 
