@@ -262,6 +262,7 @@ def identify(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
             yield pd.concat(parts) if parts else pd.DataFrame({"lang_pred": [], "score": [], "spans": []})
 
     predict = F.pandas_udf(run, "lang_pred string, score double, spans array<struct<first:int,last:int,lang:string>>")
+    predict = predict.asNondeterministic()  # so that a filter on the result doesn't have every text labelled twice
     rows = df.select(F.struct(F.col(id_col).alias("id"), *carry).alias("row"), F.col(text_col).alias("_text"))
     return rows.select("row", predict("_text").alias("found")).select("row", "found.lang_pred", "found.score", "found.spans")
 
