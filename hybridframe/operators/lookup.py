@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hybridframe.functions.columns import let
 from hybridframe.functions.predicates import where_document as document_predicate
 from hybridframe.functions.text import distinct_terms
 from hybridframe.operators.fulltext import PARTS, TextIndex, _part, postings_of
@@ -28,11 +29,21 @@ class GramIndex(NamedTuple):
     parts: int
 
 
+def distinct_grams(text: Column) -> Column:
+    """The distinct trigrams of a text as an array; an empty one for shorter texts. Linear in the text's length: it is taken apart once."""
+
+    def at(chars: Column) -> Column:
+        last = F.size(chars) - (GRAM - 1)
+        starts = F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat(*[F.get(chars, i + step) for step in range(GRAM)]))
+
+    return F.array_distinct(let(F.split(text, ""), at))
+
+
 def write_grams(df: DataFrame, path: str, parts: int = PARTS) -> None:
     """Keep the distinct trigrams of every text. A part is cut into files of similar size, however frequent its trigrams are."""
-    starts = F.sequence(F.lit(1), F.char_length(DOCUMENT) - (GRAM - 1))
-    long = df.filter(F.char_length(DOCUMENT) >= GRAM).select(ID, F.col(DOCUMENT).alias("text"), F.explode(starts).alias("at"))
-    rows = long.select(ID, F.substring("text", F.col("at"), F.lit(GRAM)).alias("gram")).distinct().withColumn("part", _part(F.col("gram"), parts))
+    grams = F.explode(distinct_grams(F.col(DOCUMENT))).alias("gram")
+    rows = df.filter(F.char_length(DOCUMENT) >= GRAM).select(ID, grams).withColumn("part", _part(F.col("gram"), parts))
     rows.hint("rebalance", "part").sortWithinPartitions("part", "gram").write.partitionBy("part").parquet(path)
 
 
@@ -101,7 +112,8 @@ def _with_all(index: GramIndex, literals: list[str]) -> DataFrame | None:
     if not grams:
         return None
     rows = index.grams.filter(F.col("gram").isin(grams) & F.col("part").isin([_part(F.lit(gram), index.parts) for gram in grams]))
-    return rows.groupBy(ID).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == len(grams)).select(ID)
+    # texts that share an id may share trigrams
+    return rows.groupBy(ID).agg(F.count_distinct("gram").alias("n")).filter(F.col("n") == len(grams)).select(ID)
 
 
 def proposed(where_document, terms: TextIndex | None, grams: GramIndex | None, mode: str = "terms") -> DataFrame | None:

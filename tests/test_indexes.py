@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from helpers import EIGHT, frame, ids, ranked
@@ -132,6 +133,23 @@ def test_lookups_read_few_texts(spark, many, tmp_path):
         lookup.select_documents(many, {"$like": "a"}, None, grams)
 
 
+def test_trigrams_take_a_text_apart_once(spark, tmp_path):
+    """Long texts cost their length, not its square; characters outside of the basic plane are one each."""
+    long = " ".join(f"w{i}é😀" for i in range(60_000))
+    rows = frame(spark, [("a", "a😀bcé😀bc", None, {}), ("b", "xy", None, {}), ("c", None, None, {}), ("d", "aaaaa", None, {}), ("d", "aaaab", None, {})])
+    got = {(r["_id"], r["document"]): r["g"] for r in rows.withColumn("g", lookup.distinct_grams(F.col("document"))).collect()}
+    assert got["a", "a😀bcé😀bc"] == ["a😀b", "😀bc", "bcé", "cé😀", "é😀b"]
+    assert got["b", "xy"] == [] and not got["c", None] and got["d", "aaaab"] == ["aaa", "aab"]
+    started = time.monotonic()
+    assert frame(spark, [("l", long, None, {})]).select(F.size(lookup.distinct_grams(F.col("document"))).alias("n")).first()["n"] == len(
+        {long[i : i + 3] for i in range(len(long) - 2)}
+    )
+    assert time.monotonic() - started < 30
+    lookup.write_grams(rows, str(tmp_path / "g"), 4)
+    found = lookup.select_documents(rows, {"$contains": "aaab"}, None, lookup.read_grams(spark, str(tmp_path / "g"), 4), "substring")
+    assert [(r["_id"], r["document"]) for r in found.collect()] == [("d", "aaaab")]
+
+
 def test_deep_pages(spark, many, tmp_path):
     retrieve.write_pages(many, str(tmp_path / "pages"), 5)
     order = sorted(r["_id"] for r in many.collect())
