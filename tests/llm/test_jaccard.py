@@ -101,6 +101,30 @@ def test_marks_and_parities_let_similar_sets_pass():
     assert max(unlike) <= jaccard.UNLIKE and abs(np.mean(unlike) - 22.5) < 1
 
 
+def test_of_many_unlike_sets_in_a_bucket_few_pairs_come_out(spark):
+    """Folded parities go into a bucket: pairs at 0.6 to 0.7 do not come out of it, pairs at 0.8 do."""
+    rng = np.random.default_rng(8)
+    met = {}
+    for n in (30, 150, 600, 2400):
+        for least, most in ((0.8, 0.82), (0.6, 0.7)):
+            rows = []
+            for _ in range(60):
+                apart = round(n * (1 - (s := rng.uniform(least, most))) / (1 + s))
+                base = rng.integers(0, 1 << 63, n + apart, dtype=np.uint64)
+                apart = int(n * (1 - s) / (1 + s)) if least == 0.8 else apart
+                pair = []
+                for label, v in enumerate((base[:n], base[apart : n + apart])):
+                    numbers = dict(enumerate(jaccard.marks(jaccard.smallest(v))))
+                    folded = dict(enumerate(jaccard.parities(v, jaccard.FOLDED).tolist()))
+                    pair.append({"label": label, "size": n} | {f"marks{k}": x for k, x in numbers.items()} | {f"folded{k}": x for k, x in folded.items()})
+                rows.append(tuple(tuple(x.values()) for x in pair))
+            names = ", ".join(f"{name}: {'int' if name == 'size' else 'long'}" for name in pair[0])
+            pairs = spark.createDataFrame(rows, f"x struct<{names}>, y struct<{names}>")
+            met[n, least] = pairs.filter(jaccard._may_link(jaccard.BANDS * jaccard.ROWS // jaccard.MARKS)).count()
+    assert all(met[n, 0.8] == 60 for n in (30, 150, 600, 2400))
+    assert met[30, 0.6] <= 6 and met[150, 0.6] <= 6 and met[600, 0.6] <= 30
+
+
 def test_sets_of_other_sizes_are_folded(spark):
     rng = np.random.default_rng(6)
     rows, pairs = [], []
