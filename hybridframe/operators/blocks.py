@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hybridframe.functions.columns import steady
 from hybridframe.functions.predicates import contained_terms, only_contains, where_document as document_predicate
@@ -36,6 +39,40 @@ class BlockIndex(NamedTuple):
     parts: int
 
 
+def _in_blocks(posted: DataFrame) -> DataFrame:
+    """``term, block, most, held`` of postings whose partitions hold whole blocks, one after the other. No shuffle: a task holds a block and a batch at a time."""
+    items = ["_id", "tf", "length"]
+    fields = [posted.schema[name] for name in items]
+    schema = T.StructType([posted.schema["term"], posted.schema["block"], posted.schema["most"]]).add("held", T.ArrayType(T.StructType(fields)))
+
+    def lists(rows: pa.Table) -> pa.RecordBatch:
+        rows = rows.sort_by([("block", "ascending"), ("term", "ascending")]).combine_chunks()
+        runs = rows.group_by(["block", "term"], use_threads=False).aggregate([("most", "max"), ("tf", "count")]).sort_by([("block", "ascending"), ("term", "ascending")])
+        offsets = np.concatenate([[0], np.cumsum(runs.column("tf_count").to_numpy())]).astype(np.int32)
+        values = [rows.column(name).combine_chunks() for name in items]
+        held = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(values, names=items))
+        parts = [runs.column(name).combine_chunks() for name in ("term", "block", "most_max")]
+        return pa.RecordBatch.from_arrays([*parts, held], names=["term", "block", "most", "held"])
+
+    def gather(batches):
+        kept = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if kept is None else pa.concat_tables([kept, rows])
+            # the last block may go on in the next batch
+            last = rows.column("block")[-1]
+            whole = pc.not_equal(rows.column("block"), last)
+            kept, rows = rows.filter(pc.invert(whole)), rows.filter(whole)
+            if rows.num_rows:
+                yield lists(rows)
+        if kept is not None and kept.num_rows:
+            yield lists(kept)
+
+    return posted.mapInArrow(gather, schema)
+
+
 def write_blocks(df: DataFrame, path: str, parts: int = PARTS, bits: int = BLOCK_BITS) -> None:
     """Keep the postings of ``df`` in blocks. A part is cut into files of similar size, so a term of most documents is no single task."""
     spark = df.sparkSession
@@ -47,7 +84,7 @@ def write_blocks(df: DataFrame, path: str, parts: int = PARTS, bits: int = BLOCK
     numbered = ordered.withColumn("block", F.shiftright(F.monotonically_increasing_id(), bits))
     posted = postings(numbered, keep=("block",))
     weight = _weight(F.lit(1.0), F.col("tf"), F.col("length"), F.lit(float(average)))
-    rows = posted.groupBy("term", "block").agg(F.max(weight).alias("most"), F.collect_list(F.struct(ID, "tf", "length")).alias("held"))
+    rows = _in_blocks(posted.select("term", "block", weight.alias("most"), ID, "tf", "length"))
     placed = rows.withColumn("part", _part(F.col("term"), parts))
     placed.hint("rebalance", "part").sortWithinPartitions("part", "term", "block").write.partitionBy("part").parquet(f"{path}/blocks")
     stored = spark.read.parquet(f"{path}/blocks")

@@ -52,6 +52,25 @@ def test_blocks_are_left_out_and_bounds_hold(many, stored, monkeypatch):
     assert every and all(r["score"] <= limits[r["block"]] * (1 + 1e-9) for r in every)
 
 
+def test_postings_are_put_in_blocks_without_a_shuffle(spark, many):
+    """A block that lies in several batches is one; nothing is shuffled for it."""
+    posted = [(f"t{i % 5}", i // 40, i / 7, f"d{i}" if i % 9 else None, i % 3 + 1, 8) for i in range(200)]
+    rows = spark.createDataFrame(posted, "term string, block long, most double, _id string, tf int, length int").coalesce(1)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "7")
+    try:
+        made = blocks._in_blocks(rows)
+        assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+        got = {(r["term"], r["block"]): (r["most"], sorted(map(str, r["held"]))) for r in made.collect()}
+        assert made.count() == len(got)
+    finally:
+        spark.conf.set(size, before)
+    held = F.collect_list(F.struct("_id", "tf", "length")).alias("held")
+    want = rows.groupBy("term", "block").agg(F.max("most").alias("most"), held).collect()
+    assert got == {(r["term"], r["block"]): (r["most"], sorted(map(str, r["held"]))) for r in want}
+
+
 def test_blocks_with_a_metadata_filter_and_refusals(many, stored):
     passing = retrieve.select_records(many, None, {"i": {"$lt": 50}}).select("_id")
     got = ranked(blocks.search_blocks(stored, {"$contains": "snow river"}, 5, passing))
