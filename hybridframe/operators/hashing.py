@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from hybridframe.operators.approximate import unit_rows
-from hybridframe.operators.nearest import DEFAULT_K, QUERY_ID, NearestLists, _measure, attach, matrix_of, nearest_ids, query_shape, with_vectors
+from hybridframe.operators.nearest import DEFAULT_K, QUERY_ID, NearestLists, attach, matrix_of, nearest_ids, query_shape, with_vectors
 from hybridframe.operators.tiles import Compare, Tiled, nearest_in_tiles
 from hybridframe.schema import EMBEDDING, ID
 
@@ -26,6 +26,8 @@ SAMPLED_QUERIES, SAMPLED_RECORDS = 256, 4096
 SKETCHES, PREFIXES = (64, 128, 256, 512, 1024), (2, 4, 6, 8, 10, 12)
 # Sending a query to one more bucket costs as much as looking at so many records.
 PROBE = 64
+# Queries whose sketches are compared at a time, so that what is in between stays in a core's cache.
+STEP = 32
 
 
 class Projections(NamedTuple):
@@ -114,31 +116,38 @@ def _at(values: np.ndarray, share: float) -> int:
 
 
 class CompareSketches(Compare):
-    """Distances only where the sketches are close."""
+    """Distances only where the sketches are close, of which those are counted."""
 
     def __init__(self, metric: str, k: int, dimension: int, model: Projections):
         super().__init__(metric, k, dimension)
         self.model = model
 
-    def prepare(self, vectors: np.ndarray) -> None:
+    def prepare(self, ids: list, vectors: np.ndarray) -> NearestLists:
         self.sketches = _sketch(_signs(vectors, self.model, self.metric))
+        return super().prepare(ids, vectors)
+
+    def distinct(self, left: pa.Table) -> pa.Table:
+        """All records: each is counted."""
+        return left
 
     def tile(self, ids: pa.Array, records: pa.Array, lists: NearestLists) -> int:
-        x = matrix_of(records, self.dimension)
-        own, compared = np.sqrt((x**2).sum(axis=1)), 0
+        x, compared = matrix_of(records, self.dimension), 0
         mine = _sketch(_signs(x, self.model, self.metric))
-        apart = np.zeros((len(x), len(self.sketches)), np.uint16)
-        for word in range(mine.shape[1]):
-            apart += np.bitwise_count(mine[:, word, None] ^ self.sketches[None, :, word])
-        close = apart <= self.model.radius
-        for q in np.flatnonzero(close.any(axis=0)):
-            rows = np.flatnonzero(close[:, q])
-            compared += len(rows)
-            exact = _measure(self.metric, x[rows], own[rows], lists.block, q)
-            order = -exact if self.metric == "inner_product" else exact
-            near = np.flatnonzero(order <= lists.limits[q])
-            if len(near):
-                lists.offer(q, np.asarray(ids.take(pa.array(rows[near])).to_pylist(), dtype=object), order[near])
+
+        def close(part: slice) -> np.ndarray:
+            nonlocal compared
+            near = np.concatenate([apart(at, min(at + STEP, part.stop)) for at in range(part.start, min(part.stop, len(self.sketches)), STEP)])
+            compared += int(np.count_nonzero(near))
+            return near
+
+        def apart(start: int, stop: int) -> np.ndarray:
+            theirs = self.sketches[start:stop]
+            differ = np.zeros((len(theirs), len(mine)), np.uint16)
+            for word in range(mine.shape[1]):
+                differ += np.bitwise_count(theirs[:, word, None] ^ mine[None, :, word])
+            return differ <= self.model.radius
+
+        lists.compare(ids, x, close)
         return compared
 
 

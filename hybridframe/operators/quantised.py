@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from hybridframe.functions.vectors import closest_first, metric_or_default
 from hybridframe.operators.approximate import unit_rows
 from hybridframe.operators.joins import join_small, top_per_group
-from hybridframe.operators.nearest import DEFAULT_K, PRODUCTS, QUERY_ID, NearestLists, QueryBlock, _measure, attach, query_shape, with_vectors
+from hybridframe.operators.nearest import DEFAULT_K, PRODUCTS, QUERY_ID, ROWS, NearestLists, QueryBlock, attach, query_shape, with_vectors
 from hybridframe.operators.tiles import Compare, Tiled, nearest_in_tiles
 from hybridframe.schema import EMBEDDING, ID
 
@@ -75,34 +75,57 @@ def with_codes(df: DataFrame, books: Codebooks, dimension: int, metric: str = "c
     return with_vectors(df, dimension).withColumn("codes", coded(F.col(EMBEDDING))).filter("codes is not null")
 
 
+class CodeLists(NearestLists):
+    """Lists by sums of table entries; lower is closer for every metric.
+
+    A sum is the squared distance of a query to what the code stands for (less its inner product), so vectors put together from
+    the centres tell by a product which sums may be among the first.
+    """
+
+    def __init__(self, metric: str, block: QueryBlock, k: int, tables: list[np.ndarray]):
+        super().__init__("inner_product" if metric == "inner_product" else "l2", block, k)
+        self.tables = tables
+
+    def square(self, limits: np.ndarray) -> np.ndarray:
+        return limits
+
+    def measure(self, rows: np.ndarray, queries: np.ndarray, x: np.ndarray, own: np.ndarray) -> np.ndarray:
+        cost = np.zeros(len(rows))
+        for part, table in enumerate(self.tables):
+            cost += table[queries, self.codes[rows, part]]
+        return cost
+
+
 class CompareCodes(Compare):
-    """Sums of table entries instead of distances; lower is closer for every metric."""
+    """Sums of table entries instead of distances. A code is much shorter than a vector, so a tile holds more of them."""
 
-    column = "codes"
+    column, records = "codes", 4
 
     def __init__(self, metric: str, k: int, dimension: int, books: Codebooks):
         super().__init__("l2", k, dimension)
         self.wanted, self.books = metric, books
 
-    def prepare(self, vectors: np.ndarray) -> None:
+    def prepare(self, ids: list, vectors: np.ndarray) -> NearestLists:
         x, edges = unit_rows(vectors, self.wanted), self.books.edges
         parts = [x[:, a:b] for a, b in zip(edges, edges[1:])]
         if self.wanted == "inner_product":
-            self.tables = [-(part @ book.T) for part, book in zip(parts, self.books.centres)]
+            tables = [-(part @ book.T) for part, book in zip(parts, self.books.centres)]
         else:
-            self.tables = [((part[:, None, :] - book[None]) ** 2).sum(axis=2) for part, book in zip(parts, self.books.centres)]
+            squares = [((part[start : start + ROWS, None, :] - book[None]) ** 2).sum(axis=2) for part, book in zip(parts, self.books.centres) for start in range(0, max(1, len(part)), ROWS)]
+            step = -(-max(1, len(x)) // ROWS)
+            tables = [np.concatenate(squares[at : at + step]) for at in range(0, len(squares), step)]
+        return CodeLists(self.wanted, QueryBlock(ids, x), self.k, tables)
 
-    def tile(self, ids: pa.Array, records: pa.Array, lists: NearestLists) -> int:
-        codes = np.frombuffer(b"".join(records.to_pylist()), np.uint8).reshape(len(records), -1)
-        cost = np.zeros((len(lists.block.ids), len(codes)))
-        for part, table in enumerate(self.tables):
-            cost += table[:, codes[:, part]]
-        for q in np.flatnonzero((cost <= lists.limits[:, None]).any(axis=1)):
-            rows = np.flatnonzero(cost[q] <= lists.limits[q])
-            if len(rows) > self.k:
-                rows = rows[np.argpartition(cost[q, rows], self.k - 1)[: self.k]]
-            lists.offer(q, np.asarray(ids.take(pa.array(rows)).to_pylist(), dtype=object), cost[q, rows])
-        return len(codes) * len(lists.block.ids)
+    def values(self, records: pa.Array) -> np.ndarray:
+        return self._codes(records).astype(np.float64)
+
+    def _codes(self, records: pa.Array) -> np.ndarray:
+        return np.frombuffer(b"".join(records.to_pylist()), np.uint8).reshape(len(records), -1)
+
+    def tile(self, ids: pa.Array, records: pa.Array, lists: NearestLists) -> None:
+        lists.codes = self._codes(records)
+        x = np.concatenate([book[lists.codes[:, part]] for part, book in enumerate(self.books.centres)], axis=1)
+        lists.compare(ids, x)
 
 
 def propose(coded: DataFrame, books: Codebooks, queries: DataFrame, again: int, metric: str, dimension: int) -> Tiled:

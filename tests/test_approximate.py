@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import frame
 
@@ -186,3 +187,35 @@ def test_probes_for_a_wanted_recall(clustered, questions):
     row = approximate.choose_probes(indexed, cells, questions, 0.7, 5, "l2").first()
     assert row["bound"] >= 0.7 and row["recall"] >= row["bound"] and 1 <= row["probes"] <= 8
     assert approximate.choose_probes(indexed, cells, questions, 0.999, 5, "l2").first()["probes"] == 8
+
+
+def _tile(model, asked, records):
+    return model.run(records, pa.table({"query_id": pa.array(range(len(asked))), "vector": pa.array(list(asked))}))
+
+
+def test_sketches_of_a_tile_are_compared_together(monkeypatch):
+    """Distances are measured for what can enter a list, not for a query at a time; all close sketches are counted."""
+    calls, measure, rng = [], nearest._measure, np.random.default_rng(6)
+    for module in (nearest, hashing):
+        monkeypatch.setattr(module, "_measure", lambda *args: calls.append(1) or measure(*args), raising=False)
+    x, asked = rng.normal(size=(3000, 8)), rng.normal(size=(400, 8))
+    model = hashing.Projections(rng.normal(size=(8, 64)), np.zeros(8), 0, 1, 30, 1.0, 1.0)
+    records = pa.table({"_id": [f"v{i}" for i in range(3000)], "embedding": list(x)})
+    _, compared = _tile(hashing.CompareSketches("cosine", 5, 8, model), asked, records)
+    a, b = (hashing._signs(v, model, "cosine") > 0 for v in (x, asked))
+    assert compared == sum(int(((a != row).sum(axis=1) <= 30).sum()) for row in b)
+    assert len(calls) < 400
+
+
+def test_codes_of_a_tile_tie_by_id():
+    rng = np.random.default_rng(6)
+    books = quantised.Codebooks([rng.normal(size=(256, 2)) for _ in range(4)], [0, 2, 4, 6, 8])
+    codes = np.repeat(rng.integers(0, 256, (40, 4)), 50, axis=0).astype(np.uint8)
+    names = [f"v{i:04}" for i in rng.permutation(2000)]
+    lists, compared = _tile(quantised.CompareCodes("l2", 30, 8, books), asked := rng.normal(size=(20, 8)), pa.table({"_id": names, "codes": [c.tobytes() for c in codes]}))
+    found = pa.Table.from_batches(lists.batches(pa.int64(), ["query_id", "_id", "distance"])).to_pandas()
+    assert compared == 2000 * 20
+    for q, query in enumerate(asked):
+        cost = sum(((query[2 * p : 2 * p + 2] - books.centres[p][codes[:, p]]) ** 2).sum(axis=1) for p in range(4))
+        best = [names[i] for i in np.lexsort((names, nearest.steady(cost)))[:30]]
+        assert found[found.query_id == q]._id.tolist() == best

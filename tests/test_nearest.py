@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import frame, ranked
 from pyspark.sql import functions as F
@@ -116,3 +117,45 @@ def test_string_query_ids_and_no_queries(five):
 def test_similarity(spark):
     row = spark.createDataFrame([(1.0,)], "d double").select(vectors.similarity(F.col("d"))).first()
     assert row[0] == 0.5
+
+
+@pytest.mark.parametrize("metric", METRICS)
+def test_a_block_is_measured_together(monkeypatch, metric):
+    """The pairs that may be among the first are measured together, not query by query; the lists are those of brute force."""
+    calls, measure, rng = [], module._measure, np.random.default_rng(3)
+    monkeypatch.setattr(module, "_measure", lambda *args: calls.append(1) or measure(*args))
+    x, asked = rng.normal(size=(4000, 8)).astype(np.float32), rng.normal(size=(500, 8))
+    x[::3] = x[0]
+    lists = module.NearestLists(metric, module.QueryBlock(list(range(500)), asked), 5)
+    lists.add(pa.record_batch([pa.array([f"v{i}" for i in range(4000)]), pa.array(list(x))], names=["_id", "embedding"]))
+    found = pa.Table.from_batches(lists.batches(pa.int64(), ["query_id", "_id", "distance"])).to_pandas()
+    assert len(calls) < 500
+    rows = [(f"v{i}", v.tolist()) for i, v in enumerate(x)]
+    for q in (0, 250, 499):
+        assert found[found.query_id == q]._id.tolist() == brute(rows, asked[q].tolist(), metric, 5)
+
+
+@pytest.mark.parametrize("metric", METRICS)
+def test_lengths_beyond_single_precision(metric):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 4)) * 10.0 ** rng.integers(-18, 18, (300, 1))
+    asked = np.concatenate([rng.normal(size=(6, 4)), np.zeros((1, 4))])
+    for scale in (1.0, 1e-20, 1e16):
+        lists = module.NearestLists(metric, module.QueryBlock(list(range(7)), asked * scale), 4)
+        lists.add(pa.record_batch([pa.array([f"v{i}" for i in range(300)]), pa.array(list(x.astype(np.float32)), pa.list_(pa.float32()))], names=["_id", "embedding"]))
+        found = pa.Table.from_batches(lists.batches(pa.int64(), ["query_id", "_id", "distance"])).to_pandas()
+        for q, query in enumerate(asked * scale):
+            with np.errstate(all="ignore"):
+                lengths = np.sqrt((x.astype(np.float32).astype(float) ** 2).sum(axis=1))
+                exact = module._measure(metric, x.astype(np.float32).astype(float), lengths, query, np.sqrt((query**2).sum()))
+            order = module.steady(-exact if metric == "inner_product" else exact)
+            names = np.array([f"v{i}" for i in range(300)])
+            at = [i for i in np.lexsort((names, order)) if order[i] == order[i]][:4]
+            assert found[found.query_id == q]._id.tolist() == names[at].tolist()
+
+
+def test_copies_beyond_k_are_left_out_of_a_tile():
+    table = pa.table({"_id": [f"v{i:03}" for i in range(100)][::-1], "embedding": [[1.0, 2.0] if i % 2 else [float(i), 0.0] for i in range(100)]})
+    kept = tiles.Compare("l2", 3, 2).distinct(table)
+    copies = [row["_id"] for row in kept.to_pylist() if row["embedding"] == [1.0, 2.0]]
+    assert sorted(copies) == ["v000", "v002", "v004"] and kept.num_rows == 53
