@@ -16,8 +16,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from hybridframe.operators import tiles
 from hybridframe.operators.approximate import unit_rows
-from hybridframe.operators.nearest import DEFAULT_K, QUERY_ID, NearestLists, attach, matrix_of, nearest_ids, query_shape, with_vectors
+from hybridframe.operators.nearest import DEFAULT_K, PRODUCTS, QUERY_ID, NearestLists, attach, matrix_of, nearest_ids, query_shape, with_vectors
 from hybridframe.operators.tiles import Compare, Tiled, nearest_in_tiles
 from hybridframe.schema import EMBEDDING, ID
 
@@ -26,8 +27,8 @@ SAMPLED_QUERIES, SAMPLED_RECORDS = 256, 4096
 SKETCHES, PREFIXES = (64, 128, 256, 512, 1024), (2, 4, 6, 8, 10, 12)
 # Sending a query to one more bucket costs as much as looking at so many records.
 PROBE = 64
-# Queries whose sketches are compared at a time, so that what is in between stays in a core's cache.
-STEP = 32
+# Pairs of sketches that are compared at a time, so that what is in between stays in a core's cache.
+STEP = 1 << 15
 
 
 class Projections(NamedTuple):
@@ -63,6 +64,21 @@ def probe_order(signs: np.ndarray, prefix: int, buckets: int) -> np.ndarray:
     return _numbers(signs, prefix)[:, None] ^ np.argsort(cost, axis=1, kind="stable")[:, :buckets]
 
 
+def probed(signs: np.ndarray, prefix: int, buckets: int) -> np.ndarray:
+    """``probe_order`` as a table: for every row and number of a bucket whether it is among the cheapest."""
+    masks, inside = np.arange(1 << prefix), np.zeros((len(signs), 1 << prefix), bool)
+    turned = ((masks[:, None] >> np.arange(prefix)) & 1).astype(np.float64)
+    home, step = _numbers(signs, prefix), max(1, PRODUCTS >> prefix)
+    for start in range(0, len(signs), step):
+        cost = signs[start : start + step, :prefix] ** 2 @ turned.T
+        last = np.partition(cost, buckets - 1, axis=1)[:, buckets - 1 : buckets]
+        cheap, equal = cost < last, cost == last
+        # of equal costs the first ones, as a stable sort has them
+        cheap |= equal & (np.cumsum(equal, axis=1) <= buckets - cheap.sum(axis=1, keepdims=True))
+        inside[start : start + step] = np.take_along_axis(cheap, home[start : start + step, None] ^ masks, axis=1)
+    return inside
+
+
 def calibrate(df: DataFrame, dimension: int, metric: str = "cosine", k: int = DEFAULT_K, wanted: float = 0.95, most: float = 0.2, seed: int = 7) -> Projections:
     """Projections whose expected recall is ``wanted``, with the shortest sketch that takes a distance for at most ``most`` of all pairs.
 
@@ -116,59 +132,74 @@ def _at(values: np.ndarray, share: float) -> int:
 
 
 class CompareSketches(Compare):
-    """Distances only where the sketches are close, of which those are counted."""
+    """Distances only in the probed buckets and where the sketches are close, of which those are counted."""
 
     def __init__(self, metric: str, k: int, dimension: int, model: Projections):
         super().__init__(metric, k, dimension)
         self.model = model
 
     def prepare(self, ids: list, vectors: np.ndarray) -> NearestLists:
-        self.sketches = _sketch(_signs(vectors, self.model, self.metric))
+        signs = _signs(vectors, self.model, self.metric)
+        self.sketches, self.inside = _sketch(signs), probed(signs, self.model.prefix, self.model.buckets)
         return super().prepare(ids, vectors)
 
     def distinct(self, left: pa.Table) -> pa.Table:
-        """All records: each is counted."""
-        return left
+        """All records, as each is counted, by their buckets."""
+        signs = _signs(self.values(left.column(self.column).combine_chunks()), self.model, self.metric)
+        return left.take(pa.array(np.argsort(_numbers(signs, self.model.prefix), kind="stable")))
 
     def tile(self, ids: pa.Array, records: pa.Array, lists: NearestLists) -> int:
         x, compared = matrix_of(records, self.dimension), 0
-        mine = _sketch(_signs(x, self.model, self.metric))
+        signs = _signs(x, self.model, self.metric)
+        mine, numbers = _sketch(signs), _numbers(signs, self.model.prefix)
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(numbers)) + 1, [len(x)]])
 
         def close(part: slice) -> np.ndarray:
             nonlocal compared
-            near = np.concatenate([apart(at, min(at + STEP, part.stop)) for at in range(part.start, min(part.stop, len(self.sketches)), STEP)])
+            near = np.zeros((len(self.sketches[part]), len(x)), bool)
+            for low, high in zip(edges, edges[1:]):
+                asked, step = np.flatnonzero(self.inside[part, numbers[low]]), max(1, STEP // (high - low))
+                for at in range(0, len(asked), step):
+                    near[asked[at : at + step], low:high] = alike(self.sketches[part][asked[at : at + step]], mine[low:high])
             compared += int(np.count_nonzero(near))
             return near
 
-        def apart(start: int, stop: int) -> np.ndarray:
-            theirs = self.sketches[start:stop]
-            differ = np.zeros((len(theirs), len(mine)), np.uint16)
-            for word in range(mine.shape[1]):
-                differ += np.bitwise_count(theirs[:, word, None] ^ mine[None, :, word])
+        def alike(theirs: np.ndarray, own: np.ndarray) -> np.ndarray:
+            differ = np.zeros((len(theirs), len(own)), np.uint16)
+            for word in range(own.shape[1]):
+                differ += np.bitwise_count(theirs[:, word, None] ^ own[None, :, word])
             return differ <= self.model.radius
 
         lists.compare(ids, x, close)
         return compared
 
 
-def with_buckets(df: DataFrame, vector: str, model: Projections, metric: str, buckets: int = 1) -> DataFrame:
-    """A row for each of the ``buckets`` cheapest buckets of a vector, named ``cell``."""
+def with_buckets(df: DataFrame, vector: str, model: Projections, metric: str, buckets: int = 1, shift: int = 0) -> DataFrame:
+    """A row for each ``cell`` with one of the ``buckets`` cheapest buckets of a vector; a cell is ``2 ** shift`` buckets."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("array<long>")
     def numbers(vectors: pd.Series) -> pd.Series:
         own = shared.value
         signs = _signs(np.stack(vectors.to_numpy()).astype(np.float64), own, metric)
-        found = _numbers(signs, own.prefix)[:, None] if buckets == 1 else probe_order(signs, own.prefix, buckets)
-        return pd.Series(list(found.astype(np.int64)))
+        if buckets == 1:
+            return pd.Series(list((_numbers(signs, own.prefix)[:, None] >> shift).astype(np.int64)))
+        cells = probed(signs, own.prefix, buckets).reshape(len(signs), -1, 1 << shift).any(axis=2)
+        return pd.Series([np.flatnonzero(row).astype(np.int64) for row in cells])
 
     return df.withColumn("_cells", numbers.asNondeterministic()(F.col(vector))).withColumn("cell", F.explode("_cells")).drop("_cells")
 
 
 def search_buckets(df: DataFrame, model: Projections, queries: DataFrame, dimension: int, k: int, metric: str) -> Tiled:
-    """The tiles' lists, and the number of distances taken."""
-    records = with_buckets(with_vectors(df, dimension).select(ID, EMBEDDING), EMBEDDING, model, metric)
-    asked = with_buckets(queries.filter("vector is not null").select(QUERY_ID, "vector"), "vector", model, metric, model.buckets)
+    """The tiles' lists, and the number of distances taken.
+
+    Buckets with consecutive numbers are one cell, as many of them as make a tile's records, so a query is sent to a cell once and not
+    to each of its buckets; in a tile it meets the records of its own buckets only.
+    """
+    known = with_vectors(df, dimension).select(ID, EMBEDDING)
+    shift = max(0, model.prefix - (known.count() // tiles.RECORDS).bit_length())
+    records = with_buckets(known, EMBEDDING, model, metric, 1, shift)
+    asked = with_buckets(queries.filter("vector is not null").select(QUERY_ID, "vector"), "vector", model, metric, model.buckets, shift)
     return nearest_in_tiles(records, asked, CompareSketches(metric, k, dimension, model))
 
 

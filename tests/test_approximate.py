@@ -219,3 +219,24 @@ def test_codes_of_a_tile_tie_by_id():
         cost = sum(((query[2 * p : 2 * p + 2] - books.centres[p][codes[:, p]]) ** 2).sum(axis=1) for p in range(4))
         best = [names[i] for i in np.lexsort((names, nearest.steady(cost)))[:30]]
         assert found[found.query_id == q]._id.tolist() == best
+
+
+def test_probed_buckets_are_those_of_the_order():
+    signs = np.random.default_rng(1).normal(size=(50, 5)).round(1)
+    signs[:10, 2] = 0
+    for prefix, buckets in ((5, 7), (5, 32), (3, 1), (0, 1)):
+        inside = hashing.probed(signs, prefix, buckets)
+        assert [set(row) for row in hashing.probe_order(signs, prefix, buckets)] == [set(np.flatnonzero(row)) for row in inside]
+
+
+def test_a_query_is_sent_to_a_cell_once(clustered, far_apart, monkeypatch):
+    """Not once for each of its buckets; what is found and counted is the same for cells of one bucket and of many."""
+    model = hashing.calibrate(clustered, 16, "l2", 5)._replace(prefix=6, buckets=24)
+    sent, plain = [], hashing.nearest_in_tiles
+    monkeypatch.setattr(hashing, "nearest_in_tiles", lambda records, asked, compare: sent.append(asked.count()) or plain(records, asked, compare))
+    found = []
+    for size in (tiles.RECORDS, 2):
+        monkeypatch.setattr(tiles, "RECORDS", size)
+        tiled = hashing.search_buckets(clustered, model, far_apart, 16, 5, "l2")
+        found.append((rows(tiled.ranked(5, "l2")), tiled.compared.agg(F.sum("compared")).first()[0]))
+    assert found[0] == found[1] and sent == [20, 24 * 20]
