@@ -139,3 +139,23 @@ def test_sets_of_other_sizes_are_folded(spark):
     sets = spark.createDataFrame(rows, "fp long, size int, set array<long>, odd array<long>")
     found = jaccard._alike(spark.createDataFrame([p[:2] for p in pairs], "a long, b long"), sets).collect()
     assert {(r.a, r.b) for r in found} == {p[:2] for p in pairs if p[2]} and 0 < len(found) < len(pairs)
+
+
+def test_a_group_meets_a_second_round_of_pivots_before_all_pairs(spark, monkeypatch):
+    """Copies with edits of their own, like the text they come from and mostly less like each other: what pivots link is not compared again."""
+    rng, tried, alike = np.random.default_rng(2), [], jaccard._alike
+    base, rows = [f"w{i}" for i in range(150)], []
+    for i in range(160):
+        words = list(base)
+        for at in rng.choice(150, 3, replace=False):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    monkeypatch.setattr(jaccard, "_alike", lambda pairs, sets: tried.append(pairs.count()) or alike(pairs, sets))
+    kept = jaccard.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sets, label = [grams(text) for _, text in rows], list(range(160))
+    for i in range(160):
+        for j in range(i):
+            if label[i] != label[j] and similarity(sets[i], sets[j]) >= 0.8:
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    assert sorted(row.doc_id for row in kept) == sorted(set(label))
+    assert len(tried) >= 3
