@@ -6,7 +6,7 @@ import threading
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from hybridframe.plans.session import shared_folder, ship
 
@@ -62,6 +62,13 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, *measures: Column) -> tuple[DataFrame, dict]:
+    """``stage``, and what the named aggregates ``measures`` give for its rows, from the same pass."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *measures))
+    return staged, seen.get
+
+
 _noting = threading.local()
 
 

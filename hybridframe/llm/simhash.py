@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from hybridframe.llm.common import documents, join_groups, query, stage
+from hybridframe.llm.common import documents, join_groups, measured, query, stage
 
 SEED, SHINGLE, DISTANCE = 42, 3, 2
 # Fingerprints of a block of the index, until there are MAX_BLOCKS of them, and the upper nodes of a block that all tasks know.
@@ -225,24 +225,22 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating stars: every vertex hangs its larger neighbours, then its smaller ones, on its smallest.
     Each round is written; the distances to the smallest fall by a constant factor.
     """
-    edges = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    known = None
+    state = F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hashes")
+    edges, known = measured(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), *state)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        edges = stage(_star(both, F.col("b") > F.col("a")))
-        edges = stage(_star(edges, F.lit(True)))
-        state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == known:
+        edges, now = measured(_star(both, F.col("b") > F.col("a"), 2 * known["n"]), *state)
+        edges, now = measured(_star(edges, F.lit(True), now["n"]), *state)
+        if now == known:
             break
-        known = state
+        known = now
     tops = edges.select(F.col("b").alias("fp"), F.col("b").alias("label")).distinct()
     return edges.select(F.col("a").alias("fp"), F.col("b").alias("label")).unionByName(tops)
 
 
-def _star(edges: DataFrame, moved: Column) -> DataFrame:
-    """Each edge ``a b`` with ``moved`` becomes one from b to the smallest of a and a's neighbours; a hangs there too."""
+def _star(edges: DataFrame, moved: Column, total: int) -> DataFrame:
+    """Each of the ``total`` edges ``a b`` with ``moved`` becomes one from b to the smallest of a and a's neighbours; a hangs there too."""
     least = stage(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"), F.count("*").alias("n")))
-    total = least.agg(F.sum("n")).first()[0] or 0
     hung = join_groups(edges, least, ["a"], "n", total, 32).filter(moved).select(F.col("b").alias("a"), F.col("least").alias("b"))
     itself = least.select("a", F.col("least").alias("b"))
     return hung.unionByName(itself).filter("a <> b").distinct()
@@ -251,9 +249,8 @@ def _star(edges: DataFrame, moved: Column) -> DataFrame:
 def group_rows(rows: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``row fp component_id kept`` of the rows, from the edges between their nodes (``fp``, ``first`` row, ``n`` rows)."""
     members = stage(components(edges).join(nodes, "fp"))
-    labels = stage(members.groupBy("label").agg(F.min("first").alias("lowest"), F.count("*").alias("size")))
-    total = labels.agg(F.sum("size")).first()[0] or 0
-    linked = join_groups(members.select("fp", "label"), labels, ["label"], "size", total, 64).select("fp", "lowest")
+    labels, sums = measured(members.groupBy("label").agg(F.min("first").alias("lowest"), F.count("*").alias("size")), F.sum("size").alias("total"))
+    linked = join_groups(members.select("fp", "label"), labels, ["label"], "size", sums["total"] or 0, 64).select("fp", "lowest")
     table = stage(nodes.join(linked, "fp", "left").select("fp", "n", F.coalesce("lowest", "first").alias("lowest")))
     found = join_groups(rows, table, ["fp"], "n", nodes.agg(F.sum("n")).first()[0] or 0, 64)
     return found.select("row", "fp", F.col("lowest.id").alias("component_id"), (F.col("lowest.rid") == F.col("rid")).alias("kept"))

@@ -6,8 +6,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hybridframe.llm import jaccard
+from hybridframe.llm.common import measured
+from hybridframe.llm.simhash import components
 
 RNG = random.Random(11)
 VOCABULARY = ["".join(RNG.choices("abcdefghij", k=6)) for _ in range(3000)]
@@ -159,3 +162,24 @@ def test_a_group_meets_a_second_round_of_pivots_before_all_pairs(spark, monkeypa
                 label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
     assert sorted(row.doc_id for row in kept) == sorted(set(label))
     assert len(tried) >= 3
+
+
+def test_few_jobs_for_components(spark):
+    """Stars are seen to be done in one round, and totals come with the tables that are written anyway."""
+    edges = spark.createDataFrame([(n, n % 3) for n in range(3, 60)], "a long, b long")
+    context = spark.sparkContext
+    context.setJobGroup("components", "stars")
+    try:
+        found = {r["fp"]: r["label"] for r in components(edges).collect()}
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {n: n % 3 for n in range(60)}
+    assert len(context.statusTracker().getJobIdsForGroup("components")) <= 30  # 44 when totals and states were counted apart
+
+
+def test_measured(spark):
+    rows = spark.createDataFrame([(1, 2.5), (2, None)], "a long, b double")
+    staged, found = measured(rows, F.count("*").alias("n"), F.sum(F.col("a").cast("decimal(38,0)")).alias("total"))
+    assert sorted(staged.collect()) == sorted(rows.collect()) and found == {"n": 2, "total": 3}
+    staged, found = measured(rows.filter("a > 5").distinct(), F.count("*").alias("n"), F.sum("a").alias("total"))
+    assert staged.collect() == [] and found == {"n": 0, "total": None}
