@@ -5,13 +5,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
-from hybridframe.functions.text import tokens
 from hybridframe.operators.approximate import CellIndex, closest_cells
 from hybridframe.operators.fulltext import TextIndex, _part, document_frequencies, postings
 from hybridframe.operators.joins import join_small
 from hybridframe.operators.nearest import with_vectors
+from hybridframe.plans.session import written
 from hybridframe.schema import DOCUMENT, EMBEDDING, ID
 
 
@@ -39,17 +41,21 @@ def text_index_after(index: TextIndex, minus: DataFrame, plus: DataFrame) -> Tex
 
     A document that is new and was there unchanged before, or the same change given twice, is the caller's to avoid (see ``changed_records``).
     """
-    lost, won = postings(minus), postings(plus)
+    # read by the postings, the frequencies and the lengths, and cut once
+    won = written(postings(plus))
+    lost = written(postings(minus).groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf")))
     if index.parts is not None:
         won = won.withColumn("part", _part(F.col("term"), index.parts))
     posted = _without(index.postings, minus, plus).unionByName(won)
-    shift = document_frequencies(won).unionByName(document_frequencies(lost).select("term", (-F.col("df")).alias("df")))
+    shift = document_frequencies(won).unionByName(lost.select("term", (-F.col("df")).alias("df")))
     frequencies = index.frequencies.unionByName(shift).groupBy("term").agg(F.sum("df").alias("df")).filter("df > 0")
-    size = lambda df, sign: df.filter(F.col(DOCUMENT).isNotNull()).select(F.lit(sign).cast("long").alias("n"), (F.size(tokens(F.col(DOCUMENT))) * sign).cast("double").alias("length"))
+    texts = lambda df, sign: df.filter(F.col(DOCUMENT).isNotNull()).select(F.lit(sign).cast("long").alias("n"), F.lit(0.0).alias("length"))
+    terms = lambda counted, sign: counted.select(F.lit(0).cast("long").alias("n"), (F.col("tf") * sign).cast("double").alias("length"))
     base = index.corpus.select("n", (F.col("n") * F.coalesce("average", F.lit(0.0))).alias("length"))
     # the stored mean times the number is a whole number of terms but for rounding
     base = base.select("n", F.round("length").alias("length"))
-    total = base.unionByName(size(plus, 1)).unionByName(size(minus, -1)).agg(F.sum("n").alias("n"), F.sum("length").alias("length"))
+    total = reduce(DataFrame.unionByName, [base, texts(plus, 1), texts(minus, -1), terms(won, 1), terms(lost, -1)])
+    total = total.agg(F.sum("n").alias("n"), F.sum("length").alias("length"))
     return TextIndex(posted, frequencies, total.select("n", F.try_divide("length", F.col("n")).alias("average")), index.parts)
 
 

@@ -131,3 +131,17 @@ def test_filtered_batch(spark, texts, rows):
     hits = fulltext.search_text_batch(texts, queries, 10, {"even": True})
     assert listed(hits) == brute(rows, ["the", "alpha"], 10, lambda r: r[3] and r[3]["even"])
     assert ids(hits) <= ids(texts) and "document" in hits.columns
+
+
+def test_terms_are_counted_in_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fulltext, "COUNTED_TERMS", 2)
+    texts = ["Ä b, ä-B b", None, "", " ,; ", "x1 ǅ x1", "same", "same"]
+    df = spark.createDataFrame([(str(i), text, i % 2 == 0) for i, text in enumerate(texts)], "_id string, document string, passes boolean")
+    posted = fulltext.postings(df, keep=("passes",))
+    assert "MapInArrow" in posted._jdf.queryExecution().toString()
+    assert [f.simpleString() for f in posted.schema] == ["term:string", "_id:string", "passes:boolean", "tf:int", "length:int"]
+    got = sorted(tuple(r) for r in posted.collect())
+    assert got == sorted([("ä", "0", True, 2, 5), ("b", "0", True, 3, 5), ("x1", "4", True, 2, 3), ("ǆ", "4", True, 1, 3), ("same", "5", False, 1, 1), ("same", "6", True, 1, 1)])
+    fulltext.write_index(df, str(tmp_path / "index"))
+    row = fulltext.read_index(spark, str(tmp_path / "index")).corpus.first()
+    assert (row["n"], row["average"]) == tuple(fulltext.corpus(df).first()) == (6, 10 / 6)
