@@ -76,6 +76,53 @@ def test_the_stage_drops_planted_copies_of_one_changed_word(spark, docs):
     assert {r.text for r in rows} == set(made[::2])
 
 
+@pytest.mark.parametrize("words, same, numbers", [(13, 12, (11342, 30169)), (94, 84, (29474, 31715))])
+def test_the_stage_drops_copies_that_share_no_band(spark, docs, words, same, numbers):
+    """Pairs at a similarity of 0.8, found by trying some 30,000 for each size, that no MinHash band proposes."""
+    import corpus_pipeline
+
+    made = []
+    for k in numbers:
+        base = [f"w{k}x{i}" for i in range(words)]
+        copy = base[:same] + [f"v{k}x{i}" for i in range(same, words)]
+        made += [" ".join(base), " ".join(copy)]
+        assert similarity(grams(made[-2]), grams(made[-1])) == 0.8
+        assert not set(jaccard.band_keys(jaccard.shingles(made[-2]))) & set(jaccard.band_keys(jaccard.shingles(made[-1])))
+    rows = corpus_pipeline.near(spark, docs(made), "").collect()
+    assert sorted(r.doc_id for r in rows) == [0, 2]
+
+
+@pytest.mark.parametrize("sampled, frequent, most, tile", [(1, 2, 1 << 16, 5), (1, 2, 50, 1024), (16, 4, 1 << 16, 3)])
+def test_first_shingles_propose_all_pairs_without_bands(spark, docs, texts, monkeypatch, sampled, frequent, most, tile):
+    for name, value in (("SAMPLED", sampled), ("FREQUENT", frequent), ("MOST_FREQUENT", most), ("TILE", tile)):
+        monkeypatch.setattr(jaccard, name, value)
+    monkeypatch.setattr(jaccard, "_band_links", lambda rows, nodes: spark.createDataFrame([], "a long, b long"))
+    # two texts of little but what many texts hold
+    passage = " ".join(RNG.choices(VOCABULARY, k=60))
+    made = [*texts, *(f"{passage} {text}" for text in texts[6:30]), passage, passage + " end"]
+    found = {r.row.id: r.component_id for r in jaccard.near_groups(docs(made)).collect()}
+    sets, group = [grams(t) for t in made], list(range(len(made)))
+    for i in range(len(made)):
+        for j in range(i):
+            if group[i] != group[j] and similarity(sets[i], sets[j]) >= 0.8:
+                old, new = max(group[i], group[j]), min(group[i], group[j])
+                group = [new if g == old else g for g in group]
+    assert found == dict(enumerate(group))
+
+
+def test_similar_sets_share_a_shingle_of_their_prefixes():
+    rng = np.random.default_rng(9)
+    for n in (1, 4, 5, 9, 10, 45, 90, 900) * 20:
+        both = rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64)
+        x, y = np.unique(both[:n]), np.unique(both[n // 9 : n + n // 9])
+        for frequent in (np.zeros(0, np.uint64), np.sort(rng.choice(both, n, replace=False))):
+            p, q = jaccard.prefix(x, frequent), jaccard.prefix(y, frequent)
+            assert len(p) == len(x) // 5 + 1 and set(p) & set(q)
+            # the places of the first that both have leave room for all that both have
+            s = next(v for v in p.tolist() if v in set(q.tolist()))
+            assert min(len(x) - p.tolist().index(s), len(y) - q.tolist().index(s)) >= len(np.intersect1d(x, y))
+
+
 def test_bands_share_a_key_as_often_as_said():
     rng = np.random.default_rng(3)
     met = 0
